@@ -53,26 +53,36 @@ def min_slot(hashes: Column, k: int) -> Column:
     )
 
 
+def bound(value: Column, body) -> Column:
+    """``body`` of ``value``, evaluated once per row.
+
+    A lambda variable, not a column of an earlier projection: the optimizer may inline such a column wherever it
+    is used, even into the body of another lambda, where it would be computed again for every element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def shingle_list(text: Column, n: int = NGRAM) -> Column:
+    return bound(tokens(text), lambda t: ngrams(t, n))
+
+
+def signature(text: Column, num_perm: int = NUM_PERM, n: int = NGRAM) -> Column:
+    """MinHash signature of the whole text. The minimum over a set equals the minimum over the list it came
+    from, so duplicates among the n-grams are not removed first."""
+    hashes = F.transform(shingle_list(text, n), base_hash)
+    return bound(hashes, lambda h: F.array(*[min_slot(h, k) for k in range(num_perm)]))
+
+
 def with_shingles(df: DataFrame, text: str = "text", n: int = NGRAM) -> DataFrame:
     """Adds ``shingles``: the distinct word n-grams of the whole text."""
-    step = df.withColumn("_tokens", tokens(F.col(text)))
-    return step.withColumn("shingles", F.array_distinct(ngrams(F.col("_tokens"), n))).drop("_tokens")
+    return df.withColumn("shingles", F.array_distinct(shingle_list(F.col(text), n)))
 
 
 def with_signature(
     df: DataFrame, text: str = "text", num_perm: int = NUM_PERM, n: int = NGRAM
 ) -> DataFrame:
-    """Adds ``sig``, the MinHash signature of the whole text.
-
-    The minimum over a set equals the minimum over the list it came from, so duplicates among the n-grams are
-    not removed first. Each step is its own projection so that tokens and hashes are computed once per row.
-    """
-    step = df.withColumn("_tokens", tokens(F.col(text)))
-    step = step.withColumn("_grams", ngrams(F.col("_tokens"), n)).drop("_tokens")
-    step = step.withColumn("_hashes", F.transform("_grams", base_hash)).drop("_grams")
-    return step.withColumn("sig", F.array(*[min_slot(F.col("_hashes"), k) for k in range(num_perm)])).drop(
-        "_hashes"
-    )
+    """Adds ``sig``, the MinHash signature."""
+    return df.withColumn("sig", signature(F.col(text), num_perm, n))
 
 
 @lru_cache(maxsize=64)
@@ -97,7 +107,12 @@ def band_shape(
 
 def band_keys(sig: Column, bands: int, rows: int) -> Column:
     """One text key per band: its signature slots joined by ``-``."""
-    return F.array(*[F.array_join(F.slice(sig, b * rows + 1, rows).cast("array<string>"), "-") for b in range(bands)])
+
+    def keys(s: Column) -> Column:
+        slots = [[F.get(s, F.lit(b * rows + r)).cast("string") for r in range(rows)] for b in range(bands)]
+        return F.array(*[F.concat_ws("-", *band) for band in slots])
+
+    return bound(sig, keys)
 
 
 def with_bands(

@@ -29,8 +29,11 @@ BUCKET = ["band", "band_key"]
 
 
 def band_rows(banded: DataFrame, key: str, *more: str) -> DataFrame:
-    """(key, band, band_key): one row per document and band."""
-    return banded.select(key, *more, F.posexplode("bands").alias("band", "band_key"))
+    """(key, band, band_key): one row per document and band.
+
+    The outer form, because the plain one makes the optimizer compute the bands a second time in a filter.
+    """
+    return banded.select(key, *more, F.posexplode_outer("bands").alias("band", "band_key"))
 
 
 def spread_bucket_facts(

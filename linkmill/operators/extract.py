@@ -38,8 +38,8 @@ def per_page(scraper: str, read: Callable[[str], dict]) -> Extractor:
                 row["elapsed"] = time.perf_counter() - started
                 rows.append(row)
             columns = [field.split()[0] for field in EXTRACTED.split(", ")]
-            frame = pd.DataFrame(rows, columns=columns)
-            yield frame.assign(word_count=frame["word_count"].astype("Int64"))
+            frame = pd.DataFrame(rows, columns=columns, dtype=object)
+            yield frame.astype({"elapsed": float, "success": bool})
 
     return extractor
 

@@ -15,7 +15,7 @@ MAX_META_PER_ROW = 1_000_000
 
 def aligned_meta(entries: Column) -> Column:
     """An array of metadata structs as a struct of aligned arrays."""
-    return F.struct(*[F.transform(entries, lambda e, f=f: e[f]).alias(f) for f in META_FIELDS])
+    return F.struct(*[entries[f].alias(f) for f in META_FIELDS])
 
 
 def url_totals(submissions: DataFrame, min_score: int | None = MIN_SCORE) -> DataFrame:

@@ -299,7 +299,7 @@ ORACLES: dict[str, str] = {
         from sets""",
     "minhash": f"with {signatures()} select doc_id, {', '.join(f's{k}' for k in range(NUM_PERM))} from bands",
     "band_keys": f"""with {signatures()} select doc_id, cast(b as bigint) as band, band_keys[b + 1] as band_key
-        from bands, range(0, 3) r(b)""",
+        from (select doc_id, band_keys, unnest([0, 1, 2]) as b from bands)""",
     "greedy_dedup": f"{_NEAR} select doc_id from walk where kept",
     "greedy_dedup_short_kept": f"""with recursive {signatures()},
         long as (select * from bands where s0 <> {PRIME} or s1 <> {PRIME}), {replay("doc_id", source="long")}
