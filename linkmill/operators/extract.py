@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkmill.functions.html import article, clean_markup, paragraph_text
@@ -103,8 +103,8 @@ def clean_html(pages: DataFrame) -> DataFrame:
 def failures_by_reason(extracted: DataFrame) -> DataFrame:
     """(reason, n, pct): how many pages ended how; ``ok`` for documents."""
     counts = extracted.groupBy(F.coalesce("reason", F.lit("ok")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))
-    return counts.withColumn("pct", percent(F.col("n"), total.scalar()))
+    # A handful of rows by now, so the window without a partition is harmless and the pages are read once.
+    return counts.withColumn("pct", percent(F.col("n"), F.sum("n").over(Window.partitionBy())))
 
 
 def failures_by_batch(extracted: DataFrame, batch: str = "url_batch") -> DataFrame:

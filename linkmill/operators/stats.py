@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkmill.functions.scalars import percent, scaled
@@ -33,14 +33,15 @@ def release_table(releases: dict[str, DataFrame], text: str = "text") -> DataFra
         row = corpus_stats(docs, text).withColumn("release", F.lit(name))
         table = row if table is None else table.unionByName(row)
     first = next(iter(releases))
-    base = table.where(F.col("release") == first)
+    # One row per release, so the window without a partition is harmless and every release is read once.
+    of_first = lambda c: F.max(F.when(F.col("release") == first, F.col(c))).over(Window.partitionBy())
     return table.select(
         "release",
         "n_docs",
         "total_chars",
         "total_bytes",
-        percent(F.col("n_docs"), base.select("n_docs").scalar()).alias("docs_pct"),
-        percent(F.col("total_chars"), base.select("total_chars").scalar()).alias("chars_pct"),
+        percent(F.col("n_docs"), of_first("n_docs")).alias("docs_pct"),
+        percent(F.col("total_chars"), of_first("total_chars")).alias("chars_pct"),
     )
 
 

@@ -34,11 +34,11 @@ def url_records_from_posts(posts: DataFrame, min_score: int = MIN_SCORE) -> Data
 def documents_from_pages(
     records: DataFrame, pages: DataFrame, extractor: Extractor = article_extractor
 ) -> DataFrame:
-    """(url, text, meta): excluded URLs go before the join, so that their pages are never shuffled or parsed."""
-    wanted = usable_urls(records)
-    first = wanted.where(F.col("part") == 0).select("url")
-    fetched = usable_urls(pages).join(first, "url", "left_semi")
-    return attach_url_meta(successful(extract(fetched, extractor)), wanted)
+    """(url, text, meta) for the pages fetched for ``records``.
+
+    Extraction comes first and is narrow: only extracted text, not HTML, is shuffled to meet its metadata.
+    """
+    return attach_url_meta(successful(extract(pages, extractor)), usable_urls(records))
 
 
 def signatures(docs: DataFrame, key: str) -> DataFrame:

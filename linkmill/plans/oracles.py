@@ -104,13 +104,13 @@ sigs as (select d.{key}, {names} from {docs} d left join mins using ({key})),
 bands as (select *, [{keys}] as band_keys from sigs)"""
 
 
-def replay(order: str, key: str = "doc_id", source: str = "bands") -> str:
+def replay(order: str, key: str = "doc_id", source: str = "bands", key_type: str = "bigint") -> str:
     """CTEs ending in ``walk`` (key, kept): documents one after the other, with a list of used band keys."""
     return f"""queue as materialized (
   select row_number() over (order by {order}) as rn, {key},
     ['0:' || band_keys[1], '1:' || band_keys[2], '2:' || band_keys[3]] as keys from {source}),
 steps as (
-  select cast(0 as bigint) as rn, cast(null as bigint) as {key}, false as kept, cast([] as varchar[]) as used
+  select cast(0 as bigint) as rn, cast(null as {key_type}) as {key}, false as kept, cast([] as varchar[]) as used
   union all
   select q.rn, q.{key}, not list_has_any(s.used, q.keys),
     case when list_has_any(s.used, q.keys) then s.used else list_concat(s.used, q.keys) end
@@ -125,6 +125,19 @@ scored as (
   from documents d cross join (select count(*) n from pages) c join pages p on p.page_id = d.doc_id % c.n
   left join by_url u on u.url = p.url)"""
 
+_UNESCAPED = "replace(replace(regexp_replace({}, '&quot;', '\"', 'g'), '&copy;', '©'), '&amp;', '&')"
+_TITLE = _UNESCAPED.format("regexp_replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp$', '&amp;')")
+ARTICLES = f"""blocks as (
+  select page_id, list_transform(string_split(split_part(regexp_extract(html, '<article>(.*)$', 1, 's'), '</article>', 1),
+    '<p>')[2:], lambda p: trim(regexp_replace({_UNESCAPED.format(
+        "regexp_replace(replace(split_part(p, '</p>', 1), '<br>', ' '), '<[^>]*>', '', 'g')"
+    )}, '\\s+', ' ', 'g'))) as bs
+  from pages),
+articles as (
+  select page_id, array_to_string(list_filter(bs, lambda b: b <> ''), chr(10) || chr(10)) as text from blocks)"""
+
+_LINE_BYTES = """strlen('{"text":' || to_json(text) || ',"meta":{}}') + 1"""
+
 _NEAR = f"with recursive {signatures()}, {replay('doc_id')}"
 _FIRST_HALF = "cast(substr(source, 4) as integer) < 10"
 _INCREMENTAL = f"""with recursive {signatures()},
@@ -187,6 +200,9 @@ ORACLES: dict[str, str] = {
     "verify_checksums": """select cast(d.doc_id as varchar) as file_name,
         case when l.doc_id is null then 'unlisted' when l.quality = 1 then 'ok' else 'mismatch' end as status
         from documents d left join labels l using (doc_id)""",
+    "file_checksums": f"select 'ok' as status, cast(sum({_LINE_BYTES}) as bigint) as total_bytes from documents",
+    "total_input_size": f"""select cast(sum({_LINE_BYTES}) as bigint) as total_bytes,
+        round(sum({_LINE_BYTES}) / 1e6, 2) as total_mb from documents""",
     "url_record_arrays": f"""with {SUBS} select {_RECORD_COLUMNS} from subs group by url having sum(score) >= 3""",
     "url_records_high_score": f"""with {SUBS} select url, cast(sum(score) as bigint) as total_score, count(*) as n
         from subs group by url having sum(score) >= {HIGH_SCORE}""",
@@ -220,13 +236,20 @@ ORACLES: dict[str, str] = {
         busy as (select domain from counts where n > (select avg(n) from counts))
         select page_id, url, domain in (select domain from busy) or host in (select domain from busy) as listed
         from sized""",
-    "article_titles": """select url, trim(regexp_replace(replace(replace(replace(
-        regexp_extract(html, '<title>([^<]*)</title>', 1), '&quot;', '"'), '&copy;', '©'), '&amp;', '&'), '\\s+', ' ', 'g'))
-        as title, regexp_extract(html, '<html lang="([a-z]*)"', 1) as lang, 'newspaper' as scraper, true as success
+    "extract_article": f"""with {CHECKED}, {ARTICLES}
+        select c.url, case when c.exclude_reason is null then a.text end as text,
+          case when c.exclude_reason is null then trim(regexp_replace({_TITLE}, '\\s+', ' ', 'g')) else '' end as title,
+          case when c.exclude_reason is null then regexp_extract(html, '<html lang="([a-z]*)"', 1) end as lang,
+          case when c.exclude_reason is null then cast(len(regexp_extract_all(a.text, '\\S+')) as bigint) end as word_count,
+          c.domain, c.exclude_reason is null as success,
+          coalesce(c.exclude_reason, case when a.text = '' then 'empty_text' end) as reason
+        from checked c join articles a using (page_id)""",
+    "article_titles": f"""select url, trim(regexp_replace({_TITLE}, '\\s+', ' ', 'g')) as title, regexp_extract(html, '<html lang="([a-z]*)"', 1) as lang, 'newspaper' as scraper, true as success
         from pages""",
     "extract_paragraphs": f"""with {PARAGRAPHS} select g.url, strip_accents(p.text) as text, p.n_words as word_count
         from paragraphs p join pages g using (page_id)""",
     "simple_paragraphs": f"with {PARAGRAPHS} select page_id, text, n_paragraphs, n_words from paragraphs",
+    "nfkd": "select doc_id, strip_accents(text) as plain from documents",
     "clean_html": f"""with {CHECKED}, bare as (
         select url, exclude_reason, trim(replace(regexp_replace(regexp_replace(html,
           '<script\\b[^>]*>.*?</script\\s*>|<style\\b[^>]*>.*?</style\\s*>|<!--.*?-->|<!doctype[^>]*>', '', 'gis'),
@@ -333,6 +356,14 @@ ORACLES: dict[str, str] = {
         from sums""",
     "release_by_month": f"""with {ORDER_SUBS} select strftime(created_utc, '%Y-%m') as month, count(*) as n_docs,
         cast(sum(length(title || ' ' || subreddit || ' ' || url)) as bigint) as total_chars from order_subs group by 1""",
+    "corpus_from_dumps": f"""with recursive {SUBS}, {ARTICLES}, records as (
+        select url, count(*) as n_links from subs group by url having sum(score) >= {HIGH_SCORE}),
+        docs as (
+        select r.url, r.n_links, a.text, trim(regexp_replace({_TITLE}, '\\s+', ' ', 'g')) as title
+        from records r join pages g using (url) join articles a using (page_id) where a.text <> ''),
+        {signatures("docs", "url")}, {replay("url", "url", key_type="varchar")}
+        select d.url, d.title, cast(len(regexp_extract_all(d.text, '\\S+')) as bigint) as word_count, d.n_links
+        from docs d join walk w using (url) where w.kept""",
     "stream_ingest": f"with {SUBS} select {FLAT} from subs",
     "stream_extraction": f"""with {_OUTCOMES} select url, n_words as word_count from outcomes where reason is null""",
     "stream_dedup": _INCREMENTAL,

@@ -200,7 +200,9 @@ def file_checksums(spark: SparkSession, sf: str) -> DataFrame:
     documents(spark, sf).select("text", F.lit("{}").alias("meta")).transform(doc_files.document_lines).write.text(path)
     sums = written(dumps.file_checksums(spark, path, "part-*"), "sums")
     manifest = dumps.parse_manifest(sums.select(F.concat_ws("  ", "actual", "file_name").alias("value")))
-    return dumps.verify_files(sums, manifest).groupBy("status").agg(F.count(F.lit(1)).alias("n_files"))
+    sizes = files.find_files(spark, path, "part-*").select(S.base_name(F.col("path")).alias("file_name"), "length")
+    status = dumps.verify_files(sums, manifest).join(sizes, "file_name")
+    return status.groupBy("status").agg(F.sum("length").alias("total_bytes"))
 
 
 # --- URL records ---------------------------------------------------------------------------------------------

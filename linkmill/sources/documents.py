@@ -57,9 +57,10 @@ def read_documents(spark: SparkSession, paths: str | list[str], pattern: str = "
 
 
 def document_lines(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """One JSON object per row in ``value``; nulls stay visible, times are ISO-8601."""
+    """One JSON object per row in ``value``; nulls stay visible, times are ISO-8601 in whole seconds, as the
+    dumps give them."""
     meta = F.col("meta")
-    options = {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
+    options = {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss"}
     if isinstance(df.schema["meta"].dataType, T.StringType):
         # Open metadata is JSON already and is spliced in as it is.
         text = F.to_json(F.struct("text"), options)
