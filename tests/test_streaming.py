@@ -1,0 +1,63 @@
+import bz2
+import json
+import lzma
+
+from pyspark.sql import functions as F
+
+from linkmill.operators.extract import extract_paragraphs
+from linkmill.operators.documents import successful
+from linkmill.streaming import extraction, ingest
+
+
+def lines(start, stop, extra=()):
+    rows = [
+        json.dumps({"id": str(i), "is_self": False, "url": f"u{i}", "score": 1, "created_utc": 1136073600 + i})
+        for i in range(start, stop)
+    ]
+    return "\n".join([*rows, *extra]).encode()
+
+
+def test_each_file_once_and_each_id_once(spark, tmp_path):
+    dumps, table, bad = tmp_path / "dumps", str(tmp_path / "table"), str(tmp_path / "bad")
+    dumps.mkdir()
+
+    def run():
+        ingest.ingest_dumps(
+            spark, str(dumps), table, str(tmp_path / "checkpoint"), bad, files_per_batch=1
+        ).awaitTermination()
+        return sorted(r.id for r in ingest.read_ingested(spark, table).collect())
+
+    (dumps / "a.bz2").write_bytes(bz2.compress(lines(0, 5, ["broken"])))
+    (dumps / "b.xz").write_bytes(lzma.compress(lines(3, 8)))
+    assert run() == list(range(8))
+    assert run() == list(range(8))
+    (dumps / "c.json").write_bytes(lines(6, 10))
+    assert run() == list(range(10))
+    assert [r.reason for r in spark.read.parquet(bad).collect()] == ["bad_json"]
+
+
+def test_stream_extraction_equals_batch(spark, sf, tmp_path):
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    folder = str(tmp_path / "pages")
+
+    def run():
+        extraction.extract_pages(
+            spark, folder, str(tmp_path / "docs"), str(tmp_path / "checkpoint"), files_per_batch=1
+        ).awaitTermination()
+        return sorted(r.url for r in spark.read.parquet(str(tmp_path / "docs")).collect())
+
+    pages.where("page_id < 20").write.parquet(folder)
+    first = run()
+    pages.where("page_id >= 20").write.mode("append").parquet(folder)
+    both = run()
+    from linkmill.operators.extract import extract_article
+
+    want = sorted(r.url for r in successful(extract_article(pages)).select("url").collect())
+    assert both == want == run() and len(first) < len(both)
+    assert extract_paragraphs(pages).where(F.col("success")).count() == pages.count()
+
+
+def test_skip_done(spark):
+    inputs = spark.createDataFrame([("a",), ("b",)], "path string")
+    done = spark.createDataFrame([("a",), ("a",)], "path string")
+    assert [r.path for r in ingest.skip_done(inputs, done).collect()] == ["b"]
