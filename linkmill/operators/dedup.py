@@ -46,6 +46,9 @@ def spread_bucket_facts(
     bounded groups.
     """
     limit = max(hot_rows, n_edges // MAX_HOT_BUCKETS)
+    if n_edges <= limit:
+        return edges.join(facts, BUCKET)
+    facts = written(facts, "bucket-facts")
     hot = facts.where(F.col("n") > limit)
     if hot.isEmpty():
         return edges.join(facts, BUCKET)
@@ -69,12 +72,10 @@ def greedy_keep(banded: DataFrame, key: str, hot_rows: int = HOT_BUCKET_ROWS) ->
     spark = banded.sparkSession
     unique = written(_earliest_copies(banded.select(key, "bands"), key), "unique")
     edges = band_rows(unique, key)
-    n_edges = unique.count() * max(_band_count(unique), 1)
+    n_edges = count_edges(unique)
 
     # Buckets of one document decide nothing, and a document with only such buckets is kept.
-    sizes = written(
-        edges.groupBy(*BUCKET).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1), "shared-buckets"
-    )
+    sizes = edges.groupBy(*BUCKET).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     open_docs = (
         spread_bucket_facts(edges, sizes, n_edges, hot_rows)
         .groupBy(key)
@@ -97,9 +98,8 @@ def greedy_keep(banded: DataFrame, key: str, hot_rows: int = HOT_BUCKET_ROWS) ->
     )
 
 
-def _band_count(banded: DataFrame) -> int:
-    row = banded.select(F.size("bands").alias("n")).first()
-    return row.n if row else 0
+def count_edges(banded: DataFrame) -> int:
+    return banded.agg(F.coalesce(F.sum(F.size("bands")), F.lit(0)).alias("n")).first().n
 
 
 def _ddl(df: DataFrame, column: str) -> str:
@@ -120,10 +120,8 @@ def _one_round(undecided: DataFrame, key: str, n_edges: int, hot_rows: int) -> D
     )
     # A document has few buckets, so this window has no large group.
     of_first = Window.partitionBy("first")
-    facts = written(
-        firsts.withColumn("taken", F.count(F.lit(1)).over(of_first) == F.col("first_degree")).drop("first_degree"),
-        "bucket-facts",
-    )
+    taken = F.count(F.lit(1)).over(of_first) == F.col("first_degree")
+    facts = firsts.withColumn("taken", taken).drop("first_degree")
     told = spread_bucket_facts(edges, facts, n_edges, hot_rows)
     by_other = F.col("taken") & (F.col("first") != F.col(key))
     return (
@@ -167,18 +165,14 @@ def index_rows(banded: DataFrame, kept: DataFrame, key: str) -> DataFrame:
 def lsh_candidates(banded: DataFrame, index: DataFrame, key: str, hot_rows: int = HOT_BUCKET_ROWS) -> DataFrame:
     """(key, found): each document with the *indexed* documents it shares a band with, itself excluded.
 
-    An index of kept documents has one document per bucket, so a document gets at most as many rows as it has
-    bands, however large the buckets of the queried side are.
+    ``banded`` should be a written table, it is read more than once. An index of kept documents has one document
+    per bucket, so a document gets at most as many rows as it has bands, however large the buckets of the queried
+    side are.
     """
     edges = band_rows(banded, key)
-    facts = written(
-        edges.groupBy(*BUCKET)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .join(index.select(*BUCKET, F.col(key).alias("found")), BUCKET),
-        "index-hits",
-    )
-    n_edges = facts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
-    hits = spread_bucket_facts(edges, facts, n_edges, hot_rows)
+    sizes = edges.groupBy(*BUCKET).agg(F.count(F.lit(1)).alias("n"))
+    facts = sizes.join(index.select(*BUCKET, F.col(key).alias("found")), BUCKET)
+    hits = spread_bucket_facts(edges, facts, count_edges(banded), hot_rows)
     return hits.where(F.col("found") != F.col(key)).select(key, "found").distinct()
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from linkmill.functions.html import article, clean_markup, paragraph_text
 from linkmill.functions.scalars import percent, strip
 from linkmill.functions.urls import base_domain, exclude_reason, host
+from linkmill.session import spread
 
 #: What an extractor yields for each (url, html).
 EXTRACTED = (
@@ -19,6 +20,10 @@ EXTRACTED = (
     " success boolean, error string"
 )
 
+#: Pages handed to Python at a time. Pages are large, and Spark's default of 10,000 rows could fill a worker.
+PAGES_PER_BATCH = 256
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 Extractor = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
 
@@ -62,11 +67,15 @@ paragraph_extractor: Extractor = per_page("bs4", _paragraph_row)
 def extract(pages: DataFrame, extractor: Extractor = article_extractor) -> DataFrame:
     """(url, text, meta, success, reason) for pages (url, html).
 
-    Excluded URLs are settled first and never reach Python; their branch does not read the html column.
-    ``reason`` is the exclusion, ``error`` for a page the extractor failed on, ``empty_text``, or null.
+    Excluded URLs are settled first and never reach Python; their branch does not read the html column. ``reason``
+    is the exclusion, ``error`` for a page the extractor failed on, ``empty_text``, or null. The session's Arrow
+    batch size is lowered to PAGES_PER_BATCH if it is larger.
     """
+    conf = pages.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH_CONF)) <= PAGES_PER_BATCH:
+        conf.set(_BATCH_CONF, str(PAGES_PER_BATCH))
     reason = exclude_reason(F.col("url"))
-    usable = pages.where(reason.isNull()).select("url", "html").mapInPandas(extractor, EXTRACTED)
+    usable = spread(pages.where(reason.isNull()).select("url", "html")).mapInPandas(extractor, EXTRACTED)
     skipped = pages.where(reason.isNotNull()).select("url", reason.alias("reason"))
     is_empty = F.length(strip(F.coalesce("text", F.lit("")))) == 0
     done = usable.withColumn(

@@ -14,7 +14,7 @@ from linkmill.operators.extract import Extractor, article_extractor, extract
 from linkmill.operators.submissions import dedup_by_id, to_submissions
 from linkmill.operators.url_filter import usable_urls
 from linkmill.operators.url_records import MIN_SCORE, build_url_records
-from linkmill.session import written
+from linkmill.session import spread, written
 
 
 @dataclass
@@ -43,7 +43,7 @@ def documents_from_pages(
 
 def signatures(docs: DataFrame, key: str) -> DataFrame:
     """(key, bands), written once: every dedup step reads these few bytes per document, not the texts."""
-    return written(with_bands(with_signature(docs.select(key, "text"))).select(key, "bands"), "bands")
+    return written(with_bands(with_signature(spread(docs.select(key, "text")))).select(key, "bands"), "bands")
 
 
 def near_dedup(docs: DataFrame, key: str, short_docs: str = "collapse") -> tuple[DataFrame, DataFrame]:

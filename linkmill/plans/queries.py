@@ -28,7 +28,7 @@ from linkmill.plans.derived import (
     url_variants,
 )
 from linkmill.schemas import META_FIELDS
-from linkmill.session import scratch_path, written
+from linkmill.session import scratch_path, spread, written
 from linkmill.sources import documents as doc_files
 from linkmill.sources import dumps, files, releases, url_files
 from linkmill.sources import submissions as sub_files
@@ -547,7 +547,7 @@ def word_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 def shingles(spark: SparkSession, sf: str) -> DataFrame:
     """Number of distinct 5-grams and a digest of the sorted set."""
-    sets = X.with_shingles(documents(spark, sf).select("doc_id", "text")).select("doc_id", "shingles")
+    sets = X.with_shingles(spread(documents(spark, sf).select("doc_id", "text"))).select("doc_id", "shingles")
     return sets.select(
         "doc_id",
         F.size("shingles").cast("bigint").alias("n_shingles"),
@@ -556,12 +556,12 @@ def shingles(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def minhash(spark: SparkSession, sf: str) -> DataFrame:
-    sig = X.with_signature(documents(spark, sf).select("doc_id", "text"))
+    sig = X.with_signature(spread(documents(spark, sf).select("doc_id", "text")))
     return sig.select("doc_id", *[F.get("sig", F.lit(k)).alias(f"s{k}") for k in range(X.NUM_PERM)])
 
 
 def band_keys(spark: SparkSession, sf: str) -> DataFrame:
-    banded = X.with_bands(X.with_signature(documents(spark, sf).select("doc_id", "text")))
+    banded = X.with_bands(X.with_signature(spread(documents(spark, sf).select("doc_id", "text"))))
     return dedup.band_rows(banded, "doc_id").select("doc_id", F.col("band").cast("bigint").alias("band"), "band_key")
 
 

@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Size of a full file split.
+SPLIT_BYTES = 128 << 20
+
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession:
     """A local session for tests and the benchmark; on a cluster the caller brings its own."""
@@ -56,3 +59,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a small input over all cores before heavy work per row; leave a large one as it is.
+
+    A few megabytes may sit in one file split and would keep one core busy. From about one full split per core
+    on there is nothing to gain, and a shuffle of the texts would only cost.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df if size >= cores * SPLIT_BYTES else df.repartition(cores)

@@ -34,8 +34,13 @@ def parse_documents(
     as_list = F.from_json(value, "text array<string>")["text"]
     # An object around the bare value lets the same JSON reader unquote it.
     bare = F.from_json(F.concat(F.lit('{"text":'), value, F.lit("}")), "text string")["text"]
-    shaped = lines.withColumn("_bare", F.when(is_bare, bare)).withColumn("_doc", F.when(~is_bare, document))
-    shaped = shaped.withColumn("_list", F.when(~is_bare, as_list))
+    read = F.struct(
+        F.when(is_bare, bare).alias("_bare"),
+        F.when(~is_bare, document).alias("_doc"),
+        F.when(~is_bare, as_list).alias("_list"),
+    )
+    # Through a generator, so that every line is parsed once, however often its parts are used.
+    shaped = lines.select("*", F.inline(F.array(read)))
     single = F.coalesce("_bare", F.col("_doc.text"))
     bad = F.raise_error(F.concat(F.lit("not a document: "), F.left(value, F.lit(200))))
     if autojoin_paragraphs:

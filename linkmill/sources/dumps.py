@@ -32,13 +32,11 @@ def parse_posts(lines: DataFrame, line: str = "value") -> DataFrame:
         {"columnNameOfCorruptRecord": "_corrupt_record", "mode": "PERMISSIVE"},
     )
     is_object = F.ltrim(F.col(line)).startswith("{")
-    others = [c for c in lines.columns if c != line]
-    rows = lines.withColumn("_post", F.when(is_object, parsed))
-    return rows.select(
-        *[F.col(f"_post.{f.name}").alias(f.name) for f in RAW_POST.fields],
-        F.when(is_object, F.col("_post._corrupt_record")).otherwise(F.col(line)).alias("_corrupt_record"),
-        *others,
-    )
+    others = [F.col(c) for c in lines.columns if c != line]
+    # Through a generator, so that filters on the fields cannot be moved below it and parse the line again.
+    rows = lines.select(line, *others, F.inline(F.array(F.when(is_object, parsed))))
+    corrupt = F.when(is_object, F.col("_corrupt_record")).otherwise(F.col(line))
+    return rows.select(*RAW_POST.fieldNames(), corrupt.alias("_corrupt_record"), *others)
 
 
 def read_dumps(spark: SparkSession, paths: str | list[str], pattern: str = "*") -> DataFrame:

@@ -85,8 +85,7 @@ def total_size(spark: SparkSession, paths: str | list[str], pattern: str = "*")
 def write_aligned(df: DataFrame, path: str, source: str = "source_file") -> None:
     """One output folder per input file, so that a stage can be traced, redone or packed file by file.
 
-    ``source`` should already carry the output name (see ``replace_in_name`` and ``append_suffix``). Rows are
-    spread before the write by file and a salt, so that one huge input file is written by many tasks.
+    ``source`` should already carry the output name (see ``replace_in_name`` and ``append_suffix``). The rebalance
+    hint brings rows of one file together, and splits a file that is far larger than the others over several tasks.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if c != source]), F.lit(16))
-    df.repartition(F.col(source), salt).write.mode("overwrite").partitionBy(source).parquet(path)
+    df.hint("rebalance", source).write.mode("overwrite").partitionBy(source).parquet(path)

@@ -11,8 +11,8 @@ from linkmill.sources.documents import write_documents
 def write_release(
     docs: DataFrame, path: str, file_format: str = "parquet", month_of: str | None = None
 ) -> None:
-    """Write (text, meta). With ``month_of``, a timestamp column, into month folders: rows are spread by month
-    and a salt, so that a large month has many writers."""
+    """Write (text, meta). With ``month_of``, a timestamp column, into month folders; the rebalance hint
+    splits a large month over many tasks."""
     if month_of is None:
         if file_format == "jsonl":
             write_documents(docs, path)
@@ -20,8 +20,7 @@ def write_release(
             docs.write.mode("overwrite").parquet(path)
         return
     rows = docs.withColumn("month", F.date_format(month_of, "yyyy-MM"))
-    salt = F.pmod(F.xxhash64("text"), F.lit(32))
-    rows.repartition("month", salt).write.mode("overwrite").partitionBy("month").parquet(path)
+    rows.hint("rebalance", "month").write.mode("overwrite").partitionBy("month").parquet(path)
 
 
 def first_submitted(docs: DataFrame) -> DataFrame:

@@ -14,11 +14,10 @@ from linkmill.schemas import SUBMISSION
 
 
 def write_submissions(submissions: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One row per id, in month folders. Rows are spread by month and a salt of the id, so that a month that
-    holds much of the data is still written by many tasks and every task writes few files."""
+    """One row per id, in month folders. The rebalance hint lets a task write few months, and splits a month that
+    holds much of the data over many tasks."""
     rows = dedup_by_id(submissions).withColumn("month", F.date_format("created_utc", "yyyy-MM"))
-    salt = F.pmod(F.xxhash64("id"), F.lit(32))
-    rows.repartition("month", salt).write.mode(mode).partitionBy("month").parquet(path)
+    rows.hint("rebalance", "month").write.mode(mode).partitionBy("month").parquet(path)
 
 
 def scan_submissions(

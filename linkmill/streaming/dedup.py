@@ -6,16 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from linkmill.functions.text import with_bands, with_signature
 from linkmill.operators.dedup import duplicates, incremental_dedup, read_index
-from linkmill.session import written
+from linkmill.plans.corpus import signatures
 from linkmill.streaming.tables import write_batch
 
 
 def dedup_batch(docs: DataFrame, key: str, index: str, dropped: str, batch_id: int) -> None:
     """Run one batch: index rows of new kept documents and the duplicate list, both under the batch id."""
     spark = docs.sparkSession
-    banded = written(with_bands(with_signature(docs)).select(key, "bands"), "bands")
+    banded = signatures(docs, key)
     known = read_index(spark, index, f"`{key}` {docs.schema[key].dataType.simpleString()}", without_batch=batch_id)
     kept, new_index = incremental_dedup(banded, known, key)
     write_batch(duplicates(banded, kept, key), dropped, batch_id)
