@@ -28,9 +28,13 @@ def tokens(text: Column) -> Column:
 
 def ngrams(toks: Column, n: int = NGRAM) -> Column:
     """All n-grams in order, tokens joined by one space; empty for fewer than ``n`` tokens."""
-    starts = F.sequence(F.lit(0), F.size(toks) - n)
-    grams = F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(toks, i + k) for k in range(n)]))
-    return F.when(F.size(toks) >= n, grams).otherwise(F.array().cast("array<string>"))
+    firsts = F.slice(toks, 1, F.greatest(F.size(toks) - (n - 1), F.lit(0)))
+
+    def gram(first: Column, i: Column) -> Column:
+        rest = [piece for k in range(1, n) for piece in (F.lit(" "), F.get(toks, i + k))]
+        return F.concat(first, *rest)
+
+    return F.transform(firsts, gram)
 
 
 def base_hash(gram: Column) -> Column:

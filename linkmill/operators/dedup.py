@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from linkmill.session import scratch_path, written
+from linkmill.session import scratch_path, written, written_with
 
 #: At most this many buckets are broadcast; any other bucket is then no larger than rows / MAX_HOT_BUCKETS
 #: or HOT_BUCKET_ROWS.
@@ -70,32 +70,28 @@ def greedy_keep(banded: DataFrame, key: str, hot_rows: int = HOT_BUCKET_ROWS) ->
     document is undecided. The first undecided document is decided in every round, so they always end.
     """
     spark = banded.sparkSession
-    unique = written(_earliest_copies(banded.select(key, "bands"), key), "unique")
+    copies = _earliest_copies(banded.select(key, "bands"), key)
+    unique, n_edges = written_with(copies, scratch_path(spark, "unique"), F.sum(F.size("bands")))
     edges = band_rows(unique, key)
-    n_edges = count_edges(unique)
 
     # Buckets of one document decide nothing, and a document with only such buckets is kept.
     sizes = edges.groupBy(*BUCKET).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    open_docs = (
+    state = (
         spread_bucket_facts(edges, sizes, n_edges, hot_rows)
         .groupBy(key)
         .agg(F.collect_list(F.struct(*BUCKET)).alias("buckets"))
+        .withColumn("status", F.lit("open"))
     )
-    base = scratch_path(spark, "rounds")
-    state = _write_round(open_docs.withColumn("status", F.lit("open")), base, 0)
-    number = 0
+    base, paths = scratch_path(spark, "rounds"), []
     while True:
-        undecided = state.where(F.col("status") == "open").select(key, "buckets")
-        if undecided.isEmpty():
+        paths.append(f"{base}/round={len(paths)}")
+        state, n_open = written_with(state, paths[-1], F.count_if(F.col("status") == "open"))
+        if n_open == 0:
             break
-        number += 1
-        state = _write_round(_one_round(undecided, key, n_edges, hot_rows), base, number)
-    dropped = spark.read.schema(f"{_ddl(unique, key)}, status string").parquet(
-        *[f"{base}/round={i}" for i in range(number + 1)]
-    )
-    return unique.select(key).join(
-        dropped.where(F.col("status") == "dropped").select(key), key, "left_anti"
-    )
+        undecided = state.where(F.col("status") == "open").select(key, "buckets")
+        state = _one_round(undecided, key, n_edges, hot_rows)
+    rounds = spark.read.schema(f"{_ddl(unique, key)}, status string").parquet(*paths)
+    return unique.select(key).join(rounds.where(F.col("status") == "dropped").select(key), key, "left_anti")
 
 
 def count_edges(banded: DataFrame) -> int:
@@ -106,12 +102,6 @@ def _ddl(df: DataFrame, column: str) -> str:
     return f"`{column}` {df.schema[column].dataType.simpleString()}"
 
 
-def _write_round(state: DataFrame, base: str, number: int) -> DataFrame:
-    path = f"{base}/round={number}"
-    state.write.parquet(path)
-    return state.sparkSession.read.schema(state.schema).parquet(path)
-
-
 def _one_round(undecided: DataFrame, key: str, n_edges: int, hot_rows: int) -> DataFrame:
     """Decide every undecided document that is earliest in all its buckets, and the documents it displaces."""
     edges = undecided.select(key, F.size("buckets").alias("degree"), F.inline("buckets"))
@@ -162,7 +152,14 @@ def index_rows(banded: DataFrame, kept: DataFrame, key: str) -> DataFrame:
     return band_rows(banded.join(kept.select(key), key, "left_semi"), key).select(*BUCKET, key)
 
 
-def lsh_candidates(banded: DataFrame, index: DataFrame, key: str, hot_rows: int = HOT_BUCKET_ROWS) -> DataFrame:
+def indexed_keys(index: DataFrame, key: str) -> DataFrame:
+    """Each document of the index once: by its row in the first band, so that nothing has to be made distinct."""
+    return index.where(F.col("band") == 0).select(key)
+
+
+def lsh_candidates(
+    banded: DataFrame, index: DataFrame, key: str, hot_rows: int = HOT_BUCKET_ROWS, n_edges: int | None = None
+) -> DataFrame:
     """(key, found): each document with the *indexed* documents it shares a band with, itself excluded.
 
     ``banded`` should be a written table, it is read more than once. An index of kept documents has one document
@@ -172,7 +169,7 @@ def lsh_candidates(banded: DataFrame, index: DataFrame, key: str, hot_rows: int
     edges = band_rows(banded, key)
     sizes = edges.groupBy(*BUCKET).agg(F.count(F.lit(1)).alias("n"))
     facts = sizes.join(index.select(*BUCKET, F.col(key).alias("found")), BUCKET)
-    hits = spread_bucket_facts(edges, facts, count_edges(banded), hot_rows)
+    hits = spread_bucket_facts(edges, facts, count_edges(banded) if n_edges is None else n_edges, hot_rows)
     return hits.where(F.col("found") != F.col(key)).select(key, "found").distinct()
 
 
@@ -194,13 +191,13 @@ def incremental_dedup(
     """(kept documents, new index rows) of one batch against an index of earlier kept documents.
 
     A document already in the index stays kept and is not added again. Of the others, those that share a band
-    with the index are dropped and the rest goes through the greedy rounds.
+    with the index are dropped and the rest goes through the greedy rounds. ``banded`` should be a written table,
+    it is read more than once.
     """
-    banded = written(banded.select(key, "bands"), "batch-bands")
-    known = index.select(key).distinct()
+    known = indexed_keys(index, key)
     fresh = banded.join(known, key, "left_anti")
-    hits = lsh_candidates(fresh, index, key, hot_rows).select(key).distinct()
+    hits = lsh_candidates(fresh, index, key, hot_rows, count_edges(banded)).select(key)
     candidates = written(fresh.join(hits, key, "left_anti"), "batch-candidates")
-    new = written(greedy_keep(candidates, key, hot_rows), "batch-kept")
+    new = greedy_keep(candidates, key, hot_rows)
     kept = banded.select(key).join(known, key, "left_semi").unionByName(new)
     return kept, index_rows(candidates, new, key)

@@ -55,7 +55,7 @@ def near_dedup(docs: DataFrame, key: str, short_docs: str = "collapse") -> tuple
         banded = banded.where(~F.forall("bands", lambda b: b == empty))
     elif short_docs != "collapse":
         raise ValueError(short_docs)
-    kept = written(greedy_keep(banded, key), "kept")
+    kept = greedy_keep(banded, key)
     dropped = written(duplicates(banded, kept, key), "dropped")
     return every.select(key).join(dropped, key, "left_anti") if short_docs == "keep" else kept, dropped
 

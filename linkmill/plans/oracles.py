@@ -218,7 +218,8 @@ ORACLES: dict[str, str] = {
     "url_batches_skipped": f"""with {SUBS}, urls as (select url from subs group by url having sum(score) >= 3),
         placed as (select url, row_number() over (order by url) - 1 as position from urls)
         select url, cast((position - 25) // {URLS_PER_BATCH} as bigint) as url_batch from placed where position >= 25""",
-    "url_batch_files": f"""with {SUBS} select url, count(*) as n, cast(sum(score) as bigint) as total_score,
+    "url_batch_files": f"""with {SUBS} select url,
+        'scrapes_' || ((row_number() over (order by url) - 1) // {URLS_PER_BATCH}) || '.jsonl.zst' as output_name, count(*) as n, cast(sum(score) as bigint) as total_score,
         strftime(max(created_utc), {ISO}) as last_created from subs group by url having sum(score) >= 3""",
     "url_counts": f"""with {SUBS}, urls as (select url from subs group by url having sum(score) >= 3),
         batched as (select url, {_BATCHED} from urls)

@@ -254,12 +254,13 @@ def url_batches_skipped(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def url_batch_files(spark: SparkSession, sf: str) -> DataFrame:
-    """Batch folders of JSON lines, read back."""
+    """Files of 40 URLs each, read back with their names."""
     path = scratch_path(spark, "urls")
     url_files.write_url_batches(url_records.build_url_records(submissions(spark, sf)), path, URLS_PER_BATCH)
     back = url_files.read_url_files(spark, path)
     return back.select(
         "url",
+        S.replace_in_name(S.base_name(F.col("source_file")), "urls", "scrapes").alias("output_name"),
         F.size("meta.id").cast("bigint").alias("n"),
         url_records.meta_total(F.col("meta.score")).alias("total_score"),
         S.iso_timestamp(F.array_max("meta.created_utc")).alias("last_created"),

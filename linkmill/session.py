@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 #: Size of a full file split.
 SPLIT_BYTES = 128 << 20
@@ -55,10 +55,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     Cuts the lineage durably (a lost executor re-reads the table) and gives the optimizer true sizes, so a
     later join is broadcast only if the table really is small.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
+    path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def written_with(df: DataFrame, path: str, measure: Column) -> tuple[DataFrame, int]:
+    """The same for a given path, with an aggregate of the rows taken while they are written."""
+    seen = Observation()
+    df.observe(seen, measure.alias("measure")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["measure"] or 0
 
 
 def spread(df: DataFrame) -> DataFrame:

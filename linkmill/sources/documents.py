@@ -94,3 +94,14 @@ def write_documents(
         ).save(path)
         return
     lines.write.mode(mode).option("maxRecordsPerFile", max_records_per_file).text(path, compression=compression)
+
+
+def write_named_documents(df: DataFrame, path: str, file_name: str = "file_name") -> None:
+    """Write (text, meta) as exactly one ``.jsonl.zst`` file per value of ``file_name``.
+
+    One task writes a whole file, so this is for files of bounded size, such as URL batches.
+    """
+    register_zstd(df.sparkSession)
+    lines = document_lines(df.withColumn("file_name", F.col(file_name)), keep=["file_name"])
+    grouped = lines.repartition("file_name").sortWithinPartitions("file_name")
+    grouped.write.format("linkmill_zstd").mode("overwrite").save(path)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from linkmill.operators.batching import fixed_batches
 from linkmill.schemas import URL_META
 from linkmill.session import written
-from linkmill.sources.documents import document_lines, read_documents
+from linkmill.sources.documents import document_lines, read_documents, write_named_documents
 
 # Fixed value: URLs per file.
 URLS_PER_FILE = 100_000
@@ -24,11 +24,17 @@ def number_url_batches(records: DataFrame, urls_per_file: int = URLS_PER_FILE) -
     return records.join(numbered, "url")
 
 
+def batch_file_name(prefix: str, batch: str = "url_batch") -> Column:
+    """Fixed format of file names: ``urls_0.jsonl.zst``, ``scrapes_0.jsonl.zst`` and so on."""
+    return F.concat(F.lit(f"{prefix}_"), F.col(batch).cast("string"), F.lit(".jsonl.zst"))
+
+
 def write_url_batches(records: DataFrame, path: str, urls_per_file: int = URLS_PER_FILE) -> None:
-    """``url_batch=n`` folders of JSON lines, one URL per line as text and its metadata as meta."""
+    """``urls_{n}.jsonl.zst`` files of exactly ``urls_per_file`` URLs in url order: one URL per line as text, and
+    its metadata as meta."""
     batched = number_url_batches(records, urls_per_file)
-    lines = document_lines(batched.select(F.col("url").alias("text"), "meta", "url_batch"), keep=["url_batch"])
-    lines.repartition("url_batch").write.mode("overwrite").partitionBy("url_batch").text(path, compression="gzip")
+    named = batched.select(F.col("url").alias("text"), "meta", batch_file_name("urls").alias("file_name"))
+    write_named_documents(named, path)
 
 
 def write_url_files(records: DataFrame, path: str, urls_per_file: int = URLS_PER_FILE) -> None:
@@ -38,10 +44,9 @@ def write_url_files(records: DataFrame, path: str, urls_per_file: int = URLS_PER
 
 
 def read_url_files(spark: SparkSession, path: str) -> DataFrame:
-    """(url, meta) of all URL files below ``path``."""
-    return read_documents(spark, path, pattern="*.gz", meta_schema=URL_META).select(
-        F.col("text").alias("url"), "meta"
-    )
+    """(url, meta, source_file) of all URL files below ``path``."""
+    docs = read_documents(spark, path, pattern="*.{zst,gz}", meta_schema=URL_META)
+    return docs.select(F.col("text").alias("url"), "meta", "source_file")
 
 
 def stored_count(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:

@@ -23,11 +23,18 @@ def filesystem_of(path: str):
 
 @dataclass
 class Written(WriterCommitMessage):
-    names: list[str]
+    """(staged name, final name) of the files of one task."""
+
+    files: list[tuple[str, str]]
 
 
 class ZstdLinesWriter(DataSourceArrowWriter):
-    """Each task attempt writes below a staging folder; only files of committed attempts are moved out of it."""
+    """Writes the column ``value`` as lines.
+
+    Rows with a column ``file_name`` go to the file of that name; they must arrive grouped by it, each name in one
+    task. Otherwise files are numbered by task. Each task attempt writes below a staging folder, and only files of
+    committed attempts are moved out of it.
+    """
 
     def __init__(self, path: str, prefix: str, overwrite: bool, max_records: int):
         self.path, self.prefix, self.overwrite, self.max_records = path, prefix, overwrite, max_records
@@ -40,24 +47,25 @@ class ZstdLinesWriter(DataSourceArrowWriter):
         filesystem, base = filesystem_of(self.path)
         filesystem.create_dir(f"{base}/{self.staging}", recursive=True)
         task, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex[:12]
-        names, sink, packer, room = [], None, None, 0
-
-        def close():
-            if packer is not None:
-                packer.close()
+        files, packer, current, room = [], None, None, 0
 
         for batch in batches:
-            for line in batch.column(0).to_pylist():
-                if packer is None or (self.max_records and room == 0):
-                    close()
-                    names.append(f"{self.prefix}{task:05d}-{len(names):04d}-{attempt}.jsonl.zst")
-                    sink = filesystem.open_output_stream(f"{base}/{self.staging}/{names[-1]}", compression=None)
+            lines = batch.column("value").to_pylist()
+            names = batch.column("file_name").to_pylist() if "file_name" in batch.schema.names else [None] * len(lines)
+            for line, name in zip(lines, names):
+                if packer is None or name != current or (self.max_records and room == 0):
+                    if packer is not None:
+                        packer.close()
+                    staged = f"{self.prefix}{task:05d}-{len(files):04d}-{attempt}.jsonl.zst"
+                    files.append((staged, name or staged))
+                    sink = filesystem.open_output_stream(f"{base}/{self.staging}/{staged}", compression=None)
                     packer = zstandard.ZstdCompressor(level=ZSTD_LEVEL).stream_writer(sink)
-                    room = self.max_records
+                    current, room = name, self.max_records
                 packer.write(line.encode("utf-8") + b"\n")
                 room -= 1
-        close()
-        return Written(names)
+        if packer is not None:
+            packer.close()
+        return Written(files)
 
     def commit(self, messages: list[Written | None]) -> None:
         from pyarrow import fs
@@ -69,8 +77,8 @@ class ZstdLinesWriter(DataSourceArrowWriter):
                 if info.base_name.endswith(".jsonl.zst"):
                     filesystem.delete_file(info.path)
         for message in messages:
-            for name in message.names if message else []:
-                filesystem.move(f"{base}/{self.staging}/{name}", f"{base}/{name}")
+            for staged, name in message.files if message else []:
+                filesystem.move(f"{base}/{self.staging}/{staged}", f"{base}/{name}")
         self._drop_staging(filesystem, base)
 
     def abort(self, messages: list[Written | None]) -> None:

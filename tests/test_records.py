@@ -75,7 +75,9 @@ def test_batches_are_exact_and_parts_stay_together(spark):
 def test_url_files_round_trip(spark, tmp_path):
     records = build_url_records(submissions(spark, [(i, f"u{i:03d}", 3) for i in range(25)]))
     url_files.write_url_batches(records, str(tmp_path / "b"), 10)
-    assert sorted(p.name for p in (tmp_path / "b").iterdir() if p.is_dir()) == [f"url_batch={i}" for i in range(3)]
+    assert sorted(p.name for p in (tmp_path / "b").iterdir()) == [f"urls_{i}.jsonl.zst" for i in range(3)]
+    per_file = url_files.read_url_files(spark, str(tmp_path / "b")).groupBy("source_file").count().collect()
+    assert sorted(r["count"] for r in per_file) == [5, 10, 10]
     assert {r.url: r.meta.id for r in url_files.read_url_files(spark, str(tmp_path / "b")).collect()} == {
         f"u{i:03d}": [i] for i in range(25)
     }
