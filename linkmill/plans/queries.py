@@ -699,7 +699,8 @@ def stream_extraction(spark: SparkSession, sf: str) -> DataFrame:
     """Page files taken by a stream."""
     base = scratch_path(spark, "stream-extraction")
     variants = url_variants(spark, sf)
-    for half in ("page_id % 2 = 0", "page_id % 2 = 1"):
+    secure = F.col("url").startswith("https://")
+    for half in (secure, ~secure):
         variants.where(half).write.mode("append").parquet(f"{base}/pages")
         extraction.extract_pages(
             spark, f"{base}/pages", f"{base}/documents", f"{base}/checkpoint", extract.paragraph_extractor

@@ -3,6 +3,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from linkmill.operators.documents import attach_url_meta, overflow_meta
+from linkmill.operators.submissions import conform
 from linkmill.operators.url_records import build_url_records, merge_url_records, url_totals
 from linkmill.sources import url_files
 
@@ -59,6 +60,12 @@ def test_merge_takes_totals_again(spark):
     assert merged == {r.url: r.meta.id for r in build_url_records(subs).collect()} == {"a": [1, 3], "c": [4]}
 
 
+def test_any_source_with_the_six_columns(spark):
+    own = spark.sql("select 'x' extra, '7' id, 'u' url, 5 score, 't' title, 's' subreddit, '2010-01-01 00:00:00' created_utc")
+    record = build_url_records(conform(own)).first()
+    assert (record.url, record.meta.id, record.meta.created_utc) == ("u", [7], [T0])
+
+
 def test_totals(spark):
     rows = [(1, "a", 2), (2, "a", None), (3, "b", 5)]
     got = sorted(tuple(r) for r in url_totals(submissions(spark, rows), 2).collect())
