@@ -28,17 +28,18 @@ def successful(extracted: DataFrame) -> DataFrame:
 
 
 def attach_url_meta(extracted: DataFrame, records: DataFrame) -> DataFrame:
-    """(url, text, meta) documents: the page metadata with the URL's submission arrays, renamed.
+    """(url, text, meta, total_score) documents: the page metadata with the URL's submission arrays, renamed.
 
     One row per URL on both sides. A URL whose arrays are spread over several rows contributes its first part
-    here; the others come from ``overflow_meta``.
+    here, with the total score of all of them; the other parts come from ``overflow_meta``.
     """
+    total = F.col("total_score") if "total_score" in records.columns else meta_total(F.col("meta.score"))
     first = records.where(F.col("part") == 0) if "part" in records.columns else records
-    joined = extracted.join(first.select("url", F.col("meta").alias("_url_meta")), "url")
+    joined = extracted.join(first.select("url", F.col("meta").alias("_url_meta"), total.alias("total_score")), "url")
     own = [f.name for f in extracted.schema["meta"].dataType.fields if f.name not in RENAMED_META.values()]
     fields = [F.col(f"meta.{n}").alias(n) for n in own]
     fields += [F.col(f"_url_meta.{old}").alias(new) for old, new in RENAMED_META.items()]
-    return joined.select("url", "text", F.struct(*fields).alias("meta"))
+    return joined.select("url", "text", F.struct(*fields).alias("meta"), "total_score")
 
 
 def overflow_meta(records: DataFrame) -> DataFrame:
@@ -58,8 +59,12 @@ def legacy_scores(docs: DataFrame) -> Column:
 
 
 def min_total_score(docs: DataFrame, min_score: int = MIN_SCORE) -> DataFrame:
-    """Documents whose summed scores reach the minimum. An empty or missing array sums to 0."""
-    return docs.where(meta_total(legacy_scores(docs)) >= min_score)
+    """Documents whose summed scores reach the minimum. An empty or missing array sums to 0.
+
+    A column ``total_score`` is used where there is one: it also counts entries kept outside the document.
+    """
+    total = F.col("total_score") if "total_score" in docs.columns else meta_total(legacy_scores(docs))
+    return docs.where(total >= min_score)
 
 
 def in_languages(docs: DataFrame, langs: list[str], column: str = "meta.lang") -> DataFrame:

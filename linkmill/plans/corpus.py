@@ -34,7 +34,7 @@ def url_records_from_posts(posts: DataFrame, min_score: int = MIN_SCORE) -> Data
 def documents_from_pages(
     records: DataFrame, pages: DataFrame, extractor: Extractor = article_extractor
 ) -> DataFrame:
-    """(url, text, meta) for the pages fetched for ``records``.
+    """(url, text, meta, total_score) for the pages fetched for ``records``.
 
     Extraction comes first and is narrow: only extracted text, not HTML, is shuffled to meet its metadata.
     """

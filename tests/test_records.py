@@ -2,7 +2,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from linkmill.operators.documents import attach_url_meta, overflow_meta
+from linkmill.operators.documents import attach_url_meta, min_total_score, overflow_meta
 from linkmill.operators.submissions import conform
 from linkmill.operators.url_records import build_url_records, merge_url_records, url_totals
 from linkmill.sources import url_files
@@ -48,6 +48,9 @@ def test_extra_parts_are_kept_beside_the_documents(spark):
     pages = spark.createDataFrame([("hot", "text", ("T", "en"))], "url string, text string, meta struct<title: string, lang: string>")
     docs = attach_url_meta(pages, records).collect()
     rest = overflow_meta(records).collect()
+    # The score filter sees the total of all parts, not of the part in the document.
+    assert min_total_score(attach_url_meta(pages, records), 30).count() == 1
+    assert min_total_score(attach_url_meta(pages, records), 31).count() == 0
     assert len(docs) == 1 and docs[0].meta.title == "T"
     assert sorted(docs[0].meta.reddit_id + [i for r in rest for i in r.meta.reddit_id]) == list(range(30))
 
