@@ -7,8 +7,8 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
-#: Size of a full file split.
-SPLIT_BYTES = 128 << 20
+#: Inputs below this size may sit in a few row groups and are worth spreading before heavy work per row.
+SMALL_INPUT_BYTES = 1 << 30
 
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession:
@@ -70,11 +70,11 @@ def written_with(df: DataFrame, path: str, measure: Column) -> tuple[DataFrame,
 def spread(df: DataFrame) -> DataFrame:
     """Spread a small input over all cores before heavy work per row; leave a large one as it is.
 
-    A few megabytes may sit in one file split and would keep one core busy. From about one full split per core
-    on there is nothing to gain, and a shuffle of the texts would only cost.
+    A few megabytes may sit in one row group and would keep one core busy. A larger input has many splits, and a
+    shuffle of its texts would only cost.
     """
     if df.isStreaming:
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df if size >= cores * SPLIT_BYTES else df.repartition(cores)
+    return df if size >= SMALL_INPUT_BYTES else df.repartition(cores)
