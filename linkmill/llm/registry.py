@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from linkmill.llm import licenses, url_filter
+from linkmill.llm import licenses, main_text, tokens, url_filter
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
     "op3_license_scan": licenses.op3_license_scan,
+    "op4_main_text": main_text.op4_main_text,
+    "op8_token_counts": tokens.op8_token_counts,
 }
 
 ORACLES = {
