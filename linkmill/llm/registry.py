@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from linkmill.llm import decontaminate, licenses, main_text, tokens, url_filter
+from linkmill.llm import decontaminate, licenses, main_text, near_dups, tokens, url_filter
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
     "op3_license_scan": licenses.op3_license_scan,
     "op4_main_text": main_text.op4_main_text,
+    "op5_simhash": near_dups.op5_simhash,
     "op8_token_counts": tokens.op8_token_counts,
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }

@@ -50,7 +50,7 @@ def made(seed):
             a = rng.randrange(len(item) + 1)
             parts += item[a : a + rng.choice([3, 12, 13, 14, 50])]
         docs.append((i, "  ".join(parts)))
-    docs += [(100, None), (101, ""), (102, "..."), (None, "one"), (103, "SAME\n" * 40), (104, "word " * 30000 + items[0][1]), (100, None), (103, "SAME\n" * 40)]
+    docs += [(100, None), (101, ""), (102, "..."), (None, "one"), (103, "SAME\n" * 40), (104, "word " * 500 + items[0][1]), (100, None), (103, "SAME\n" * 40)]
     return docs, items
 
 
@@ -67,6 +67,15 @@ def test_equals_brute_force_and_sql(spark, tmp_path, seed):
     assert {r for r in con.execute(decontaminate.ORACLE).fetchall() if r[0] is not None} == {r for r in got if r[0] is not None}
 
 
+def test_very_long_text(spark):
+    docs, items = [(1, "word " * 300_000 + "a b c d e f g h i j k l m " * 2 + "z")], [(5, "a b c d e f g h i j k l m"), (6, "z")]
+    row = find_contamination(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    ).collect()[0]
+    assert (row.n_words, row.n_hit, row.item_ids, row.contaminated) == (300_027, 27, ["5", "6"], False)
+    assert [tuple(s) for s in row.hit_spans] == [(300_000, 300_026)]
+
+
 def test_every_window_of_8_keeps_its_smallest(spark):
     rng = random.Random(5)
     values = [rng.randrange(50) for _ in range(200)]
