@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from linkmill.llm import decontaminate, licenses, main_text, near_dups, tokens, url_filter
+from linkmill.llm import decontaminate, exact_dups, licenses, main_text, near_dups, tokens, url_filter
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
     "op3_license_scan": licenses.op3_license_scan,
     "op4_main_text": main_text.op4_main_text,
     "op5_simhash": near_dups.op5_simhash,
+    "op7_exact_dedup": exact_dups.op7_exact_dedup,
     "op8_token_counts": tokens.op8_token_counts,
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }
@@ -16,5 +17,6 @@ QUERIES = {
 ORACLES = {
     "op1_url_filter": url_filter.ORACLE,
     "op3_license_scan": licenses.ORACLE,
+    "op7_exact_dedup": exact_dups.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
 }

@@ -1,0 +1,63 @@
+import hashlib
+
+import duckdb
+from pyspark.sql import functions as F
+
+from linkmill.llm import exact_dups
+from linkmill.llm.exact_dups import drop_copies, exact_groups
+
+TEXTS = [
+    (5, "a b"), (3, "ab"), (4, "a\tb\n"), (9, "a  b"), (8, None), (7, ""), (6, " \r\n "), (1, "a b"), (2, "é"), (11, "é"),
+    (12, "x" * 500_000 + " y"), (13, "x" * 500_000 + "y"), (20, "AB"), (None, "ab "), (None, "null id"), (4, "a\tb\n"), (2, "é"),
+]
+
+
+def brute(rows):
+    groups = {}
+    for i, t in rows:
+        norm = (t or "").translate({c: None for c in [32, *range(9, 14)]})
+        groups.setdefault(norm, []).append((-len(t or ""), i is None, i))
+    out = []
+    for i, t in rows:
+        norm = (t or "").translate({c: None for c in [32, *range(9, 14)]})
+        best = min(groups[norm], key=lambda g: (g[0], g[1], g[2] or 0))
+        out.append((i, best[2], len(groups[norm]), hashlib.sha256(norm.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def test_groups_equal_brute_force_and_sql(spark, tmp_path):
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame([(i, t, "clash") for i, t in TEXTS], "doc_id long, text string, digest string").repartition(5).write.parquet(path)
+    rows = exact_dups.op7_exact_dedup(spark, str(tmp_path)).collect()
+    got = sorted(((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in rows), key=repr)
+    assert got == brute(TEXTS)
+    # One row of each group stays, also where whole rows repeat.
+    assert len([r for r in rows if r.kept]) == len({r.text_sha256 for r in rows})
+    assert all(r.keep_id == r.doc_id for r in rows if r.kept)
+    con = duckdb.connect()
+    con.execute(f"create view documents as select distinct doc_id, text from '{path}/*.parquet' where doc_id is not null")
+    mine = {(r.doc_id, r.text_sha256) for r in rows if r.doc_id is not None}
+    assert {(r[0], r[4]) for r in con.execute(exact_dups.ORACLE).fetchall()} == mine
+    kept = drop_copies(spark.read.parquet(path)).collect()
+    assert sorted((r.doc_id or 0, r.digest) for r in kept) == sorted((r.doc_id or 0, "clash") for r in rows if r.kept)
+
+
+def test_colliding_digests_are_told_apart_by_bytes(spark):
+    rows = [(i, t) for i, t in TEXTS if t is None or len(t) < 1000]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    weak = exact_groups(docs, digest=lambda norm: F.substring(exact_dups.sha256(norm), 1, 1).cast("string")).collect()
+    got = sorted(((r.id, r.keep.id, r.group_size) for r in weak), key=repr)
+    assert got == sorted((b[:3] for b in brute(rows)), key=repr)
+    assert sum(r.kept for r in weak) == len({b[3] for b in brute(rows)})
+
+
+def test_state_is_carried_over_batches(spark):
+    docs = spark.range(60).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.col("id") % 7).alias("text")).repartition(6)
+    rows = exact_groups(docs, files_per_batch=1).collect()
+    assert {(r.id, r.keep.id, r.group_size) for r in rows} == {(i, i % 7, 9 if i % 7 < 4 else 8) for i in range(60)}
+
+
+def test_empty_table_and_rows_without_files(spark):
+    docs = spark.createDataFrame([(1, "a", 5), (1, "a", 5)], "doc_id long, text string, _at int")
+    assert drop_copies(docs).collect() == [(1, "a", 5)] and exact_groups(docs.limit(0)).count() == 0
+    assert drop_copies(docs.limit(0)).count() == 0
