@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from linkmill.llm import decontaminate, exact_dups, licenses, main_text, near_dups, tokens, url_filter
+from linkmill.llm import decontaminate, exact_dups, licenses, main_text, near_dups, quality, tokens, toxicity, url_filter
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
+    "op2_toxicity": toxicity.op2_toxicity,
     "op3_license_scan": licenses.op3_license_scan,
     "op4_main_text": main_text.op4_main_text,
     "op5_simhash": near_dups.op5_simhash,
+    "op6_quality": quality.op6_quality,
     "op7_exact_dedup": exact_dups.op7_exact_dedup,
     "op8_token_counts": tokens.op8_token_counts,
     "op10_decontaminate": decontaminate.op10_decontaminate,
