@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from linkmill.llm import decontaminate, exact_dups, licenses, main_text, near_dups, quality, tokens, toxicity, url_filter
+from linkmill.llm import decontaminate, exact_dups, licenses, main_text, mixture, near_dups, quality, tokens, toxicity, url_filter
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_quality": quality.op6_quality,
     "op7_exact_dedup": exact_dups.op7_exact_dedup,
     "op8_token_counts": tokens.op8_token_counts,
+    "op9_mixture": mixture.op9_mixture,
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 
@@ -20,5 +21,6 @@ ORACLES = {
     "op1_url_filter": url_filter.ORACLE,
     "op3_license_scan": licenses.ORACLE,
     "op7_exact_dedup": exact_dups.ORACLE,
+    "op9_mixture": mixture.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
 }
