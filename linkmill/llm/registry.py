@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from linkmill.llm import decontaminate, exact_dups, licenses, main_text, mixture, near_dups, quality, tokens, toxicity, url_filter
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_token_counts": tokens.op8_token_counts,
     "op9_mixture": mixture.op9_mixture,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
