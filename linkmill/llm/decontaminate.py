@@ -174,7 +174,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc
     hits = written(
         diagonals.groupBy(F.col("key").alias("_key")).agg(F.collect_list(F.struct("item_id", "w", "delta")).alias("_hits")), "hits"
     )
-    with_hits = docs.select(*kept, key.alias("_key")).join(hits, "_key", "left")
+    # Hits grow with the documents, so they are never broadcast; texts are hashed to them, but not sorted.
+    with_hits = docs.select(*kept, key.alias("_key")).join(hits.hint("shuffle_hash"), "_key", "left")
     counted = with_hits.select(
         *kept,
         once(
