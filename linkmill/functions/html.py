@@ -8,14 +8,14 @@ from html.parser import HTMLParser
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from linkmill.functions.scalars import strip
+from linkmill.functions.scalars import has_text, strip
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "address article aside blockquote center dd div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr li"
     " main nav ol p pre section table td th tr ul".split()
 )
-SKIPPED = frozenset("script style noscript template nav header footer aside form".split())
+SKIPPED = frozenset("script style noscript template nav header footer aside".split())
 CONTAINERS = frozenset("article main section div td body".split())
 
 # Fixed value: a paragraph needs this many pieces between single spaces.
@@ -29,12 +29,14 @@ class SoleStrings(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.found: list[str] = []
         self.open: list[dict] = []
+        self.counts: dict[str, int] = {}
 
     def handle_starttag(self, tag, attrs):
-        if tag in BLOCKS and any(n["tag"] == "p" for n in self.open):
+        if tag in BLOCKS and self.counts.get("p"):
             self.handle_endtag("p")
         self._add_child(None)
         if tag not in VOID:
+            self.counts[tag] = self.counts.get(tag, 0) + 1
             self.open.append({"tag": tag, "children": 0, "text": None, "ends_in_text": False})
 
     def handle_startendtag(self, tag, attrs):
@@ -53,7 +55,7 @@ class SoleStrings(HTMLParser):
             self.open[-1]["ends_in_text"] = False
 
     def handle_endtag(self, tag):
-        if any(n["tag"] == tag for n in self.open):
+        if self.counts.get(tag):
             while self._close_last() != tag:
                 pass
 
@@ -71,6 +73,7 @@ class SoleStrings(HTMLParser):
 
     def _close_last(self) -> str:
         node = self.open.pop()
+        self.counts[node["tag"]] -= 1
         if node["tag"] == "p" and node["text"] is not None:
             self.found.append(node["text"])
         if self.open and self.open[-1]["children"] == 1:
@@ -89,14 +92,19 @@ def paragraph_text(html: str) -> tuple[str, int, int]:
 
 
 class ArticleReader(HTMLParser):
-    """Collects title, language and the text of ``<p>`` blocks by the container they stand in."""
+    """Collects title, language and the text of all blocks by the container they stand in.
+
+    The page's title heading is no block. Elements that are left open end with their parents, the skipped ones too.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.title, self.lang = "", ""
-        self.skip, self.in_title, self.in_p = 0, False, False
-        self.containers: list[int] = [0]
-        self.names: list[str] = ["body"]
+        self.in_title = False
+        #: Open block elements, from the outside in, with the number of the container that their text belongs to.
+        self.open: list[tuple[str, int]] = [("body", 0)]
+        self.counts: dict[str, int] = {"body": 1}
+        self.skip = 0
         self.blocks: list[tuple[int, bool, str]] = []
         self.buffer: list[str] = []
         self.serial = 0
@@ -104,60 +112,64 @@ class ArticleReader(HTMLParser):
     def handle_starttag(self, tag, attrs):
         values = dict(attrs)
         if tag == "html" and values.get("lang"):
-            self.lang = values["lang"][:2].lower()
+            self.lang = self._primary(values["lang"])
         elif tag == "meta" and not self.lang and (values.get("http-equiv") or "").lower() == "content-language":
-            self.lang = (values.get("content") or "")[:2].lower()
+            self.lang = self._primary(values.get("content") or "")
         elif tag == "title" and not self.title:
             self.in_title = True
-        if tag in SKIPPED:
-            self._flush()
-            self.skip += 1
-        elif tag == "br":
+        if tag == "br":
             self.buffer.append(" ")
-        elif tag in BLOCKS:
-            self._flush()
-            self.in_p = tag == "p"
-            if tag in CONTAINERS:
-                self.serial += 1
-                self.containers.append(self.serial)
-                self.names.append(tag)
+        if tag in VOID or tag not in BLOCKS | SKIPPED | CONTAINERS or tag == "body":
+            if tag == "hr":
+                self._flush()
+            return
+        self._flush()
+        if self.counts.get("p") and self.open[-1][0] == "p":
+            self._leave()
+        if tag in CONTAINERS:
+            self.serial += 1
+        self.open.append((tag, self.serial if tag in CONTAINERS else self.open[-1][1]))
+        self.counts[tag] = self.counts.get(tag, 0) + 1
+        self.skip += tag in SKIPPED
 
     def handle_endtag(self, tag):
         if tag == "title":
             self.in_title = False
-        elif tag in SKIPPED:
-            self._flush()
-            self.skip = max(0, self.skip - 1)
-        elif tag in BLOCKS:
+        elif tag in BLOCKS or tag in SKIPPED:
             self._flush()
-            self.in_p = False
-            if tag in CONTAINERS and tag in self.names[1:]:
-                while self.names[-1] != tag:
-                    self._leave()
-                self._leave()
+            if self.counts.get(tag):
+                while self._leave() != tag:
+                    pass
 
     def handle_data(self, data):
         if self.in_title:
             self.title += data
-        elif self.in_p and not self.skip:
+        elif not self.skip and not self.counts.get("h1"):
             self.buffer.append(data)
 
     def close(self):
         super().close()
         self._flush()
 
-    def _leave(self):
-        self.names.pop()
-        self.containers.pop()
+    @staticmethod
+    def _primary(code: str) -> str:
+        """The primary subtag of a language code."""
+        return code.split(",")[0].strip().replace("_", "-").split("-")[0].lower()
+
+    def _leave(self) -> str:
+        tag, _ = self.open.pop()
+        self.counts[tag] -= 1
+        self.skip -= tag in SKIPPED
+        return tag
 
     def _flush(self):
         text = " ".join("".join(self.buffer).split())
         self.buffer = []
         if text and not self.skip:
-            self.blocks.append((self.containers[-1], "article" in self.names, text))
+            self.blocks.append((self.open[-1][1], bool(self.counts.get("article")), text))
 
     def main_text(self) -> str:
-        """The paragraphs of the article, or else of the container with the most paragraph text."""
+        """The blocks of the article, or else of the container with the most text."""
         inside = [text for _, in_article, text in self.blocks if in_article]
         if inside:
             return "\n\n".join(inside)
@@ -186,8 +198,8 @@ def clean_markup(html: Column) -> Column:
     """Scripts, styles and comments removed, white space minified; null if no text is left between the tags."""
     bare = F.regexp_replace(html, DROPPED_MARKUP, "")
     small = F.trim(F.regexp_replace(F.regexp_replace(bare, r"\s+", " "), r"> <", "><"))
-    visible = strip(F.regexp_replace(F.regexp_replace(small, r"(?is)<title\b[^>]*>.*?</title\s*>", ""), "<[^>]*>", ""))
-    return F.when(F.length(visible) > 0, small)
+    visible = F.regexp_replace(F.regexp_replace(small, r"(?is)<title\b[^>]*>.*?</title\s*>", ""), "<[^>]*>", "")
+    return F.when(has_text(visible), small)
 
 
 def simple_paragraphs(html: Column) -> Column:

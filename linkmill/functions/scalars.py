@@ -10,13 +10,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: 12 base36 digits stay below 2**63, so the conversion can never overflow.
-BASE36_ID = "^[0-9A-Za-z]{1,12}$"
+BASE36_ID = r"^[0-9A-Za-z]+\z"
+
+#: The characters of Unicode's White_Space property, which ``(?U)\s`` stands for. Fixed values.
+WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def base36_to_long(col: Column) -> Column:
-    """Base36 text to BIGINT; null for anything that is not a plain base36 number."""
-    return F.when(col.rlike(BASE36_ID), F.conv(col, 36, 10).try_cast("bigint"))
+    """Base36 text to BIGINT; null for anything that is not a plain base36 number or lies beyond the BIGINT range.
+
+    Leading zeros don't count. What is left is converted in two halves of which none can overflow.
+    """
+    digits = F.ltrim(col, F.lit("0"))
+    low = F.conv(F.concat(F.lit("0"), F.right(digits, F.lit(6))), 36, 10).cast("decimal(38,0)")
+    high = F.conv(F.concat(F.lit("0"), F.left(digits, F.greatest(F.length(digits) - 6, F.lit(0)))), 36, 10)
+    value = high.cast("decimal(20,0)") * F.lit(36**6).cast("decimal(10,0)") + low
+    return F.when(col.rlike(BASE36_ID) & (F.length(digits) <= 13), value.try_cast("bigint"))
 
 
 def long_to_base36(col: Column) -> Column:
@@ -49,8 +58,13 @@ def space_words(text: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    """Remove leading and trailing Unicode whitespace."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+\z", "")
+    """Remove leading and trailing Unicode whitespace, in one pass from each end."""
+    return F.btrim(text, F.lit(WHITE_SPACE))
+
+
+def has_text(text: Column) -> Column:
+    """There is a character that is no Unicode whitespace; false for null."""
+    return F.coalesce(text.rlike(r"(?U)\S"), F.lit(False))
 
 
 def join_paragraphs(paragraphs: Column, joiner: str = "\n\n") -> Column:

@@ -15,6 +15,9 @@ URL_PATTERN = (
     r"(?:/?|[/?]\S+)$"
 )
 
+#: What the pattern asks for after the host.
+URL_END = r"(?::\d+)?(?:/?|[/?]\S+)$"
+
 # Domains without usable text.
 BLOCKED_DOMAINS = [
     "imgur.com",
@@ -165,12 +168,24 @@ def public_suffix(host_col: Column) -> Column:
 
 
 def is_valid(url: Column) -> Column:
-    """Long enough, no space, and the URL pattern; character classes and case folding are Unicode-aware."""
-    return (
-        (F.length(url) >= MIN_URL_LENGTH)
-        & ~F.contains(url, F.lit(" "))
-        & url.rlike("(?iUd)" + URL_PATTERN)
+    """Long enough, no space, and the answer of ``URL_PATTERN``; character classes and case folding are Unicode-aware.
+
+    The pattern itself repeats a group, for which the JVM's regex engine recurses, so a host of very many labels would
+    overflow a task's stack. Here the host's run of letters, digits, hyphens and dots, which is all that the pattern
+    can take as a name, is split at its dots, and each label has a flat pattern of its own.
+    """
+    flags = "(?iUd)"
+    run = F.regexp_extract(url, flags + r"^https?://([A-Z0-9.-]*)", 1)
+    scheme = F.regexp_extract(url, flags + r"^https?://", 0)
+    rest = F.substr(url, F.length(scheme) + F.length(run) + 1)
+    labels = F.split(F.when(run.endswith("."), F.left(run, F.length(run) - 1)).otherwise(run), r"\.", -1)
+    name = (F.size(labels) >= 2) & F.forall(
+        F.slice(labels, F.lit(1), F.greatest(F.size(labels) - 1, F.lit(0))),
+        lambda label: label.rlike(flags + r"^[A-Z0-9](?:[A-Z0-9-]{0,61}[A-Z0-9])?\z"),
     )
+    named = (scheme != "") & name & F.element_at(labels, -1).rlike(flags + r"^[A-Z0-9-]{2,}\z") & rest.rlike(flags + "^" + URL_END)
+    numbered = url.rlike(flags + r"^https?://\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}" + URL_END)
+    return (F.length(url) >= MIN_URL_LENGTH) & ~F.contains(url, F.lit(" ")) & (named | numbered)
 
 
 def is_blocked_domain(url: Column, domains: list[str] | None = None) -> Column:

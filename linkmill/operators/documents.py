@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linkmill.functions.scalars import strip
+from linkmill.functions.scalars import has_text
 from linkmill.functions.text import tokens
 from linkmill.operators.url_records import meta_total
 
@@ -24,28 +24,38 @@ RENAMED_META = {
 
 def successful(extracted: DataFrame) -> DataFrame:
     """Extractions that succeeded and have visible text."""
-    return extracted.where(F.col("success") & F.coalesce(F.length(strip(F.col("text"))) > 0, F.lit(False)))
+    return extracted.where(F.col("success") & has_text(F.col("text")))
+
+
+def one_per_url(extracted: DataFrame) -> DataFrame:
+    """One (url, text, meta) per URL: of several fetches of a page the longest text, then the last in order."""
+    best = F.max(F.struct(F.length("text").alias("n"), "text", "meta")).alias("best")
+    return extracted.groupBy("url").agg(best).select("url", "best.text", "best.meta")
 
 
 def attach_url_meta(extracted: DataFrame, records: DataFrame) -> DataFrame:
-    """(url, text, meta, total_score) documents: the page metadata with the URL's submission arrays, renamed.
+    """(url, part, text, meta, total_score, first_created): the page metadata with the URL's submission arrays, renamed.
 
-    One row per URL on both sides. A URL whose arrays are spread over several rows contributes its first part
-    here, with the total score of all of them; the other parts come from ``overflow_meta``.
+    A document is the row with ``part`` 0, which has the text. A URL whose arrays are spread over several rows has
+    them all here: the further rows carry their part of the arrays, the same page metadata, and no text. Total score
+    and first submission are those of the whole URL in each row.
     """
     total = F.col("total_score") if "total_score" in records.columns else meta_total(F.col("meta.score"))
-    first = records.where(F.col("part") == 0) if "part" in records.columns else records
-    joined = extracted.join(first.select("url", F.col("meta").alias("_url_meta"), total.alias("total_score")), "url")
+    part = F.col("part") if "part" in records.columns else F.lit(0)
+    created = F.col("first_created") if "first_created" in records.columns else F.array_min("meta.created_utc")
+    by_url = records.select(
+        "url", part.alias("part"), F.col("meta").alias("_url_meta"), total.alias("total_score"), created.alias("first_created")
+    )
+    joined = extracted.join(by_url, "url").withColumn("text", F.when(F.col("part") == 0, F.col("text")))
     own = [f.name for f in extracted.schema["meta"].dataType.fields if f.name not in RENAMED_META.values()]
     fields = [F.col(f"meta.{n}").alias(n) for n in own]
     fields += [F.col(f"_url_meta.{old}").alias(new) for old, new in RENAMED_META.items()]
-    return joined.select("url", "text", F.struct(*fields).alias("meta"), "total_score")
+    return joined.select("url", "part", "text", F.struct(*fields).alias("meta"), "total_score", "first_created")
 
 
-def overflow_meta(records: DataFrame) -> DataFrame:
-    """(url, part, meta) of the entries beyond the first row of very often submitted URLs."""
-    fields = [F.col(f"meta.{old}").alias(new) for old, new in RENAMED_META.items()]
-    return records.where(F.col("part") > 0).select("url", "part", F.struct(*fields).alias("meta"))
+def with_text(docs: DataFrame) -> DataFrame:
+    """The rows that are documents: without the further parts of often submitted URLs."""
+    return docs.where(F.col("part") == 0) if "part" in docs.columns else docs
 
 
 def legacy_scores(docs: DataFrame) -> Column:

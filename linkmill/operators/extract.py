@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkmill.functions.html import article, clean_markup, paragraph_text
-from linkmill.functions.scalars import percent, strip
+from linkmill.functions.scalars import percent, has_text
 from linkmill.functions.urls import base_domain, exclude_reason, host
 from linkmill.session import spread
 
@@ -77,7 +77,7 @@ def extract(pages: DataFrame, extractor: Extractor = article_extractor) -> DataF
     reason = exclude_reason(F.col("url"))
     usable = spread(pages.where(reason.isNull()).select("url", "html")).mapInPandas(extractor, EXTRACTED)
     skipped = pages.where(reason.isNotNull()).select("url", reason.alias("reason"))
-    is_empty = F.length(strip(F.coalesce("text", F.lit("")))) == 0
+    is_empty = ~has_text(F.col("text"))
     done = usable.withColumn(
         "reason", F.when(~F.col("success"), "error").when(is_empty, "empty_text")
     )

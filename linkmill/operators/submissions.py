@@ -30,7 +30,8 @@ def _project(posts: DataFrame, extra: list[str]) -> DataFrame:
     return posts.select(
         base36_to_long(F.col("id")).alias("id"),
         "url",
-        F.coalesce("score", F.lit(0)).cast("bigint").alias("score"),
+        # Whole or not, as text or number; what is no number counts as missing.
+        F.coalesce(F.col("score").try_cast("decimal(38,6)").try_cast("bigint"), F.lit(0)).alias("score"),
         "title",
         "subreddit",
         epoch_to_ntz(F.col("created_utc")).alias("created_utc"),

@@ -29,19 +29,26 @@ def url_totals(submissions: DataFrame, min_score: int | None = MIN_SCORE) -> Dat
 def build_url_records(
     submissions: DataFrame, min_score: int | None = MIN_SCORE, max_meta_per_row: int = MAX_META_PER_ROW
 ) -> DataFrame:
-    """(url, part, total_score, meta): all metadata of a URL, ordered by id, if its total score is high enough.
+    """(url, part, total_score, first_created, meta): all metadata of a URL, ordered by id, if its total score is high
+    enough.
 
     Almost every URL is one row with ``part`` 0. URLs with more than ``max_meta_per_row`` submissions are found
-    by a counting pass and split by a hash of the id, so that no task ever holds a whole hot URL. There can be
-    at most rows / max_meta_per_row of them, which bounds the broadcast.
+    by a counting pass and split by a hash of the id, so that no task ever holds a whole hot URL. Total score and first
+    submission are of the whole URL in every part. Spark broadcasts the list of hot URLs only if it is small.
     """
+    totals = submissions.groupBy("url").agg(
+        F.count(F.lit(1)).alias("n_submissions"),
+        F.sum(F.coalesce("score", F.lit(0))).alias("total_score"),
+        F.min("created_utc").alias("first_created"),
+    )
     hot = (
-        url_totals(submissions, None)
+        totals
         .where(F.col("n_submissions") > max_meta_per_row)
         .select(
             "url",
             F.ceil(F.col("n_submissions") / F.lit(max_meta_per_row)).alias("_parts"),
             F.col("total_score").alias("_hot_total"),
+            F.col("first_created").alias("_hot_first"),
         )
     )
     part = F.coalesce(F.pmod(F.xxhash64("id"), F.col("_parts")).cast("int"), F.lit(0))
@@ -51,18 +58,19 @@ def build_url_records(
         *[F.col(f) for f in META_FIELDS if f not in ("id", "score")],
     )
     grouped = (
-        submissions.join(F.broadcast(hot), "url", "left")
+        submissions.join(hot, "url", "left")
         .groupBy("url", part.alias("part"))
         .agg(
             F.sort_array(F.collect_list(entry)).alias("_entries"),
             F.sum(F.coalesce("score", F.lit(0))).alias("_sum"),
             F.max("_hot_total").alias("_hot_total"),
+            F.coalesce(F.max("_hot_first"), F.min("created_utc")).alias("first_created"),
         )
         .withColumn("total_score", F.coalesce("_hot_total", "_sum"))
     )
     if min_score is not None:
         grouped = grouped.where(F.col("total_score") >= min_score)
-    return grouped.select("url", "part", "total_score", aligned_meta(F.col("_entries")).alias("meta"))
+    return grouped.select("url", "part", "total_score", "first_created", aligned_meta(F.col("_entries")).alias("meta"))
 
 
 def merge_url_records(

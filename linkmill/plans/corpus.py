@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from linkmill.functions.text import PRIME, band_shape, with_bands, with_signature
 from linkmill.operators.dedup import apply_duplicates, duplicates, greedy_keep
-from linkmill.operators.documents import attach_url_meta, min_total_score, successful
+from linkmill.operators.documents import attach_url_meta, min_total_score, one_per_url, successful, with_text
 from linkmill.operators.extract import Extractor, article_extractor, extract
 from linkmill.operators.submissions import dedup_by_id, to_submissions
 from linkmill.operators.url_filter import usable_urls
@@ -34,11 +34,13 @@ def url_records_from_posts(posts: DataFrame, min_score: int = MIN_SCORE) -> Data
 def documents_from_pages(
     records: DataFrame, pages: DataFrame, extractor: Extractor = article_extractor
 ) -> DataFrame:
-    """(url, text, meta, total_score) for the pages fetched for ``records``.
+    """(url, part, text, meta, total_score, first_created) for the pages fetched for ``records``, written once.
 
-    Extraction comes first and is narrow: only extracted text, not HTML, is shuffled to meet its metadata.
+    Extraction comes first and is narrow: only extracted text, not HTML, is shuffled, to keep one page per URL and to
+    meet the URL's metadata. The result is a table, so that what follows reads it and extracts nothing again.
     """
-    return attach_url_meta(successful(extract(pages, extractor)), usable_urls(records))
+    found = one_per_url(successful(extract(pages, extractor)))
+    return written(attach_url_meta(found, usable_urls(records)), "documents")
 
 
 def signatures(docs: DataFrame, key: str) -> DataFrame:
@@ -61,7 +63,11 @@ def near_dedup(docs: DataFrame, key: str, short_docs: str = "collapse") -> tuple
 
 
 def clean_corpus(docs: DataFrame, key: str, min_score: int = MIN_SCORE) -> Corpus:
-    """Score filter, near-dedup, and the final corpus for (key, text, meta) documents."""
+    """Score filter, near-dedup, and the final corpus for (key, text, meta) documents.
+
+    ``docs`` should be a table, such as ``documents_from_pages`` gives: each result reads it again. Keys are unique
+    among rows with text; further parts of a URL go or stay with it.
+    """
     filtered = min_total_score(docs, min_score)
-    _, dropped = near_dedup(filtered, key)
+    _, dropped = near_dedup(with_text(filtered), key)
     return Corpus(docs, filtered, dropped, apply_duplicates(filtered, dropped, [key]))

@@ -96,17 +96,22 @@ def url_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, text, meta): each document takes the submission scores of one page URL, as its metadata."""
+    """(doc_id, part, text, meta, total_score): each document takes the submission scores of one page URL, as its
+    metadata; parts as in ``attach_url_meta``."""
     from linkmill.operators.url_records import build_url_records
 
     site = pages(spark, sf_dir)
     docs = documents(spark, sf_dir).withColumn(
         "page_id", F.col("doc_id") % site.agg(F.count(F.lit(1))).scalar()
     )
-    records = build_url_records(submissions(spark, sf_dir), min_score=None).where("part = 0")
-    by_page = site.select("page_id", "url").join(records.select("url", "meta.score", "meta.id"), "url", "left")
+    records = build_url_records(submissions(spark, sf_dir), min_score=None)
+    by_page = site.select("page_id", "url").join(
+        records.select("url", "part", "total_score", "meta.score", "meta.id"), "url", "left"
+    )
     return docs.join(by_page, "page_id").select(
         "doc_id",
-        "text",
+        F.coalesce("part", F.lit(0)).alias("part"),
+        F.when(F.coalesce("part", F.lit(0)) == 0, F.col("text")).alias("text"),
+        F.coalesce("total_score", F.lit(0)).alias("total_score"),
         F.struct("lang", "url", F.col("id").alias("reddit_id"), F.col("score").alias("reddit_score")).alias("meta"),
     )

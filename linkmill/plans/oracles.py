@@ -275,6 +275,10 @@ ORACLES: dict[str, str] = {
           array_to_string(string_split(split_part(split_part(r.url, '//', 2), '/', 1), '.')[-2:], '.') as domain,
           r.reddit_id, r.reddit_score, r.subreddit, r.reddit_title
         from records r join pages g using (url)""",
+    "document_meta_split": f"""with {SUBS}, scored as (select url, sum(score) as total from subs group by url having sum(score) >= 3)
+        select url, cast(total as bigint) as total_score, id, score from subs join scored using (url) join pages using (url)""",
+    "url_files_split": f"""with {SUBS}, scored as (select url, sum(score) as total from subs group by url having sum(score) >= 3)
+        select url, cast(total as bigint) as total_score, id, score from subs join scored using (url)""",
     "document_round_trip": """select doc_id, lang, n_chars, md5(text) as text_md5 from documents""",
     "document_open_meta": """select md5(text) as text_md5, case when lang <> 'fr'
         then '{"doc_id":' || doc_id || ',"source":"' || source || '"}' else '{}' end as meta from documents""",

@@ -392,6 +392,27 @@ def document_meta(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _entries(rows: DataFrame, ids: str, scores: str) -> DataFrame:
+    """(url, total_score, id, score): one row per entry of the arrays."""
+    zipped = F.explode(F.arrays_zip(F.col(ids).alias("id"), F.col(scores).alias("score"))).alias("e")
+    return rows.select("url", "total_score", zipped).select("url", "total_score", "e.id", "e.score")
+
+
+def document_meta_split(spark: SparkSession, sf: str) -> DataFrame:
+    """Every entry of every document's metadata, with rows of at most 16 entries or so."""
+    records = url_records.build_url_records(submissions(spark, sf), max_meta_per_row=16)
+    joined = D.attach_url_meta(D.successful(extract.extract_article(pages(spark, sf))), records)
+    return _entries(joined, "meta.reddit_id", "meta.reddit_score")
+
+
+def url_files_split(spark: SparkSession, sf: str) -> DataFrame:
+    """The same entries from URL files that were written and read back."""
+    path = scratch_path(spark, "split-urls")
+    records = url_records.build_url_records(submissions(spark, sf), max_meta_per_row=16)
+    url_files.write_url_batches(records, path, URLS_PER_BATCH)
+    return _entries(url_files.read_url_files(spark, path), "meta.id", "meta.score")
+
+
 # --- documents -----------------------------------------------------------------------------------------------
 
 
@@ -445,12 +466,12 @@ def word_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def min_total_score(spark: SparkSession, sf: str) -> DataFrame:
     """Documents whose scores sum to at least 1500."""
-    kept = D.min_total_score(scored_documents(spark, sf), HIGH_SCORE)
-    return kept.select("doc_id", url_records.meta_total(F.col("meta.reddit_score")).alias("total_score"))
+    kept = D.with_text(D.min_total_score(scored_documents(spark, sf), HIGH_SCORE))
+    return kept.select("doc_id", "total_score")
 
 
 def min_total_score_default(spark: SparkSession, sf: str) -> DataFrame:
-    return D.min_total_score(scored_documents(spark, sf)).select("doc_id")
+    return D.with_text(D.min_total_score(scored_documents(spark, sf))).select("doc_id")
 
 
 def language_filter(spark: SparkSession, sf: str) -> DataFrame:
@@ -639,11 +660,11 @@ def duplicate_stats(spark: SparkSession, sf: str) -> DataFrame:
 def clean_corpus(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with total score >= 1500 that survive near-dedup, from submissions to the final corpus."""
     result = corpus.clean_corpus(scored_documents(spark, sf), "doc_id", HIGH_SCORE)
-    return result.clean.select(
+    return D.with_text(result.clean).select(
         "doc_id",
         "meta.url",
         "meta.lang",
-        url_records.meta_total(F.col("meta.reddit_score")).alias("total_score"),
+        "total_score",
         F.length("text").cast("bigint").alias("n_chars"),
     )
 
@@ -763,6 +784,8 @@ QUERIES: dict[str, Query] = {
         failures_by_batch,
         successful_extractions,
         document_meta,
+        document_meta_split,
+        url_files_split,
         document_round_trip,
         document_open_meta,
         document_lists,

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-#: One post per line. ``created_utc`` is read as text because both numbers and numeric strings occur.
+#: One post per line. ``created_utc`` and ``score`` are read as text because numbers come in several forms.
 RAW_POST = T.StructType(
     [
         T.StructField("id", T.StringType()),
         T.StructField("is_self", T.BooleanType()),
         T.StructField("url", T.StringType()),
-        T.StructField("score", T.LongType()),
+        T.StructField("score", T.StringType()),
         T.StructField("title", T.StringType()),
         T.StructField("subreddit", T.StringType()),
         T.StructField("created_utc", T.StringType()),

@@ -25,8 +25,9 @@ def parse_documents(
 
     Text given as a list is joined, or kept as a list if ``autojoin_paragraphs`` is off (a plain text is then a
     list of one). Missing meta is an empty object. A bare string has no meta, so asking for it is an error, as
-    is a line that is no document at all.
+    is a line that is no document at all. Empty lines are skipped.
     """
+    lines = lines.where(F.col(line) != "")
     value = F.col(line)
     is_bare = F.ltrim(value).startswith('"')
     meta_type = "string" if meta_schema is None else meta_schema.simpleString()

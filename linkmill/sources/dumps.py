@@ -25,7 +25,9 @@ _RAW_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RAW_POST.f
 
 
 def parse_posts(lines: DataFrame, line: str = "value") -> DataFrame:
-    """Raw post columns plus ``_corrupt_record`` (the line itself if it is not a JSON object of posts)."""
+    """Raw post columns plus ``_corrupt_record`` (the line itself if it is not a JSON object of posts). Empty lines are
+    no posts."""
+    lines = lines.where(F.col(line) != "")
     parsed = F.from_json(
         F.col(line),
         f"{_RAW_DDL}, _corrupt_record string",

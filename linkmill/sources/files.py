@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkmill.functions.scalars import base_name
@@ -24,39 +24,38 @@ def find_files(spark: SparkSession, paths: str | list[str], pattern: str = "*")
     )
 
 
-def list_files(spark: SparkSession, paths: str | list[str], pattern: str = "*") -> list[str]:
-    """The same as a driver-side list of names, as any file scan needs it; no job is run."""
-    listing = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
-    )
-    return sorted(listing.load(paths).inputFiles())
+def _extension(path: Column) -> Column:
+    return F.lower(F.substring_index(base_name(path), ".", -1))
 
 
 def read_lines(spark: SparkSession, paths: str | list[str], pattern: str = "*") -> DataFrame:
-    """(value, source_file): the lines of every file below ``paths``, decompressed by extension.
+    """(value, source_file): the lines of every file below ``paths``, decompressed by extension, empty lines too.
 
     A last line without newline counts. An unknown extension is refused, because reading it as text would
-    silently give garbage.
+    silently give garbage. Spark lists and opens the files itself, whatever their names hold; only names of packed
+    files, each of which is one task, pass through the driver.
     """
-    files = list_files(spark, paths, pattern)
-    extension = lambda f: f.rsplit("/", 1)[-1].rsplit(".", 1)[-1].lower()
-    known = {*PLAIN_EXTENSIONS, *SPARK_CODEC_EXTENSIONS, *PACKED_EXTENSIONS}
-    unknown = [f for f in files if extension(f) not in known]
+    found = find_files(spark, paths, pattern).select("path", _extension(F.col("path")).alias("extension"))
+    known = [*PLAIN_EXTENSIONS, *SPARK_CODEC_EXTENSIONS, *PACKED_EXTENSIONS]
+    unknown = [r.path for r in found.where(~F.col("extension").isin(known)).limit(5).collect()]
     if unknown:
-        raise ValueError(f"unknown dump format: {unknown[:5]}")
-    if not files:
-        return spark.createDataFrame([], "value string, source_file string")
-    parts = []
-    direct = [f for f in files if extension(f) not in PACKED_EXTENSIONS]
-    if direct:
-        text = spark.read.text(direct, lineSep="\n")
-        parts.append(text.select("value", F.col("_metadata.file_path").alias("source_file")))
-    packed = [f for f in files if extension(f) in PACKED_EXTENSIONS]
-    if packed:
-        register_packed(spark)
-        parts.append(spark.read.format("linkmill_packed").option("files", "\n".join(packed)).load())
-    lines = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return lines.where(F.col("value") != "")
+        raise ValueError(f"unknown dump format: {unknown}")
+    text = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(paths, lineSep="\n")
+    # A condition on the file's name alone: Spark opens no other file.
+    name = F.col("_metadata.file_name")
+    direct = text.where(~_extension(name).isin(PACKED_EXTENSIONS)).select(
+        "value", plain_path(F.col("_metadata.file_path")).alias("source_file")
+    )
+    packed = [r.path for r in found.where(F.col("extension").isin(PACKED_EXTENSIONS)).select("path").collect()]
+    if not packed:
+        return direct
+    register_packed(spark)
+    return direct.unionByName(spark.read.format("linkmill_packed").option("files", "\n".join(sorted(packed))).load())
+
+
+def plain_path(uri: Column) -> Column:
+    """A path as it is named, from the URI-encoded form that file metadata has."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
 
 
 def lines_per_file(spark: SparkSession, paths: str | list[str], pattern: str = "*") -> DataFrame:

@@ -15,10 +15,12 @@ BATCH_BYTES = 8 << 20
 
 
 def open_stream(path: str):
-    """A readable byte stream for a local, HDFS or object-store path."""
+    """A readable byte stream for a local, HDFS or object-store path, given as it is named and not as a URI."""
+    from urllib.parse import quote
+
     from pyarrow import fs
 
-    uri = path if "://" in path else "file://" + path.removeprefix("file:")
+    uri = quote(path if "://" in path else "file://" + path.removeprefix("file:"), safe=":/@[]")
     filesystem, name = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://"))
     return filesystem.open_input_stream(name, compression=None)
 
@@ -28,7 +30,7 @@ PACKED_EXTENSIONS = ["xz", "minscored"]
 
 
 def unpack(path: str, packed):
-    if path.endswith(".xz"):
+    if path.lower().endswith(".xz"):
         return lzma.open(packed)
     import zstandard
 

@@ -25,4 +25,5 @@ def write_release(
 
 def first_submitted(docs: DataFrame) -> DataFrame:
     """Adds ``created``: when the page was first submitted, which decides the month of a release."""
-    return docs.withColumn("created", F.array_min("meta.reddit_created_utc"))
+    known = F.col("first_created") if "first_created" in docs.columns else F.array_min("meta.reddit_created_utc")
+    return docs.withColumn("created", known)

@@ -83,6 +83,28 @@ def test_no_line_is_lost(spark, dump_dir):
     assert to_submissions(posts).count() + len(bad) + skipped == len(LINES)
 
 
+def test_scores_and_ids_in_odd_forms(spark, tmp_path):
+    odd = {"5.0": 5, "-2.7": -2, '"8"': 8, "null": 0, '"x"': 0, "1e2": 100}
+    ids = {"1y2p0ij32e8e7": 2**63 - 1, "1y2p0ij32e8e8": None, "0000000000001": 1, "0": 0, "zzzzzzzzzzzzzzz": None, "00zz": 1295, "a\n": None}
+    head = '"url":"http://a.com/x","is_self":false,"created_utc":1'
+    lines = [f'{{"id":"{i + 10}",{head},"score":{s}}}' for i, s in enumerate(odd)]
+    lines += [json.dumps({"id": i, "url": "http://a.com/x", "is_self": False, "created_utc": 1}) for i in ids]
+    posts = dumps.parse_posts(spark.createDataFrame([(x,) for x in [*lines, ""]], "value string"))
+    rows = to_submissions(posts).collect()
+    assert [r.score for r in rows[: len(odd)]] == list(odd.values())
+    assert [r.id for r in rows[len(odd) :]] == [v for v in ids.values() if v is not None]
+    assert [r.reason for r in quarantine(posts).collect()] == ["bad_id"] * 3
+
+
+def test_blank_lines_count_and_names_may_be_odd(spark, tmp_path):
+    for name in ("a b.jsonl", "a[1].jsonl", "50%25.jsonl", "x.jsonl"):
+        (tmp_path / name).write_text('{"id":"1"}\n\n\n{"id":"2"}')
+    (tmp_path / "Y Z.XZ").write_bytes(lzma.compress(b'{"id":"1"}\n\n'))
+    counts = {r.source_file: r.n_lines for r in files.lines_per_file(spark, str(tmp_path)).collect()}
+    assert counts == {"a b.jsonl": 4, "a[1].jsonl": 4, "50%25.jsonl": 4, "x.jsonl": 4, "Y Z.XZ": 2}
+    assert dumps.read_dumps(spark, str(tmp_path)).count() == 9
+
+
 def test_unknown_formats_are_refused(spark, tmp_path):
     (tmp_path / "a.7z").write_bytes(b"x")
     with pytest.raises(ValueError):

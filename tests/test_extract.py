@@ -40,7 +40,48 @@ def test_article_prefers_article_then_the_fullest_container():
     assert article(inside) == ("A & B", "en", "first line\n\nsecond bold")
     without = page.replace("{}", "<div><p>much longer text</p><p>and more</p></div>")
     assert article(without)[2] == "much longer text\n\nand more"
-    assert article("plain") == ("", "", "")
+    assert article("plain") == ("", "", "plain")
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<div>only a div<br>and more</div>", "only a div and more"),
+        ("<article><p>a</p><pre>b\n c</pre><ul><li>d<li>e</ul><table><tr><td>f</table>g</article>", "a\n\nb c\n\nd\n\ne\n\nf\n\ng"),
+        ("<article><form><p>open form, open paragraph</article><aside>no</aside>", "open form, open paragraph"),
+        ("<div><nav>menu never closed<p>menu</div><div><p>the text</div>", "the text"),
+        ("<h1>title</h1><h2>part</h2><p>text", "part\n\ntext"),
+        ("<article>" + "<font><div>" * 20000 + "deep", "deep"),
+    ],
+)
+def test_article_takes_all_blocks(html, text):
+    assert article(html)[2] == text
+
+
+def test_language_is_the_primary_subtag():
+    assert [article(f'<html lang="{c}">')[1] for c in ("gsw-CH", "pt_BR", "EN", "x")] == ["gsw", "pt", "en", "x"]
+
+
+def test_many_open_tags_take_linear_time():
+    import time
+
+    start = time.perf_counter()
+    paragraph_text("<font><div>" * 40_000 + "<p>one two three four")
+    assert time.perf_counter() - start < 5
+
+
+def test_a_million_blanks_are_stripped_in_a_moment(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    from linkmill.functions.scalars import has_text, strip
+
+    df = spark.createDataFrame([(" " * 500_000 + "x" + "\u2003" * 500_000,), (" " * 1_000_000,)], "t string").cache()
+    df.count()
+    start = time.perf_counter()
+    got = df.select(strip(F.col("t")), has_text(F.col("t"))).collect()
+    assert [tuple(r) for r in got] == [("x", True), ("", False)] and time.perf_counter() - start < 5
 
 
 PAGES = [

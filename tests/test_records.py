@@ -2,7 +2,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from linkmill.operators.documents import attach_url_meta, min_total_score, overflow_meta
+from linkmill.operators.documents import attach_url_meta, min_total_score, with_text
 from linkmill.operators.submissions import conform
 from linkmill.operators.url_records import build_url_records, merge_url_records, url_totals
 from linkmill.sources import url_files
@@ -43,16 +43,30 @@ def test_hot_url_is_spread_and_stays_whole(spark):
     assert {r.url for r in build_url_records(subs, 900, 100).collect()} == {"hot"}
 
 
-def test_extra_parts_are_kept_beside_the_documents(spark):
+def test_all_parts_reach_the_documents(spark):
     records = build_url_records(submissions(spark, [(i, "hot", 1) for i in range(30)]), 3, 10)
     pages = spark.createDataFrame([("hot", "text", ("T", "en"))], "url string, text string, meta struct<title: string, lang: string>")
-    docs = attach_url_meta(pages, records).collect()
-    rest = overflow_meta(records).collect()
-    # The score filter sees the total of all parts, not of the part in the document.
-    assert min_total_score(attach_url_meta(pages, records), 30).count() == 1
-    assert min_total_score(attach_url_meta(pages, records), 31).count() == 0
-    assert len(docs) == 1 and docs[0].meta.title == "T"
-    assert sorted(docs[0].meta.reddit_id + [i for r in rest for i in r.meta.reddit_id]) == list(range(30))
+    joined = attach_url_meta(pages, records)
+    docs = joined.collect()
+    # One document, and the score filter sees the total of all parts in each of them.
+    assert [r.text for r in with_text(joined).collect()] == ["text"] and {r.text for r in docs if r.part} == {None}
+    assert min_total_score(joined, 30).count() == len(docs) == 3 and min_total_score(joined, 31).count() == 0
+    assert {r.meta.title for r in docs} == {"T"} and {r.first_created for r in docs} == {T0}
+    assert sorted(i for r in docs for i in r.meta.reddit_id) == list(range(30))
+
+
+def test_parts_survive_url_files(spark, tmp_path):
+    rows = [(i, "hot", 1) for i in range(600)] + [(1000 + i, f"u{i:02d}", 3) for i in range(15)]
+    records = build_url_records(submissions(spark, rows), 3, 16)
+    url_files.write_url_batches(records, str(tmp_path), 10)
+    key = lambda r: (r.url, r.part, r.total_score, r.first_created, tuple(r.meta.id))
+    back = url_files.read_url_files(spark, str(tmp_path)).collect()
+    assert sorted(map(key, back)) == sorted(map(key, records.collect())) and len({r.url for r in back}) == 16
+    # No file, hence no task, holds more than one part of the hot URL.
+    assert all(len([x for x in back if x.source_file == r.source_file and x.url == "hot"]) == 1 for r in back if r.url == "hot")
+    pages = spark.createDataFrame([("hot", "t", ("T",))], "url string, text string, meta struct<title: string>")
+    docs = attach_url_meta(pages, url_files.read_url_files(spark, str(tmp_path))).collect()
+    assert sorted(i for r in docs for i in r.meta.reddit_id) == list(range(600)) and {r.total_score for r in docs} == {600}
 
 
 def test_merge_takes_totals_again(spark):

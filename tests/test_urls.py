@@ -61,6 +61,14 @@ def test_pattern_is_the_python_pattern(spark, tails):
     assert got == {u: len(u) > 8 and " " not in u and pattern.match(u) is not None for u in urls}
 
 
+@pytest.mark.parametrize("labels", [2, 70, 2000, 20_000])
+@pytest.mark.parametrize("last", ["com", "com.", "c", "a-b/x", "co m", "com:80/", "-"])
+def test_hosts_of_any_length(spark, labels, last):
+    url = "http://" + "a1." * labels + last
+    ok = spark.createDataFrame([(url,)], "url string").select(U.is_valid(F.col("url"))).first()[0]
+    assert ok == (" " not in url and re.match(U.URL_PATTERN, url, re.IGNORECASE) is not None)
+
+
 @pytest.mark.parametrize(
     "url, host, base, suffix",
     [
