@@ -10,9 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkmill.functions.html import article, clean_markup, paragraph_text
-from linkmill.functions.scalars import percent, has_text
+from linkmill.functions.scalars import has_text, percent
 from linkmill.functions.urls import base_domain, exclude_reason, host
-from linkmill.session import spread
 
 #: What an extractor yields for each (url, html).
 EXTRACTED = (
@@ -20,9 +19,7 @@ EXTRACTED = (
     " success boolean, error string"
 )
 
-#: Pages handed to Python at a time. Pages are large, and Spark's default of 10,000 rows could fill a worker.
-PAGES_PER_BATCH = 256
-_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_EXTRACTED_NAMES = [column.split(" ")[0] for column in EXTRACTED.split(", ")]
 
 Extractor = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
@@ -64,24 +61,44 @@ article_extractor: Extractor = per_page("newspaper", _article_row)
 paragraph_extractor: Extractor = per_page("bs4", _paragraph_row)
 
 
+def _one_pass(extractor: Extractor) -> Extractor:
+    """The extractor for pages without a ``reason``; the others pass by with theirs."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        waiting: list[pd.DataFrame] = []
+
+        def usable() -> Iterator[pd.DataFrame]:
+            for part in parts:
+                out = part["reason"].notna()
+                rows = [{"url": u, "reason": r, "success": False} for u, r in zip(part["url"][out], part["reason"][out])]
+                passed = pd.DataFrame(rows, columns=[*_EXTRACTED_NAMES, "reason"], dtype=object)
+                waiting.append(passed.astype({"elapsed": float, "success": bool}))
+                yield part.loc[~out, ["url", "html"]]
+
+        for done in extractor(usable()):
+            yield done.assign(reason=pd.Series([None] * len(done), index=done.index, dtype=object))
+            while waiting:
+                yield waiting.pop()
+        while waiting:
+            yield waiting.pop()
+
+    return run
+
+
 def extract(pages: DataFrame, extractor: Extractor = article_extractor) -> DataFrame:
-    """(url, text, meta, success, reason) for pages (url, html).
+    """(url, text, meta, success, reason, error) for pages (url, html), in one pass over them.
 
-    Excluded URLs are settled first and never reach Python; their branch does not read the html column. ``reason``
-    is the exclusion, ``error`` for a page the extractor failed on, ``empty_text``, or null. The session's Arrow
-    batch size is lowered to PAGES_PER_BATCH if it is larger.
+    Excluded URLs are settled first; their html is not sent to Python. ``reason`` is the exclusion, ``error`` for a
+    page the extractor failed on, whose message is in the column ``error``, ``empty_text``, or null. Python gets pages
+    in batches of the session's ``spark.sql.execution.arrow.maxRecordsPerBatch``; a few hundred suit large pages.
     """
-    conf = pages.sparkSession.conf
-    if not 0 < int(conf.get(_BATCH_CONF)) <= PAGES_PER_BATCH:
-        conf.set(_BATCH_CONF, str(PAGES_PER_BATCH))
     reason = exclude_reason(F.col("url"))
-    usable = spread(pages.where(reason.isNull()).select("url", "html")).mapInPandas(extractor, EXTRACTED)
-    skipped = pages.where(reason.isNotNull()).select("url", reason.alias("reason"))
+    settled = pages.select("url", "html", reason.alias("reason"))
+    sent = settled.select("url", F.when(F.col("reason").isNull(), F.col("html")).alias("html"), "reason")
+    done = sent.mapInPandas(_one_pass(extractor), f"{EXTRACTED}, reason string")
     is_empty = ~has_text(F.col("text"))
-    done = usable.withColumn(
-        "reason", F.when(~F.col("success"), "error").when(is_empty, "empty_text")
-    )
-    rows = done.unionByName(skipped.withColumn("success", F.lit(False)), allowMissingColumns=True)
+    why = F.coalesce("reason", F.when(~F.col("success"), "error").when(is_empty, "empty_text"))
+    rows = done.withColumn("reason", why)
     meta = F.struct(
         F.coalesce("title", F.lit("")).alias("title"),
         F.col("lang"),
@@ -91,7 +108,7 @@ def extract(pages: DataFrame, extractor: Extractor = article_extractor) -> DataF
         F.col("scraper"),
         base_domain(host(F.col("url"))).alias("domain"),
     )
-    return rows.select("url", "text", meta.alias("meta"), "success", "reason")
+    return rows.select("url", "text", meta.alias("meta"), "success", "reason", "error")
 
 
 def extract_article(pages: DataFrame) -> DataFrame:

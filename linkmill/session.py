@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
-#: Inputs below this size may sit in a few row groups and are worth spreading before heavy work per row.
-SMALL_INPUT_BYTES = 1 << 30
+#: Bytes of a file split in a local session, so that small inputs use all cores. Clusters keep their own setting.
+LOCAL_SPLIT_BYTES = 4 << 20
 
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession:
@@ -19,6 +20,8 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.files.maxPartitionBytes", str(LOCAL_SPLIT_BYTES))
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -31,13 +34,13 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder; on a cluster a machine-local folder
-    would be lost with its executor, so a missing setting is an error there.
+    Only a session in one process (``local`` or ``local[...]``) without that setting gets a temporary folder; on a
+    cluster, a local one too, a machine-local folder is not seen by the others, so a missing setting is an error there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     root = tempfile.mkdtemp(prefix="linkmill-")
     spark.sparkContext.setCheckpointDir(root)
@@ -65,16 +68,3 @@ def written_with(df: DataFrame, path: str, measure: Column) -> tuple[DataFrame,
     seen = Observation()
     df.observe(seen, measure.alias("measure")).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["measure"] or 0
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a small input over all cores before heavy work per row; leave a large one as it is.
-
-    A few megabytes may sit in one row group and would keep one core busy. A larger input has many splits, and a
-    shuffle of its texts would only cost.
-    """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df if size >= SMALL_INPUT_BYTES else df.repartition(cores)
