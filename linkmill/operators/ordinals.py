@@ -28,17 +28,22 @@ def with_ordinal(
     parallel; the offsets table has at most slices + groups rows.
     """
     group = within or []
-    rows = sliced(df, group + order)
-    local = Window.partitionBy("_slice", *group).orderBy(*order)
-    sizes = rows.groupBy("_slice", *group).agg(F.count(F.lit(1)).alias("_n"))
+    columns = [F.col(c) for c in group + order]
+    # Sorted on its way to the file, so that a row's number in its slice is known when it is written: rows are
+    # shuffled once, and only meet the small table of offsets afterwards.
+    placed = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    rows = written(placed.withColumn("_place", F.monotonically_increasing_id()), "sliced")
+    in_slice = (1 << 33) - 1
+    rows = rows.withColumn("_slice", F.shiftrightunsigned("_place", 33)).withColumn(
+        "_place", F.col("_place").bitwiseAND(F.lit(in_slice))
+    )
+    sizes = rows.groupBy("_slice", *group).agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
     earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        "_slice", *group, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).cast("bigint").alias("_offset")
+        "_slice", *group, (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).cast("bigint").alias("_offset")
     )
-    numbered = rows.withColumn("_rank", F.row_number().over(local))
-    key = ["_slice", *group]
-    return numbered.join(offsets, key).select(
-        *df.columns, (F.col("_rank") - 1 + F.col("_offset")).cast("bigint").alias(name)
+    return rows.join(offsets, ["_slice", *group]).select(
+        *df.columns, (F.col("_place") + F.col("_offset")).cast("bigint").alias(name)
     )
 
 

@@ -623,13 +623,12 @@ def incremental_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 def duplicate_list(spark: SparkSession, sf: str) -> DataFrame:
     """Addresses (file, position) of the dropped documents; the order is (file, position)."""
-    docs = written(
-        batching.with_document_ordinal(
-            documents(spark, sf).select("doc_id", F.col("source").alias("source_file"), "text"), ["doc_id"]
-        ).withColumn("address", F.struct("source_file", "doc_ord")),
-        "addressed",
-    )
-    _, dropped = corpus.near_dedup(docs, "address")
+    docs = documents(spark, sf)
+    addressed = batching.with_document_ordinal(
+        docs.select("doc_id", F.col("source").alias("source_file")), ["doc_id"]
+    ).select("doc_id", F.struct("source_file", "doc_ord").alias("address"))
+    banded = written(corpus.signatures(docs, "doc_id").join(addressed, "doc_id").select("address", "bands"), "addressed")
+    dropped = dedup.duplicates(banded, dedup.greedy_keep(banded, "address"), "address")
     return dropped.select("address.source_file", "address.doc_ord")
 
 
@@ -643,7 +642,7 @@ def union_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     """Near-duplicates together with exact copies, each once."""
     docs = documents(spark, sf)
     _, near = corpus.near_dedup(docs, "doc_id")
-    first = docs.groupBy("text").agg(F.min("doc_id").alias("doc_id"))
+    first = docs.groupBy(F.sha2("text", 256)).agg(F.min("doc_id").alias("doc_id"))
     exact = docs.select("doc_id").join(first.select("doc_id"), "doc_id", "left_anti")
     return dedup.union_duplicates(near, exact)
 
