@@ -129,11 +129,13 @@ def exact_groups(
     members = written(here.join(hits.hint("shuffle_hash"), "digest").select("digest", "norm", "keep", F.length("text").cast("long").alias("n_chars"), "id", "_file", "_at"), "digest-members")
     at_keep = (F.col("_file") == F.col("keep._file")) & (F.col("_at") == F.col("keep._at"))
     first = members.where(at_keep).select("digest", F.col("norm").alias("first"))
+    # Nothing is aggregated right after this join, so the rows of a hot digest can be split in it.
     differing, collisions = written_with(
-        members.join(first, "digest").where("norm <> first").select("digest").distinct(), scratch_path(spark, "collisions"), F.count(F.lit(1))
+        members.join(first, "digest").where("norm <> first").select("digest"), scratch_path(spark, "collisions"), F.count(F.lit(1))
     )
     labelled = narrow.join(groups, "digest")
     if collisions:
+        differing = differing.distinct()
         mixed = members.drop("keep").join(differing, "digest").withColumn("n_chars", F.coalesce("n_chars", F.lit(0).cast("long")))
         exact = mixed.withColumnRenamed("digest", "weak").withColumnRenamed("norm", "digest")
         regrouped = exact.join(keep_state(exact), "digest").select(F.col("weak").alias("digest"), "n_chars", "id", "_file", "_at", "keep", "group_size")
