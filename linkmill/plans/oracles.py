@@ -371,5 +371,12 @@ ORACLES: dict[str, str] = {
         from docs d join walk w using (url) where w.kept""",
     "stream_ingest": f"with {SUBS} select {FLAT} from subs",
     "stream_extraction": f"""with {_OUTCOMES} select url, n_words as word_count from outcomes where reason is null""",
+    "stream_extraction_meta": f"""with {SUBS}, {_OUTCOMES}, records as (
+        select url, cast(sum(score) as bigint) as total_score, string_agg(cast(id as varchar), '|' order by id) as reddit_id
+        from subs group by url having sum(score) >= 3)
+        select url, n_words as word_count, total_score, reddit_id from outcomes join records using (url) where reason is null""",
+    "stream_extraction_failures": f"""with {_OUTCOMES}
+        select coalesce(starts_with(url, 'https://'), false) as secure, count(*) as n_urls, count(reason) as n_errors,
+          round(count(reason) * 100.0::double / count(*), 2) as error_pct from outcomes group by 1""",
     "stream_dedup": _INCREMENTAL,
 }

@@ -715,20 +715,47 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return _flat_submissions(ingest.read_ingested(spark, f"{base}/table"))
 
 
-def stream_extraction(spark: SparkSession, sf: str) -> DataFrame:
-    """Page files taken by a stream."""
+def _extracted_by_stream(spark: SparkSession, sf: str, records: DataFrame | None = None) -> str:
+    """Page files taken by a stream in two runs, plain and secure URLs; the folder of its results."""
     base = scratch_path(spark, "stream-extraction")
     variants = url_variants(spark, sf)
     secure = F.col("url").startswith("https://")
     for half in (secure, ~secure):
         variants.where(half).write.mode("append").parquet(f"{base}/pages")
         extraction.extract_pages(
-            spark, f"{base}/pages", f"{base}/documents", f"{base}/checkpoint", extract.paragraph_extractor
+            spark,
+            f"{base}/pages",
+            f"{base}/documents",
+            f"{base}/checkpoint",
+            extract.paragraph_extractor,
+            files_per_batch=1000,
+            records=records,
+            outcomes=f"{base}/outcomes",
         ).awaitTermination()
-    back = spark.read.parquet(f"{base}/documents")
+    return base
+
+
+def stream_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    """Page files taken by a stream."""
+    back = spark.read.parquet(f"{_extracted_by_stream(spark, sf)}/documents")
     return back.select("url", "meta.word_count")
 
 
+def stream_extraction_meta(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with the metadata and total score of each URL."""
+    records = written(url_records.build_url_records(submissions(spark, sf)), "records")
+    back = D.with_text(spark.read.parquet(f"{_extracted_by_stream(spark, sf, records)}/documents"))
+    ids = F.array_join(F.col("meta.reddit_id").cast("array<string>"), "|").alias("reddit_id")
+    return back.select("url", "meta.word_count", "total_score", ids)
+
+
+def stream_extraction_failures(spark: SparkSession, sf: str) -> DataFrame:
+    """Errors and error percentage of each batch of the stream; the first batch has the secure URLs."""
+    outcomes = spark.read.parquet(f"{_extracted_by_stream(spark, sf)}/outcomes")
+    first = outcomes.withColumn("secure", F.col("batch_id") == 0)
+    return extract.failures_by_batch(first, "secure")
+
+
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Document files taken by a stream in two runs against one index."""
     base = scratch_path(spark, "stream-dedup")
@@ -823,6 +850,8 @@ QUERIES: dict[str, Query] = {
         corpus_from_dumps,
         stream_ingest,
         stream_extraction,
+        stream_extraction_meta,
+        stream_extraction_failures,
         stream_dedup,
     ]
 }

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from linkmill.operators.documents import successful
+from linkmill.operators.documents import attach_url_meta, one_per_url, successful
 from linkmill.operators.extract import Extractor, article_extractor, extract
+from linkmill.session import written
+from linkmill.streaming.tables import write_batch
 
 PAGE = T.StructType(
     [
@@ -18,6 +20,24 @@ PAGE = T.StructType(
 )
 
 
+def extract_batch(
+    pages: DataFrame,
+    documents: str,
+    batch_id: int,
+    extractor: Extractor,
+    records: DataFrame | None,
+    outcomes: str | None,
+) -> None:
+    """One batch: its documents, and what became of each of its pages, both under the batch id."""
+    done = written(extract(pages, extractor), "extracted")
+    if outcomes:
+        write_batch(done.select("url", "success", "reason", "error"), outcomes, batch_id)
+    found = one_per_url(successful(done))
+    rows = found if records is None else attach_url_meta(found, records)
+    # Documents go last: a batch that has them is finished.
+    write_batch(rows, documents, batch_id)
+
+
 def extract_pages(
     spark: SparkSession,
     pages: str,
@@ -25,10 +45,14 @@ def extract_pages(
     checkpoint: str,
     extractor: Extractor = article_extractor,
     files_per_batch: int = 64,
+    records: DataFrame | None = None,
+    outcomes: str | None = None,
 ) -> StreamingQuery:
     """Extract every page file that has not been taken yet into the documents folder, then stop.
 
-    The Parquet file sink commits each micro-batch atomically, so a replay after a failure changes nothing.
+    With ``records`` documents carry their URL's metadata and total score, as in a batch run; each batch reads the
+    records again. ``outcomes`` names a folder for (url, success, reason, error) of every page, by ``batch_id``, from
+    which ``failures_by_batch`` counts. A batch that is replayed after a failure overwrites what it wrote before.
     """
     incoming = (
         spark.readStream.schema(PAGE)
@@ -37,11 +61,10 @@ def extract_pages(
         .parquet(pages)
     )
     return (
-        successful(extract(incoming, extractor))
-        .select("url", "text", "meta")
-        .writeStream.format("parquet")
+        incoming.writeStream.foreachBatch(
+            lambda batch, n: extract_batch(batch, documents, n, extractor, records, outcomes)
+        )
         .option("checkpointLocation", checkpoint)
-        .option("path", documents)
         .trigger(availableNow=True)
         .start()
     )
