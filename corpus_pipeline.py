@@ -6,6 +6,8 @@ columns of ``docs``. An empty table gives an empty one; repeated rows are told a
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,10 +20,24 @@ from linkmill.llm.quality import resampler
 from linkmill.session import written
 
 
+def _aside(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """Id and text beside one struct of all other columns, whose names then can't clash with an operator's; and the
+    way back."""
+    own = ("doc_id", "text")
+    others = [c for c in docs.columns if c not in own]
+    kept = [F.struct(*[F.col(f"`{c}`") for c in others]).alias("_others")] if others else []
+
+    def back(rows: DataFrame) -> DataFrame:
+        return rows.select(*[F.col(c) if c in own else F.col(f"_others.`{c}`").alias(c) for c in docs.columns])
+
+    return docs.select(*own, *kept), back
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the importance resampling selects; a null or empty text weighs nothing against it and stays."""
-    _, mark = resampler(docs, table(spark, sf_dir, "labels"))
-    return mark(docs).where("selected").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows, back = _aside(docs)
+    _, mark = resampler(rows, table(spark, sf_dir, "labels"))
+    return back(mark(rows).where("selected"))
 
 
 def keep_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +55,9 @@ def keep_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that aren't contaminated with passages of the benchmark."""
-    found = find_contamination(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
-    return found.where(~F.col("contaminated")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows, back = _aside(docs)
+    found = find_contamination(rows, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return back(found.where(~F.col("contaminated")))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -81,3 +81,17 @@ def test_empty_documents(spark, folder, tmp_path):
     empty = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, folder).count() == 0
+
+
+def test_other_columns_are_carried_whatever_their_names(spark, folder):
+    names = ["draw", "n_words", "item_ids", "_hits", "_key", "_others", "selected", "_file", "fp", "component_id", "a.b"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id < 40")
+    extra = docs.select("*", *[F.concat(F.lit(f"{n}-"), F.col("doc_id").cast("string")).alias(n) for n in names])
+    extra.write.parquet(f"{folder}/clash.parquet")
+    extra = spark.read.parquet(f"{folder}/clash.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        plain = {r.doc_id for r in stage(spark, docs, folder).collect()}
+        out = stage(spark, extra, folder)
+        assert out.columns == extra.columns
+        rows = out.collect()
+        assert {r.doc_id for r in rows} == plain and all(r[n] == f"{n}-{r.doc_id}" for r in rows for n in names)
