@@ -18,8 +18,9 @@ SOURCE_WEIGHTS = {"src0": 3, "": 1}
 #: The budget as a percentage of all tokens, and how often a document may be taken at most.
 BUDGET_PERCENT, EPOCHS = 100, 4
 SEED = 42
-#: Documents of a leaf are ordered by a digest; its first hex digits cut the order into ranges.
-RANGE_DIGITS = 3
+#: Documents of a leaf are ordered by a digest. So many of its hex digits cut the order into ranges, and the range in
+#: which the budget ends is cut again, on so many levels in all.
+RANGE_DIGITS, RANGE_LEVELS = 2, 2
 
 
 def word_count(text: Column) -> Column:
@@ -108,9 +109,9 @@ def mix(
     texts included, are never taken. A null language or source is a leaf of its own, named "". Repeated rows are
     taken each by itself; a null id is ordered first. Other columns are not read; an empty table gives no rows.
 
-    Texts are read once and not shuffled. The order in a leaf is cut into 4,096 ranges by digest: whole ranges are
-    taken by their sums, and only the one range in which the budget ends is sorted, so a leaf with a third of all
-    documents is no single task.
+    Texts are read once and not shuffled. The order in a leaf is cut into 256 ranges by digest, and the one in which the
+    budget ends into 256 again: whole ranges are taken by their sums, and only 1 in 65,536 documents of a leaf is
+    sorted, so a leaf with a third of all documents is no single task.
     """
     rows = written(
         docs.select(
@@ -131,28 +132,30 @@ def mix(
         .withColumn("rest", F.expr("budget % tokens")),
         "mix-plan",
     )
-    placed = (
-        rows.join(plan.select(*leaf, "whole", "rest"), leaf)
-        .withColumn("draw", F.md5(F.concat_ws(":", F.lit(str(seed)), (F.col("whole") + 1).cast("string"), F.col("id").cast("string")).cast("binary")))
-        .withColumn("range", F.substring("draw", 1, RANGE_DIGITS))
+    placed = rows.join(plan.select(*leaf, "whole", "rest"), leaf).withColumn(
+        "draw",
+        F.md5(F.concat_ws(":", F.lit(str(seed)), (F.col("whole") + 1).cast("string"), F.col("id").cast("string")).cast("binary")),
     )
+    zero = F.lit(0).cast("long")
+    # The range in which the budget ends, and the tokens before it; each level cuts the last one's range again.
+    cuts = plan.where("rest > 0").select(*leaf, F.lit("").alias("cut"), zero.alias("before"))
     upto = Window.partitionBy(*leaf).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = (
-        placed.groupBy(*leaf, "rest", "range").agg(F.sum("n_tokens").alias("in_range"))
-        .withColumn("before", F.coalesce(F.sum("in_range").over(upto), F.lit(0).cast("long")))
-    )
-    # The last range that is reached, and the tokens of the ranges before it.
-    cuts = written(
-        ranges.where("before < rest").groupBy(*leaf).agg(F.max(F.struct("range", "before")).alias("cut")).select(
-            *leaf, F.col("cut.range").alias("cut"), F.col("cut.before").alias("before")
-        ),
-        "mix-cuts",
-    )
+    for digits in range(RANGE_DIGITS, RANGE_DIGITS * RANGE_LEVELS + 1, RANGE_DIGITS):
+        reached = placed.join(cuts, leaf).where(F.col("draw").startswith(F.col("cut")))
+        sums = reached.groupBy(*leaf, "rest", "before", F.substring("draw", 1, digits).alias("range")).agg(F.sum("n_tokens").alias("in_range"))
+        ranges = sums.withColumn("before", F.col("before") + F.coalesce(F.sum("in_range").over(upto), zero))
+        last_range = F.max(F.struct("range", "before")).alias("last")
+        cuts = written(
+            ranges.where("before < rest").groupBy(*leaf).agg(last_range).select(
+                *leaf, F.col("last.range").alias("cut"), F.col("last.before").alias("before")
+            ),
+            "mix-cuts",
+        )
     cut = placed.join(cuts, leaf)
-    inside = cut.where(F.col("range") == F.col("cut"))
+    inside = cut.where(F.col("draw").startswith(F.col("cut")))
     order = Window.partitionBy(*leaf).orderBy("draw", "id", "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
     last = (
-        inside.withColumn("start", F.col("before") + F.coalesce(F.sum("n_tokens").over(order), F.lit(0).cast("long")))
+        inside.withColumn("start", F.col("before") + F.coalesce(F.sum("n_tokens").over(order), zero))
         .where("start < rest")
         .withColumn("take_tokens", F.least("n_tokens", F.col("rest") - F.col("start")))
     )
@@ -160,7 +163,7 @@ def mix(
     whole = placed.where("whole > 0").select(
         *names, F.explode(F.sequence(F.lit(1).cast("long"), "whole")).alias("epoch"), "n_tokens", F.col("n_tokens").alias("take_tokens")
     )
-    partly = cut.where(F.col("range") < F.col("cut")).select(*names, (F.col("whole") + 1).alias("epoch"), "n_tokens", F.col("n_tokens").alias("take_tokens"))
+    partly = cut.where(F.substring("draw", 1, RANGE_DIGITS * RANGE_LEVELS) < F.col("cut")).select(*names, (F.col("whole") + 1).alias("epoch"), "n_tokens", F.col("n_tokens").alias("take_tokens"))
     return whole.unionByName(partly).unionByName(last.select(*names, (F.col("whole") + 1).alias("epoch"), "n_tokens", "take_tokens"))
 
 

@@ -38,9 +38,10 @@ def rows_of(n):
     return [(i, "w " * (i % 13), ["en", "de", "fr", None][i % 4], f"src{i % 23}" if i % 29 else None) for i in range(n)]
 
 
-@pytest.mark.parametrize("digits", [3, 1])
-def test_equals_sql_and_gives_each_budget_exactly(spark, tmp_path, monkeypatch, digits):
+@pytest.mark.parametrize("digits, levels", [(2, 2), (1, 3), (1, 1)])
+def test_equals_sql_and_gives_each_budget_exactly(spark, tmp_path, monkeypatch, digits, levels):
     monkeypatch.setattr(mixture, "RANGE_DIGITS", digits)
+    monkeypatch.setattr(mixture, "RANGE_LEVELS", levels)
     path = str(tmp_path / "documents.parquet")
     rows = [*rows_of(600), (700, None, "en", "src0"), (701, "", "en", "src0"), (None, "a b c", "en", "src0"), (5, "w " * 5, "de", "src5"), (5, "w " * 5, "de", "src5"), (702, "long " * 100_000, "es", "src3")]
     spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, lang string, source string, range int").write.parquet(path)
