@@ -194,10 +194,24 @@ def article(html: str) -> tuple[str, str, str]:
 DROPPED_MARKUP = r"(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|<!--.*?-->|<!doctype[^>]*>"
 
 
+#: Scripts inside tags: event handlers, and links that run a script. A value in quotes, with the tag's end ahead.
+INLINE_SCRIPT = (
+    r"""(?is)\s(?:on[a-z]+\s*=\s*(?:"[^"]*"|'[^']*')|(?:href|src|action)\s*=\s*(?:"\s*javascript:[^"]*"|'\s*javascript:[^']*'))"""
+    r"(?=[^<>]*>)"
+)
+
+
 def clean_markup(html: Column) -> Column:
-    """Scripts, styles and comments removed, white space minified; null if no text is left between the tags."""
-    bare = F.regexp_replace(html, DROPPED_MARKUP, "")
-    small = F.trim(F.regexp_replace(F.regexp_replace(bare, r"\s+", " "), r"> <", "><"))
+    """Scripts, also those inside tags, styles and comments removed, white space minified but for ``<pre>``; null if no
+    text is left between the tags."""
+    bare = F.regexp_replace(F.regexp_replace(html, DROPPED_MARKUP, ""), INLINE_SCRIPT, "")
+
+    def minified(part: Column) -> Column:
+        small = F.regexp_replace(F.regexp_replace(part, r"\s+", " "), r"> <", "><")
+        return F.when(part.rlike(r"(?is)^<pre\b"), part).otherwise(F.regexp_replace(small, r"(?<=>) \z|\A (?=<)", ""))
+
+    parts = F.split(bare, r"(?is)(?=<pre\b)|(?<=</pre>)", -1)
+    small = F.trim(F.array_join(F.transform(parts, minified), ""))
     visible = F.regexp_replace(F.regexp_replace(small, r"(?is)<title\b[^>]*>.*?</title\s*>", ""), "<[^>]*>", "")
     return F.when(has_text(visible), small)
 

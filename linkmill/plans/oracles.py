@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from linkmill.functions.text import HASH_A_BASE, HASH_A_STEP, HASH_B_STEP, NUM_PERM, PRIME, TOKEN
 from linkmill.functions.urls import BLOCKED_DOMAINS, BLOCKED_EXTENSIONS, TWO_LABEL_SUFFIXES, URL_PATTERN
 from linkmill.plans.queries import HIGH_SCORE, N_BATCHES, URLS_PER_BATCH
 
+# The hash family and the tokens of the signatures, written out here and not taken from the Spark code.
+PRIME, NUM_PERM = 2147483647, 10
+HASH_A_STEP, HASH_A_BASE, HASH_B_STEP = 1000003, 7919, 104729
+TOKEN = r"[\p{L}\p{N}_]+|[^\s\p{L}\p{N}_]"
+
 
 def _quoted(values: list[str]) -> str:
     return ", ".join(f"'{v}'" for v in values)

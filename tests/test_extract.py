@@ -149,3 +149,19 @@ def test_batch_errors(spark):
     df = spark.createDataFrame([(0, None), (0, "error"), (0, "empty_text"), (1, None)], "url_batch long, reason string")
     got = sorted(tuple(r) for r in E.failures_by_batch(df).collect())
     assert got == [(0, 3, 2, 66.67), (1, 1, 0, 0.0)]
+
+
+def test_clean_markup_drops_inline_scripts_and_keeps_pre(spark):
+    from pyspark.sql import functions as F
+
+    from linkmill.functions.html import clean_markup
+
+    cases = {
+        """<a href="javascript:x()" onclick="a > b" class='c' ONLOAD='y'>t</a>""": "<a class='c'>t</a>",
+        "<p>so on = \"x\" it  goes</p>": "<p>so on = \"x\" it goes</p>",
+        "<div> <pre>a\n  b</pre> <p>c\n d</p></div>": "<div><pre>a\n  b</pre><p>c d</p></div>",
+        "<pre>open\n  end": "<pre>open\n  end",
+        "<script>x</script> <!-- y -->": None,
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "html string")
+    assert {r.html: r.c for r in df.select("html", clean_markup(F.col("html")).alias("c")).collect()} == cases
