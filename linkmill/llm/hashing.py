@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 
 #: Bytes taken at a time; a longer text is cut at white space.
-SLAB = 1 << 21
+SLAB = 1 << 19
 
 _BASE = 0x9E3779B97F4A7C15
 _SPACE, _WORD, _SIGN = 0, 1, 2
