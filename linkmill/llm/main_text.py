@@ -27,10 +27,12 @@ _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span"
     " strike strong sub sup time tt u var".split()
 )
+#: Elements that hold no text of a page.
 _SKIPPED = frozenset(
-    "nav footer aside form button select option datalist template noscript object svg math canvas audio video map menu"
-    " dialog head".split()
+    "button select option datalist template noscript object svg math canvas audio video map dialog head".split()
 )
+#: Elements that mark what is no article, as the words below do. A mark isn't final: see _free_blocks.
+_MARKED_TAGS = frozenset("nav footer aside form menu header".split())
 #: Words in class or id, or roles, that mark what is no article: menus, sidebars, notices, adverts, comments.
 _MARKED = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner sidebar aside"
@@ -39,6 +41,19 @@ _MARKED = frozenset(
     " recommendations comment comments disqus reply replies respond responses toolbar pagination pager widget login"
     " complementary contentinfo search skip outbrain taboola".split()
 )
+#: Words beside which a marked word still marks: site-footer does, has-sidebar and x-widget-container don't.
+_PLACES = frozenset(
+    "site main page top bottom left right primary secondary global area list section block box bar link links item items"
+    " icon icons button buttons slot text".split()
+)
+#: Marks of what others say or what stands beside the article: these need more than half of a page to be its text.
+_FOREIGN = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion cookie cookies consent"
+    " gdpr related recommended recommendations comment comments disqus reply replies respond responses outbrain taboola"
+    " nav footer menu".split()
+)
+#: Shares of a page's points that a mark must hold to be no mark.
+_MOST, _NEARLY_ALL = 0.5, 0.8
 _MARKED_ARTICLE = frozenset("ad ads advert advertisement sponsored comment comments reply promo related".split())
 _ENDS_PARAGRAPH = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "p": "p"}
 _SCOPE = frozenset("table ul ol dl article section main div body html td th li blockquote".split())
@@ -48,19 +63,21 @@ _START = {"article": 20.0, "main": 15.0, "section": 3.0, "div": 3.0, "td": 2.0,
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "index", "chars", "links", "points", "skipped")
+    __slots__ = ("tag", "parent", "index", "chars", "links", "points", "skipped", "mark", "held", "marks")
+
+    def __init__(self, tag: str, parent: _Node | None, index: int, skipped: bool, mark: str):
+        self.tag, self.parent, self.index, self.skipped, self.mark = tag, parent, index, skipped, mark
+        self.chars = self.links = self.marks = 0
+        self.points, self.held = _START.get(tag, 0.0), 0.0
 
-    def __init__(self, tag: str, parent: _Node | None, index: int, skipped: bool):
-        self.tag, self.parent, self.index, self.skipped = tag, parent, index, skipped
-        self.chars = self.links = 0
-        self.points = _START.get(tag, 0.0)
 
+#: Text of one line: what it says, whether a link says it, and the innermost element around it.
+_Part = tuple[str, bool, _Node]
 
-def _is_marked(tag: str, attributes: str, inside_article: bool) -> bool:
+
+def _is_hidden(tag: str, attributes: str) -> bool:
     if tag in _SKIPPED:
         return True
-    if tag == "header" and not inside_article:
-        return True
     if not attributes or tag in ("html", "body"):
         return False
     for name, value in _ATTRIBUTE.findall(attributes):
@@ -69,19 +86,32 @@ def _is_marked(tag: str, attributes: str, inside_article: bool) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
-        if name in ("class", "id", "role"):
-            words = set(re.split(r"[^a-z]+", value))
-            if words & (_MARKED_ARTICLE if tag in ("article", "main") else _MARKED):
-                return True
     return False
 
 
-def _read(html: str) -> tuple[list[_Node], list[tuple[_Node, str, int]]]:
-    """The elements in page order, and the blocks of text outside skipped elements as (element, text, link chars)."""
-    root = _Node("html", None, 0, False)
+def _mark(tag: str, attributes: str, inside_article: bool) -> str:
+    """The word or tag that marks an element as no article, or an empty text."""
+    if tag in _MARKED_TAGS and not (tag == "header" and inside_article):
+        return tag
+    if not attributes or tag in ("html", "body"):
+        return ""
+    marked = _MARKED_ARTICLE if tag in ("article", "main") else _MARKED
+    for name, value in _ATTRIBUTE.findall(attributes):
+        if name.lower() in ("class", "id", "role"):
+            for token in value.strip("\"'").lower().split():
+                words = [w for w in re.split(r"[^a-z]+", token) if len(w) > 1]
+                found = [w for w in words if w in marked]
+                if found and all(w in _MARKED or w in _PLACES for w in words):
+                    return next((w for w in found if w in _FOREIGN), found[0])
+    return ""
+
+
+def _read(html: str) -> tuple[list[_Node], list[tuple[_Node, list[_Part]]]]:
+    """The elements in page order, and the blocks of text outside skipped elements, marked ones included."""
+    root = _Node("html", None, 0, False, "")
     nodes, stack, blocks = [root], [root], []
     open_tags: dict[str, int] = {}
-    parts: list[tuple[str, bool]] = []
+    parts: list[_Part] = []
     plain, at, articles = False, 0, 0
 
     def block_node() -> _Node:
@@ -92,10 +122,7 @@ def _read(html: str) -> tuple[list[_Node], list[tuple[_Node, str, int]]]:
 
     def flush() -> None:
         if parts:
-            text = _SPACE.sub(" ", "".join(p for p, _ in parts)).strip()
-            if text:
-                linked = sum(len(_SPACE.sub(" ", p).strip()) for p, link in parts if link)
-                blocks.append((block_node(), text, linked))
+            blocks.append((block_node(), parts.copy()))
             parts.clear()
 
     def close(upto: int) -> None:
@@ -107,7 +134,7 @@ def _read(html: str) -> tuple[list[_Node], list[tuple[_Node, str, int]]]:
 
     def say(text: str) -> None:
         if text and not stack[-1].skipped:
-            parts.append((unescape(text), open_tags.get("a", 0) > 0))
+            parts.append((unescape(text), open_tags.get("a", 0) > 0, stack[-1]))
 
     while True:
         found = _MARKUP.search(html, at)
@@ -129,7 +156,7 @@ def _read(html: str) -> tuple[list[_Node], list[tuple[_Node, str, int]]]:
         at = rest.end()
         if found[1]:
             if tag == "br":
-                parts.append((" ", False))
+                parts.append((" ", False, stack[-1]))
             elif open_tags.get(tag):
                 depth = len(stack) - 1
                 while stack[depth].tag != tag and (tag not in _INLINE or stack[depth].tag in _INLINE):
@@ -144,7 +171,7 @@ def _read(html: str) -> tuple[list[_Node], list[tuple[_Node, str, int]]]:
         if tag in _VOID:
             if tag in ("br", "wbr"):
                 if tag == "br" and not stack[-1].skipped:
-                    parts.append((" ", False))
+                    parts.append((" ", False, stack[-1]))
             elif tag == "hr":
                 flush()
             continue
@@ -161,7 +188,8 @@ def _read(html: str) -> tuple[list[_Node], list[tuple[_Node, str, int]]]:
             ends = _ENDS_PARAGRAPH.get(tag)
             if ends and tag != "p":
                 _close_within(stack, ends.split(), close)
-        node = _Node(tag, stack[-1], len(nodes), stack[-1].skipped or _is_marked(tag, rest[1], articles > 0))
+        skipped = stack[-1].skipped or _is_hidden(tag, rest[1])
+        node = _Node(tag, stack[-1], len(nodes), skipped, "" if skipped else _mark(tag, rest[1], articles > 0))
         nodes.append(node)
         if rest[1].endswith("/") and tag not in _INLINE and tag in ("svg", "math"):
             continue
@@ -188,18 +216,112 @@ def _density(node: _Node) -> float:
     return node.links / node.chars if node.chars else 0.0
 
 
+def _said(parts: list[_Part]) -> tuple[str, int]:
+    """The text of a block, and how many characters of it are links."""
+    text = _SPACE.sub(" ", "".join(p for p, _, _ in parts)).strip()
+    return text, min(sum(len(_SPACE.sub(" ", p).strip()) for p, link, _ in parts if link), len(text))
+
+
+def _points(text: str, linked: int) -> float:
+    points = 1 + text.count(",") + text.count("،") + text.count("、") + min(len(text) / 100, 3)
+    return points * (1 - linked / len(text))
+
+
+def _note_marks(nodes: list[_Node], bits: dict[str, int]) -> None:
+    """The set of marks of each element and of all above it."""
+    for node in nodes:
+        node.marks = (node.parent.marks if node.parent else 0) | (bits[node.mark] if node.mark else 0)
+
+
+def _unmark(nodes: list[_Node], own: list[float]) -> None:
+    """Take off marks that the page's text belies. ``own`` are the points of the text right in each element.
+
+    - An article or main with more points than all unmarked text takes off the marks above it.
+    - A marked element with most of the page's points is unmarked; so are all elements of one mark that hold them
+      together, as where each paragraph has its widget.
+    - Beside an unmarked article with text, only marks inside an article can go. Marks of what others say stay there;
+      without such an article they must hold nearly all points.
+    """
+    bits = {mark: 1 << n for n, mark in enumerate(dict.fromkeys(n.mark for n in nodes if n.mark))}
+    if not bits:
+        return
+    _note_marks(nodes, bits)
+    for node in reversed(nodes):
+        node.held += own[node.index]
+        if node.parent is not None:
+            node.parent.held += node.held
+    total = nodes[0].held
+    articles = [n for n in nodes if n.tag in ("article", "main") and not n.mark and n.held]
+    within = [False] * len(nodes)
+    for node in nodes:
+        within[node.index] = node.parent is not None and (within[node.parent.index] or node.parent.tag in ("article", "main"))
+
+    def unmarked() -> float:
+        return sum(p for node, p in zip(nodes, own, strict=True) if not node.marks)
+
+    best = max(articles, key=lambda n: (n.held, -n.index), default=None)
+    if best is not None and best.marks and best.held > unmarked():
+        up = best.parent
+        while up is not None:
+            up.mark, up = "", up.parent
+        _note_marks(nodes, bits)
+    # Each round takes off one mark at least.
+    for _ in bits:
+        if unmarked() > _MOST * total:
+            return
+        free = any(own[n.index] and not n.marks and (within[n.index] or n.tag in ("article", "main")) for n in nodes)
+
+        def belied(node: _Node, held: float, free: bool = free) -> bool:
+            foreign = node.mark in _FOREIGN
+            if free and (foreign or not within[node.index]):
+                return False
+            return held > (_NEARLY_ALL if foreign else _MOST) * total
+
+        gone = [n for n in nodes if n.mark and belied(n, n.held)]
+        if not gone:
+            together = dict.fromkeys(bits, 0.0)
+            for node in nodes:
+                if node.mark and not (node.parent.marks & bits[node.mark]):
+                    together[node.mark] += node.held
+            gone = [n for n in nodes if n.mark and belied(n, together[n.mark])]
+        if not gone:
+            return
+        for node in gone:
+            node.mark = ""
+        _note_marks(nodes, bits)
+
+
+def _free_blocks(nodes: list[_Node], blocks: list[tuple[_Node, list[_Part]]]) -> list[tuple[_Node, str, int]]:
+    """The blocks outside marked elements as (element, text, link chars), after the scores had their say on marks."""
+    own = [0.0] * len(nodes)
+    for node, parts in blocks:
+        text, linked = _said(parts)
+        if text:
+            points = _points(text, linked) if node.tag not in _HEADINGS else 0.5 * (1 - linked / len(text))
+            every = sum(len(p) for p, _, _ in parts)
+            for p, _, inner in parts:
+                own[inner.index] += points * len(p) / every
+    _unmark(nodes, own)
+    found = []
+    for node, parts in blocks:
+        text, linked = _said([p for p in parts if not p[2].marks])
+        if text:
+            found.append((node, text, linked))
+    return found
+
+
 def main_text(html: str) -> str:
     """The blocks of the best container and of its good siblings, in page order, joined by one space."""
     nodes, blocks = _read(html)
+    blocks = _free_blocks(nodes, blocks)
     if not blocks:
         return ""
     for node, text, linked in blocks:
         node.chars += len(text)
-        node.links += min(linked, len(text))
+        node.links += linked
         if node.tag in _HEADINGS:
             continue
-        points = 1 + text.count(",") + text.count("،") + text.count("、") + min(len(text) / 100, 3)
-        points *= 1 - min(linked, len(text)) / len(text)
+        points = _points(text, linked)
         # A block that is a paragraph passes its points on; text that stands right in a container counts there.
         up, share = (node if node.tag in _SCOPE else node.parent or node), 1.0
         while up is not None and share >= 0.25:
@@ -209,20 +331,20 @@ def main_text(html: str) -> str:
         if node.parent is not None:
             node.parent.chars += node.chars
             node.parent.links += node.links
-    holders = [n for n in nodes if n.chars and not n.skipped and (n.tag in _SCOPE or n.parent is None)]
+    holders = [n for n in nodes if n.chars and not n.marks and (n.tag in _SCOPE or n.parent is None)]
     score = {n.index: n.points * (1 - _density(n)) for n in holders}
     best = max(holders, key=lambda n: (score[n.index], -n.index))
     # Inside an article, that article is the container.
     up = best
     while up.parent is not None:
         up = up.parent
-        if up.tag in ("article", "main") and not up.skipped:
+        if up.tag in ("article", "main") and not up.marks:
             best = up
     kept = {best.index}
     if best.parent is not None:
         least = max(5.0, 0.2 * score.get(best.index, 0.0))
         for node in nodes:
-            if node.parent is best.parent and node is not best and node.chars and not node.skipped:
+            if node.parent is best.parent and node is not best and node.chars and not node.marks:
                 good = node.tag in _SCOPE and score.get(node.index, 0.0) >= least
                 prose = node.tag in ("p", "pre", "h1") and _density(node) < 0.25 and (node.tag == "h1" or node.chars > 80)
                 if good or prose:

@@ -56,3 +56,40 @@ def test_nulls_repeated_rows_clashing_columns_and_empty_tables(spark):
     got = extract_pages(pages).collect()
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in got) == [(0, "x", 1), (1, "", 0), (1, "", 0)]
     assert extract_pages(pages).columns == ["page_id", "text", "n_chars"] and extract_pages(pages.limit(0)).count() == 0
+
+
+_LONG = " ".join(f"<p>Paragraph {n} of the text, with a comma, and enough words to count as prose in any score.</p>" for n in range(6))
+_TEXT = re.sub("<[^>]*>", "", _LONG)
+
+
+@pytest.mark.parametrize(
+    "before, after",
+    [
+        ("<div class='layout has-sidebar'><article>", "</article><div class=sidebar><p>no</p></div></div>"),
+        ("<div class='content no-sidebar'>", "</div>"),
+        ("<div id='page' class='with-comments'>", "<div id=comments><p>no</p></div></div>"),
+        ("<form id=aspnet><nav><a href=1>no</a></nav><div>", "</div><div class='cookie-notice'>no</div></form>"),
+        ("<form action=search><input name=q><article>", "</article>"),
+        ("<div class='sidebar'><article>", "</article></div><div>Short words.</div>"),
+        ("<main><p>Intro.</p><form>", "</form></main>"),
+        ("<div class='right-sidebar'><div>", "</div><div class='site-footer'>no</div></div>"),
+    ],
+)
+def test_marked_wrappers_of_the_text_lose_nothing(before, after):
+    got = main_text(before + _LONG + after)
+    assert _TEXT in got and "no" not in got.replace(_TEXT, "").split()
+
+
+@pytest.mark.parametrize("wrapper", ["elementor-widget-container", "widget", "widget widget-text"])
+def test_a_page_builder_that_wraps_each_paragraph(wrapper):
+    page = "<div>" + re.sub("<p>.*?</p>", lambda p: f"<div class='{wrapper}'>{p[0]}</div>", _LONG) + "</div><nav><a href=1>no</a></nav>"
+    assert main_text(page) == _TEXT
+    assert main_text(f"<main><p>Intro.</p>{page}</main>") == "Intro. " + _TEXT
+
+
+def test_marked_text_beside_an_article_is_still_dropped():
+    for mark in ("class=comments", "id=cookie-notice", "class='site-footer'", "class=sidebar"):
+        assert main_text(f"<article><p>Short.</p></article><div {mark}>{_LONG}</div>") == "Short."
+    assert main_text(f"<article><p>Short.</p><div id=comments>{_LONG}</div></article>") == "Short."
+    assert main_text(f"<div>{_LONG}</div><aside><article><p>Teaser.</p></article></aside>") == _TEXT
+    assert main_text("<p>One<span class=ad>no</span> two") == "One two"
