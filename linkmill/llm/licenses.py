@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,14 @@ SENTENCES = {
     "all rights reserved": "Reserved",
 }
 
+#: Known sentences of several others in one, as where a comma stands for a semicolon, and their identifiers.
+COMPOUND = {
+    f"{terms} {later}": ("GplTerms", name)
+    for terms in (s for s, i in SENTENCES.items() if i == "GplTerms")
+    for later, name in SENTENCES.items()
+    if name in ("Gpl3Plus", "Gpl2Plus")
+}
+
 #: (licence, identifiers that follow each other). Earlier rules take their sentences first, so longer ones stand
 #: before the shorter ones they contain. Fixed values.
 RULES = [
@@ -64,7 +74,7 @@ RULES = [
 SENTENCE_END = r"[.!?;:]+(?:\s+|$)"
 
 
-def anchors(sentences: dict[str, str]) -> list[str]:
+def anchors(sentences: Iterable[str]) -> list[str]:
     """Few words of which every known sentence holds one, chosen greedily: the word most sentences share goes first."""
     left, chosen = [set(s.split()) for s in sentences], []
     while left:
@@ -81,34 +91,39 @@ def anchors(sentences: dict[str, str]) -> list[str]:
     return chosen
 
 
-def _normal(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
+def _known(text: Column, sentences: dict[str, tuple[str, ...]]) -> Column:
+    """Identifiers of the known sentences of ``text``, in order.
 
-
-def _known(pieces: Column, sentences: dict[str, str], test: str | None) -> Column:
-    """Identifiers of the known sentences among ``pieces``, in order."""
-    names = F.create_map(*(F.lit(x) for pair in sentences.items() for x in pair))
-    if test:
-        pieces = F.filter(pieces, lambda s: s.rlike(test))
-    return F.filter(F.transform(pieces, lambda s: F.try_element_at(names, _normal(s))), lambda x: x.isNotNull())
+    In lower case, E stands for the end of a sentence and L for a line break, so one search finds a known sentence
+    between any two of them, whatever line breaks stand inside. Longer sentences are tried first.
+    """
+    marked = F.translate(F.regexp_replace(F.lower(text), SENTENCE_END, "E"), "\n", "L")
+    plain = F.regexp_replace(marked, "[^a-z0-9EL]+", " ")
+    each = sorted(sentences, key=lambda s: (-len(s), s))
+    pattern = "(?:^|[EL]) ?(" + "|".join("[ L]+".join(s.split()) for s in each) + ")(?= ?(?:[EL]|$))"
+    names = F.create_map(*(x for s in each for x in (F.lit(s), F.array(*map(F.lit, sentences[s])))))
+    found = F.regexp_extract_all(plain, F.lit(pattern), 1)
+    return F.flatten(F.transform(found, lambda s: F.try_element_at(names, F.regexp_replace(s, "[ L]+", " "))))
 
 
 def sentence_ids(text: Column, sentences: dict[str, str] | None = None) -> Column:
     """The identifiers of a text's known sentences in order; empty for null.
 
-    A line break may end a sentence or stand inside one. Both readings are made; the one that knows more sentences
-    holds, and the first (a line ends a sentence) if they know as many. Leading comment signs don't matter, as a
-    sentence is compared by its letters and digits.
+    A line break, blank lines too, may end a sentence or stand inside one; both hold at every place of the text, so a
+    wrapped sentence is known after a heading without a full stop. Where known sentences overlap, the one that begins
+    first holds, and the longest of these. Leading comment signs don't matter, as a sentence is compared by its
+    letters and digits.
     """
-    sentences = SENTENCES if sentences is None else sentences
-    words = anchors(sentences)
+    known = {s: (i,) for s, i in (SENTENCES if sentences is None else sentences).items()}
+    if sentences is None:
+        known |= COMPOUND
+    words = anchors(known)
     test = "(?i)" + "|".join(words) if words else None
-    lines = _known(F.split(text, rf"\n|{SENTENCE_END}"), sentences, test)
-    joined = _known(F.split(text, SENTENCE_END), sentences, test)
-    ids = once(F.struct(lines.alias("l"), joined.alias("j")), lambda p: F.when(F.size(p["j"]) > F.size(p["l"]), p["j"]).otherwise(p["l"]))
     nothing = F.array().cast("array<string>")
-    # A text without any anchor word has no known sentence: one search spares it the splitting.
-    return F.when(text.rlike(test) if test else text.isNotNull(), ids).otherwise(nothing)
+    if not known:
+        return nothing
+    # A text without any anchor word has no known sentence: one search spares it the rest.
+    return F.when(text.rlike(test) if test else text.isNotNull(), _known(text, known)).otherwise(nothing)
 
 
 def match_rules(ids: Column, rules: list[tuple[str, list[str]]]) -> Column:

@@ -55,3 +55,50 @@ def test_clashing_columns_and_empty_table(spark):
 def test_every_known_sentence_has_an_anchor():
     words = licenses.anchors(licenses.SENTENCES)
     assert words and all(any(w in s for w in words) for s in licenses.SENTENCES)
+
+
+COPYRIGHT = "Copyright (c) 2020 Jane Doe"
+AS_IS = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS BE LIABLE."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+GPL = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation{} either version {} of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful.
+"""
+APACHE = """   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+   You may obtain a copy of the License at
+
+       http://www.apache.org/licenses/LICENSE-2.0
+
+   Unless required by applicable law or agreed to in writing, software"""
+WHOLE = [
+    (f"MIT License\n\n{COPYRIGHT}\n\n{MIT.replace(' * ', '').replace(' *', '')}\n\n{AS_IS}\n", ["MitGrant", "MitNotice", "MitAsIs"], ["MIT"]),
+    (f"/*\n * {COPYRIGHT}\n *\n{MIT}\n */", ["MitGrant", "MitNotice"], ["MIT"]),
+    (f"{COPYRIGHT}\n{MIT}", ["MitGrant", "MitNotice"], ["MIT"]),
+    (f"BSD 2-Clause License\n\n{COPYRIGHT}\n\n{BSD}", ["BsdPre", "BsdSource", "BsdBinary"], ["BSD-2-Clause"]),
+    (f"demo\n{COPYRIGHT}\n\n{GPL.format(',', 3)}", ["GplFree", "GplTerms", "Gpl3Plus"], ["GPL-3.0-or-later"]),
+    (GPL.format(";", 2), ["GplFree", "GplTerms", "Gpl2Plus"], ["GPL-2.0-or-later"]),
+    (f"   {COPYRIGHT}\n\n{APACHE}", ["Apache2Pre", "Apache2Comply", "Apache2Copy"], ["Apache-2.0"]),
+]
+
+
+def test_whole_licence_files_with_their_copyright_lines(spark):
+    docs = spark.createDataFrame([(n, text) for n, (text, _, _) in enumerate(WHOLE)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in scan_licenses(docs).collect()}
+    for n, (_, ids, names) in enumerate(WHOLE):
+        assert (rows[n].license_sentences, rows[n].licenses, rows[n].unruled) == (ids, names, [])
