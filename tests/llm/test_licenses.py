@@ -102,3 +102,12 @@ def test_whole_licence_files_with_their_copyright_lines(spark):
     rows = {r.doc_id: r for r in scan_licenses(docs).collect()}
     for n, (_, ids, names) in enumerate(WHOLE):
         assert (rows[n].license_sentences, rows[n].licenses, rows[n].unruled) == (ids, names, [])
+
+
+def test_both_readings_hold_at_their_places_of_one_text(spark):
+    one_line = "Released under the MIT License\nwords that end nothing\n"
+    wrapped = "# This work is licensed under the GNU General\n# Public License, version 3.\n"
+    docs = spark.createDataFrame([(1, one_line + wrapped), (2, wrapped + one_line), (3, one_line + BSD)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in scan_licenses(docs).collect()}
+    assert rows[1].license_sentences == ["MitRef", "Gpl3Ref"] and rows[2].license_sentences == ["Gpl3Ref", "MitRef"]
+    assert rows[3].license_sentences == ["MitRef", "BsdPre", "BsdSource", "BsdBinary"] and rows[3].licenses == ["BSD-2-Clause", "MIT"]
