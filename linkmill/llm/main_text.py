@@ -52,6 +52,8 @@ _FOREIGN = frozenset(
     " gdpr related recommended recommendations comment comments disqus reply replies respond responses outbrain taboola"
     " nav footer menu".split()
 )
+#: Share of links from which a block beside the best container is a menu.
+_LINKED = 0.5
 #: Shares of a page's points that a mark must hold to be no mark.
 _MOST, _NEARLY_ALL = 0.5, 0.8
 _MARKED_ARTICLE = frozenset("ad ads advert advertisement sponsored comment comments reply promo related".split())
@@ -311,7 +313,11 @@ def _free_blocks(nodes: list[_Node], blocks: list[tuple[_Node, list[_Part]]]) ->
 
 
 def main_text(html: str) -> str:
-    """The blocks of the best container and of its good siblings, in page order, joined by one space."""
+    """The blocks of the article and of its good siblings, in page order, joined by one space.
+
+    On a page without an article or main these are the blocks of the best container, and all others but menus: those
+    that are links by less than half, short ones and headings too.
+    """
     nodes, blocks = _read(html)
     blocks = _free_blocks(nodes, blocks)
     if not blocks:
@@ -341,7 +347,8 @@ def main_text(html: str) -> str:
         if up.tag in ("article", "main") and not up.marks:
             best = up
     kept = {best.index}
-    if best.parent is not None:
+    article = best.tag in ("article", "main")
+    if article and best.parent is not None:
         least = max(5.0, 0.2 * score.get(best.index, 0.0))
         for node in nodes:
             if node.parent is best.parent and node is not best and node.chars and not node.marks:
@@ -350,12 +357,17 @@ def main_text(html: str) -> str:
                 if good or prose:
                     kept.add(node.index)
     # Elements stand in page order, so a parent is decided before its children.
-    inside = [False] * len(nodes)
+    inside, menus = [False] * len(nodes), [False] * len(nodes)
     for node in nodes:
+        up = node.parent
         menu = node.tag in ("ul", "ol") and node.chars > 0 and _density(node) > 0.8
-        above = node.parent is not None and inside[node.parent.index]
-        inside[node.index] = (above or node.index in kept) and not menu
-    return " ".join(text for node, text, _ in blocks if inside[node.index])
+        menus[node.index] = menu or up is not None and menus[up.index]
+        inside[node.index] = (up is not None and inside[up.index] or node.index in kept) and not menu
+
+    def stays(node: _Node, text: str, linked: int) -> bool:
+        return inside[node.index] or not article and not menus[node.index] and linked < _LINKED * len(text)
+
+    return " ".join(text for node, text, linked in blocks if stays(node, text, linked))
 
 
 @F.pandas_udf(T.StringType())

@@ -93,3 +93,14 @@ def test_marked_text_beside_an_article_is_still_dropped():
     assert main_text(f"<article><p>Short.</p><div id=comments>{_LONG}</div></article>") == "Short."
     assert main_text(f"<div>{_LONG}</div><aside><article><p>Teaser.</p></article></aside>") == _TEXT
     assert main_text("<p>One<span class=ad>no</span> two") == "One two"
+
+
+def test_uneven_sections_without_an_article_all_stay():
+    sentence = "These are words, three of them, with commas, and so on and on " + "to fill a paragraph " * 11
+    best = "<section>" + f"<p>{sentence}</p>" * 5 + "</section>"
+    rest = f"<h2>Second part</h2><section><p>{sentence[:150].replace(',', '', 2)}</p></section><p>Short.</p><h3>Facts</h3>"
+    rest += "<ul><li>one</li><li>two</li></ul><table><tr><td>a</td><td>b</td></tr></table>right in the parent"
+    want = " ".join(re.sub("<[^>]*>", " ", best + rest).split())
+    menu = "<ul><li><a href=1>no</a></li></ul><div><a href=1>no</a> | <a href=2>no</a></div><div class=comments>no</div>"
+    assert main_text(f"<div>{menu}{best}{rest}{menu}</div>") == want
+    assert main_text(f"<div><div><div>{best}</div></div></div>{menu}<div><div>{rest}</div></div>") == want
