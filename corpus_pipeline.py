@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from linkmill.llm.common import table
 from linkmill.llm.decontaminate import find_contamination
-from linkmill.llm.exact_dups import drop_copies
+from linkmill.llm.exact_dups import drop_copies, located, rows_at
 from linkmill.llm.mixture import mix
 from linkmill.llm.near_dups import near_duplicates
 from linkmill.llm.quality import resampler
@@ -46,11 +46,14 @@ def keep_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id. A row without an id can't be named and stays."""
-    groups = near_duplicates(docs)
-    dropped = written(groups.where("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
-    # The list grows with the documents, so it is never broadcast.
-    return docs.join(dropped.hint("shuffle_hash"), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """Of each group of near copies one row: that with the smallest id (null last), then the first place."""
+
+    def copies(source: DataFrame) -> DataFrame:
+        groups = near_duplicates(located(source.select("doc_id", "text")), place=("_file", "_at"))
+        # The list grows with the documents, so it is never broadcast.
+        return written(groups.where("not kept").select("_file", "_at"), "near-copies").hint("shuffle_hash")
+
+    return rows_at(docs, copies, "left_anti")
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

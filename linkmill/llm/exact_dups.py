@@ -143,8 +143,9 @@ def exact_groups(
     return labelled.select("id", "_file", "_at", "digest", "keep", "group_size", at_keep.alias("kept"))
 
 
-def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; see ``exact_groups``."""
+def rows_at(docs: DataFrame, places: Callable[[DataFrame], DataFrame], how: str = "left_semi") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that stand at the places ``(_file, _at)`` given for them, or with
+    ``left_anti`` at no such place. Rows that don't come from files are written first."""
     source = docs
     try:
         source.select(source.metadataColumn("_metadata")["row_index"])
@@ -153,10 +154,15 @@ def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     file, at = "_place_file", "_place_at"
     while file in docs.columns or at in docs.columns:
         file, at = f"_{file}", f"_{at}"
-    keys = exact_groups(source, doc_id, text).where("kept").select(F.col("_file").alias(file), F.col("_at").alias(at))
+    keys = places(source).select(F.col("_file").alias(file), F.col("_at").alias(at))
     meta = source.metadataColumn("_metadata")
     placed = source.select("*", meta["file_path"].alias(file), meta["row_index"].alias(at))
-    return placed.join(keys, [file, at], "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return placed.join(keys, [file, at], how).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns; see ``exact_groups``."""
+    return rows_at(docs, lambda source: exact_groups(source, doc_id, text).where("kept"))
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

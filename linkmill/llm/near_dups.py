@@ -142,28 +142,37 @@ def links(fingerprints: DataFrame, full_bucket: int = FULL_BUCKET) -> DataFrame:
     return pairs.select(F.least("fp", "other").alias("a"), F.greatest("fp", "other").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", full_bucket: int = FULL_BUCKET) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", full_bucket: int = FULL_BUCKET, place: tuple[str, ...] = ()
+) -> DataFrame:
     """``(doc_id, fingerprint, component_id)``, a row for each row of ``docs``.
 
     ``fingerprint`` is 16 hex digits over the whole text; ``component_id`` is the smallest id reachable over links,
     the row's own included. Null and empty texts have fingerprint zero and are linked like any other. Null ids are
     never a smallest id unless a component has no other. Repeated rows are returned as often as they come. Other
-    columns of ``docs`` are not read; an empty table gives no rows.
+    columns of ``docs`` are not read; an empty table gives no rows. With the columns of each row's ``place``, these
+    are returned too, and ``kept``: true for one row of each component, that of the smallest (id, place), null ids last.
 
     Texts are read once and only ids and fingerprints are shuffled. Equal fingerprints, whatever their number, are
     one row for the links, reduced map-side; the join back has its exchange on both sides, so that a fingerprint
     with a third of all rows can be split.
     """
-    marked = written(docs.select(F.col(f"`{doc_id}`").alias("id"), fingerprint(F.col(f"`{text}`")).alias("fp")), "simhash")
-    distinct = written(marked.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
+    at = [F.col(f"`{c}`") for c in place]
+    marked = written(docs.select(F.col(f"`{doc_id}`").alias("id"), fingerprint(F.col(f"`{text}`")).alias("fp"), *at), "simhash")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", *at) if place else F.col("id")
+    distinct = written(marked.groupBy("fp").agg(F.min(order).alias("least")), "simhash-distinct")
     found = written(links(distinct, full_bucket), "simhash-links")
     parts = written(components(found, "a", "b").select(F.col("node").alias("fp"), "component"), "simhash-parts")
     lowest = parts.join(distinct, "fp").groupBy("component").agg(F.min("least").alias("lowest"))
     linked = parts.join(lowest, "component").select("fp", "lowest")
     labels = written(
-        distinct.join(linked, "fp", "left").select("fp", F.coalesce("lowest", "least").alias("component_id")), "simhash-labels"
+        distinct.join(linked, "fp", "left").select("fp", F.coalesce("lowest", "least").alias("first")), "simhash-labels"
+    )
+    first = F.col("first.id" if place else "first").alias("component_id")
+    is_first = [F.struct(*at) == F.struct(*[F.col("first")[c].alias(c) for c in place])] if place else []
+    return marked.join(labels, "fp").select(
+        F.col("id").alias(doc_id), as_hex(F.col("fp")).alias("fingerprint"), first, *at, *[k.alias("kept") for k in is_first]
     )
-    return marked.join(labels, "fp").select(F.col("id").alias(doc_id), as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

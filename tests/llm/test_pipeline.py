@@ -95,3 +95,18 @@ def test_other_columns_are_carried_whatever_their_names(spark, folder):
         assert out.columns == extra.columns
         rows = out.collect()
         assert {r.doc_id for r in rows} == plain and all(r[n] == f"{n}-{r.doc_id}" for r in rows for n in names)
+
+
+def test_near_copies_are_told_apart_by_their_place(spark, tmp_path, sf):
+    base = [[f"w{n}x{i}" for i in range(400)] for n in range(3)]
+    near = [[" ".join(words[: 400 - cut]) for cut in range(4)] for words in base]
+    assert all(test_near_dups.brute_components(range(4), list(map(test_near_dups.plain, texts))) == [0] * 4 for texts in near)
+    rows = [(1, near[0][0]), (2, near[0][1]), (2, "clean row with the id of a near copy")]
+    rows += [(3, text) for text in near[1]] + [(None, text) for text in near[2]] + [(None, "a row without id, as it is")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    for given in (docs, spark.read.parquet(f"{tmp_path}/documents.parquet")):
+        got = [(r.doc_id, r.text) for r in corpus_pipeline.keep_near(spark, given, sf).collect()]
+        kept = sorted((i or 0, "near" if t.startswith("w") else t) for i, t in got)
+        assert kept == [(0, "a row without id, as it is"), (0, "near"), (1, "near"), (2, "clean row with the id of a near copy"), (3, "near")]
+        assert set(got) <= set(rows)
