@@ -34,10 +34,10 @@ def _aside(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the importance resampling selects; a null or empty text weighs nothing against it and stays."""
+    """Documents that the importance resampling selects, and those of weight 0, such as null and empty texts."""
     rows, back = _aside(docs)
     _, mark = resampler(rows, table(spark, sf_dir, "labels"))
-    return back(mark(rows).where("selected"))
+    return back(mark(rows).where("selected or log_weight = 0"))
 
 
 def keep_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

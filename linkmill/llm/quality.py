@@ -131,7 +131,12 @@ def kth_largest(rows: DataFrame, column: str, k: int) -> float | None:
 
 
 def best_cut(scores: np.ndarray, good: np.ndarray) -> float:
-    """The score that parts good from bad rows best (balanced accuracy), in the middle of its gap; -inf without bad rows."""
+    """The score that parts good from bad rows best (balanced accuracy): the middle of its gap, or 0 if that lies in the
+    gap below the middle; -inf without bad rows.
+
+    0 is the weight of what is as likely as raw text. A sum over few n-grams lies near it, so a cut further up would
+    reject short good texts for their length only.
+    """
     if good.all() or not len(good):
         return -np.inf
     if not good.any():
@@ -145,7 +150,8 @@ def best_cut(scores: np.ndarray, good: np.ndarray) -> float:
     cut = int(np.argmax(gain))
     if cut in (0, len(scores)):
         return -np.inf if cut == 0 else np.inf
-    return float((scores[cut - 1] + scores[cut]) / 2)
+    middle = float((scores[cut - 1] + scores[cut]) / 2)
+    return 0.0 if scores[cut - 1] < 0 < middle else middle
 
 
 def resampler(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", seed: int = SEED):

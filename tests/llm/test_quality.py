@@ -3,6 +3,7 @@ import math
 import numpy as np
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from linkmill.llm import hashing, quality
 from linkmill.llm.quality import best_cut, kth_largest, op6_quality, resampler
 
@@ -83,3 +84,23 @@ def test_labelled_documents_of_the_whole_table(spark, sf):
     right = [got[i] == (q == 1) for i, q in labels.items()]
     assert sum(right) >= 0.97 * len(right)
     assert op6_quality(spark, sf).where(F.col("draw").isNull()).count() == 0
+
+
+def test_short_clean_and_empty_texts_stay_where_most_is_junk(spark, monkeypatch):
+    monkeypatch.setattr(quality, "TEMPERATURE", 0.0)
+    good = [(i, "plain words of good text, as it is. " * 40) for i in range(10)] + [(20, "good text"), (21, "plain words")]
+    empty = [(30, None), (31, ""), (32, " \n")]
+    junk = [(100 + i, "junk*** ### %%% " * (1 if i < 60 else 300)) for i in range(90)]
+    docs = spark.createDataFrame(good + empty + junk, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(8)] + [(100 + i, 0) for i in range(60)], "doc_id long, quality int")
+    weights = brute(good + junk, [(i, 1) for i in range(8)])
+    assert max(weights[12:72]) < 0 < min(weights[:12]) and max(weights[10:12]) < (max(weights[12:72]) + min(weights[:8])) / 2
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *_: labels)
+    kept = {r.doc_id for r in corpus_pipeline.keep_quality(spark, docs, "").collect()}
+    assert kept == {i for i, _ in good + empty}
+
+
+def test_best_cut_is_0_where_that_parts_as_well():
+    assert best_cut(np.array([-4.0, 10]), np.array([False, True])) == 0
+    assert best_cut(np.array([-10.0, 4]), np.array([False, True])) == -3
+    assert best_cut(np.array([2.0, 4]), np.array([False, True])) == 3
