@@ -19,7 +19,7 @@ _LOWER[65:91] += 32
 _powers = np.ones(1, np.uint64), np.ones(1, np.uint64)
 
 
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, at least ``n`` of each."""
     global _powers
     if len(_powers[0]) < n:
@@ -49,7 +49,7 @@ class Tokens:
         real = kind[first] != _SPACE
         self.start, self.end = first[real], last[real]
         self.is_word = kind[self.start] == _WORD
-        up, self._down = _tables(len(data) + 1)
+        up, self._down = powers(len(data) + 1)
         self._sum = np.zeros(len(data) + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=self._sum[1:])
 

@@ -3,7 +3,20 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from linkmill.llm import decontaminate, exact_dups, licenses, main_text, mixture, near_dups, quality, tokens, toxicity, url_filter
+from linkmill.llm import (
+    decontaminate,
+    exact_dups,
+    filter_audit,
+    licenses,
+    main_text,
+    mixture,
+    near_dups,
+    quality,
+    target_sample,
+    tokens,
+    toxicity,
+    url_filter,
+)
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
@@ -16,6 +29,8 @@ QUERIES = {
     "op8_token_counts": tokens.op8_token_counts,
     "op9_mixture": mixture.op9_mixture,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "op11_filter_audit": filter_audit.op11_filter_audit,
+    "op13_target_sample": target_sample.op13_target_sample,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -25,4 +40,6 @@ ORACLES = {
     "op7_exact_dedup": exact_dups.ORACLE,
     "op9_mixture": mixture.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
+    "op11_filter_audit": filter_audit.ORACLE,
+    "op13_target_sample": target_sample.ORACLE,
 }
