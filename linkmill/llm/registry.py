@@ -12,6 +12,7 @@ from linkmill.llm import (
     mixture,
     near_dups,
     quality,
+    sanitise,
     target_sample,
     tokens,
     toxicity,
@@ -30,6 +31,7 @@ QUERIES = {
     "op9_mixture": mixture.op9_mixture,
     "op10_decontaminate": decontaminate.op10_decontaminate,
     "op11_filter_audit": filter_audit.op11_filter_audit,
+    "op12_sanitise": sanitise.op12_sanitise,
     "op13_target_sample": target_sample.op13_target_sample,
     "pipeline": corpus_pipeline.run,
 }

@@ -53,3 +53,25 @@ def slabs(data: np.ndarray, offsets: np.ndarray, is_gap: np.ndarray) -> Iterator
             start, cuts = end, True
         yield Slab(at, last, start, stop, cuts)
         at = last
+
+
+#: A-Z in lower case, byte by byte; and the bytes that stand between words of ASCII letters and digits and of any other
+#: characters.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+IS_GAP = np.ones(256, bool)
+IS_GAP[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
+
+
+def word_spans(part: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of each word of a slab's bytes, and its row, counted from the first; ``bounds`` are those of rows."""
+    inside = np.zeros(len(part) + 2, bool)
+    inside[1:-1] = ~IS_GAP[part]
+    begins, ends = inside[1:] & ~inside[:-1], inside[:-1] & ~inside[1:]
+    # A row's end ends a word even if the next row begins with one.
+    cuts = bounds[1:-1]
+    cuts = cuts[(cuts > 0) & (cuts < len(part))]
+    cuts = cuts[inside[cuts] & inside[cuts + 1]]
+    begins[cuts] = ends[cuts] = True
+    start = np.flatnonzero(begins)
+    return start, np.flatnonzero(ends), np.searchsorted(bounds, start, side="right") - 1

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkmill.llm.common import table
-from linkmill.llm.slabs import slabs, text_bytes
+from linkmill.llm.slabs import IS_GAP, LOWER, slabs, text_bytes, word_spans
 from linkmill.operators.ordinals import with_ordinal
 from linkmill.session import scratch_path, written_with
 
@@ -25,11 +25,6 @@ BUCKETS, LEAST_WORDS, PERCENT, SEED = 10_000, 20, 25, 7
 #: Scores are whole thousandths.
 SCALE = 1000
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_IS_GAP = np.ones(256, bool)
-_IS_GAP[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
-
 #: Words up to this many bytes are hashed side by side, the few longer ones one by one.
 _SIDE_BY_SIDE = 64
 
@@ -96,20 +91,11 @@ def features(column: pa.Array) -> Iterator[Features]:
     """Words and pairs of neighbouring words of each text, A-Z in lower case; a long text comes in several parts."""
     data, offsets = text_bytes(column)
     before = None
-    for slab in slabs(data, offsets, _IS_GAP):
-        part = _LOWER[data[slab.start : slab.end]]
+    for slab in slabs(data, offsets, IS_GAP):
+        part = LOWER[data[slab.start : slab.end]]
         bounds = np.clip(offsets[slab.first : slab.last + 1], slab.start, slab.end) - slab.start
-        inside = np.zeros(len(part) + 2, bool)
-        inside[1:-1] = ~_IS_GAP[part]
-        begins, ends = inside[1:] & ~inside[:-1], inside[:-1] & ~inside[1:]
-        # A row's end ends a word even if the next row begins with one.
-        cuts = bounds[1:-1]
-        cuts = cuts[(cuts > 0) & (cuts < len(part))]
-        cuts = cuts[inside[cuts] & inside[cuts + 1]]
-        begins[cuts] = ends[cuts] = True
-        start = np.flatnonzero(begins)
-        size = np.flatnonzero(ends) - start
-        row = np.searchsorted(bounds, start, side="right") - 1
+        start, end, row = word_spans(part, bounds)
+        size = end - start
         single = _crc_words(part, start, size)
         second = np.flatnonzero(row[1:] == row[:-1]) + 1
         left = single[second - 1]
