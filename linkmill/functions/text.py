@@ -20,6 +20,7 @@ PRIME = 2**31 - 1
 HASH_A_STEP = 1000003
 HASH_A_BASE = 7919
 HASH_B_STEP = 104729
+HASH_BASE = 48271
 
 
 def tokens(text: Column) -> Column:
@@ -37,9 +38,25 @@ def ngrams(toks: Column, n: int = NGRAM) -> Column:
     return F.transform(firsts, gram)
 
 
-def base_hash(gram: Column) -> Column:
-    """First 8 hex digits of the md5, modulo the prime."""
-    return F.conv(F.substring(F.md5(gram), 1, 8), 16, 10).cast("bigint") % F.lit(PRIME)
+def gram_hashes(toks: Column) -> Column:
+    """A number below the prime for every run of ``NGRAM`` tokens: the digits in base ``HASH_BASE``, modulo the prime,
+    whose digits are the CRC-32 of the tokens. Each token is hashed once; runs are put together by doubling, without
+    building their text."""
+
+    def joined(left: Column, right: Column, shift: int, size: Column, width: int) -> Column:
+        place, some = F.lit(pow(HASH_BASE, width, PRIME)).cast("bigint"), F.greatest(size, F.lit(0))
+        return F.zip_with(
+            F.slice(left, F.lit(1), some), F.slice(right, F.lit(shift + 1), some), lambda a, b: (a * place + b) % PRIME
+        )
+
+    ones = F.transform(toks, lambda t: F.crc32(t) % PRIME)
+    return bound(
+        ones,
+        lambda one: bound(
+            joined(one, one, 1, F.size(one) - 1, 1),
+            lambda two: bound(joined(two, two, 2, F.size(two) - 2, 2), lambda four: joined(four, one, 4, F.size(one) - 4, 1)),
+        ),
+    )
 
 
 def permutation(k: int) -> tuple[int, int]:
@@ -49,12 +66,8 @@ def permutation(k: int) -> tuple[int, int]:
 
 def min_slot(hashes: Column, k: int) -> Column:
     """Minimum of permutation ``k`` over the hashes; the prime itself for an empty array."""
-    a, b = permutation(k)
-    return F.aggregate(
-        hashes,
-        F.lit(PRIME).cast("bigint"),
-        lambda low, h: F.least(low, (h * F.lit(a).cast("bigint") % PRIME + F.lit(b).cast("bigint")) % PRIME),
-    )
+    a, b = (F.lit(x).cast("bigint") for x in permutation(k))
+    return F.coalesce(F.array_min(F.transform(hashes, lambda h: (h * a + b) % PRIME)), F.lit(PRIME).cast("bigint"))
 
 
 def bound(value: Column, body) -> Column:
@@ -70,10 +83,10 @@ def shingle_list(text: Column, n: int = NGRAM) -> Column:
     return bound(tokens(text), lambda t: ngrams(t, n))
 
 
-def signature(text: Column, num_perm: int = NUM_PERM, n: int = NGRAM) -> Column:
+def signature(text: Column, num_perm: int = NUM_PERM) -> Column:
     """MinHash signature of the whole text. The minimum over a set equals the minimum over the list it came
     from, so duplicates among the n-grams are not removed first."""
-    hashes = F.transform(shingle_list(text, n), base_hash)
+    hashes = bound(tokens(text), gram_hashes)
     return bound(hashes, lambda h: F.array(*[min_slot(h, k) for k in range(num_perm)]))
 
 
@@ -82,11 +95,14 @@ def with_shingles(df: DataFrame, text: str = "text", n: int = NGRAM) -> DataFram
     return df.withColumn("shingles", F.array_distinct(shingle_list(F.col(text), n)))
 
 
-def with_signature(
-    df: DataFrame, text: str = "text", num_perm: int = NUM_PERM, n: int = NGRAM
-) -> DataFrame:
-    """Adds ``sig``, the MinHash signature."""
-    return df.withColumn("sig", signature(F.col(text), num_perm, n))
+def with_signature(df: DataFrame, text: str = "text", num_perm: int = NUM_PERM, tasks: int | None = None) -> DataFrame:
+    """Adds ``sig``, the MinHash signature.
+
+    Hashing costs far more than moving the text. Input that comes in fewer splits than there are cores, such as a
+    Parquet file of one row group, can be dealt out first: ``tasks`` is the number of partitions then made.
+    """
+    dealt = df if tasks is None else df.repartition(tasks)
+    return dealt.withColumn("sig", signature(F.col(text), num_perm))
 
 
 @lru_cache(maxsize=64)

@@ -43,15 +43,18 @@ def documents_from_pages(
     return written(attach_url_meta(found, usable_urls(records)), "documents")
 
 
-def signatures(docs: DataFrame, key: str) -> DataFrame:
-    """(key, bands), written once: every dedup step reads these few bytes per document, not the texts."""
-    return written(with_bands(with_signature(docs.select(key, "text"))).select(key, "bands"), "bands")
+def signatures(docs: DataFrame, key: str, tasks: int | None = None) -> DataFrame:
+    """(key, bands), written once: every dedup step reads these few bytes per document, not the texts. ``tasks`` as in
+    ``with_signature``."""
+    return written(with_bands(with_signature(docs.select(key, "text"), tasks=tasks)).select(key, "bands"), "bands")
 
 
-def near_dedup(docs: DataFrame, key: str, short_docs: str = "collapse") -> tuple[DataFrame, DataFrame]:
+def near_dedup(
+    docs: DataFrame, key: str, short_docs: str = "collapse", tasks: int | None = None
+) -> tuple[DataFrame, DataFrame]:
     """(kept keys, dropped keys). Documents too short for one n-gram all have the same signature: with
     ``collapse`` only the first of them survives, with ``keep`` they take no part and all survive."""
-    every = banded = signatures(docs, key)
+    every = banded = signatures(docs, key, tasks)
     if short_docs == "keep":
         empty = "-".join([str(PRIME)] * band_shape()[1])
         banded = banded.where(~F.forall("bands", lambda b: b == empty))
@@ -62,12 +65,12 @@ def near_dedup(docs: DataFrame, key: str, short_docs: str = "collapse") -> tuple
     return every.select(key).join(dropped, key, "left_anti") if short_docs == "keep" else kept, dropped
 
 
-def clean_corpus(docs: DataFrame, key: str, min_score: int = MIN_SCORE) -> Corpus:
+def clean_corpus(docs: DataFrame, key: str, min_score: int = MIN_SCORE, tasks: int | None = None) -> Corpus:
     """Score filter, near-dedup, and the final corpus for (key, text, meta) documents.
 
     ``docs`` should be a table, such as ``documents_from_pages`` gives: each result reads it again. Keys are unique
     among rows with text; further parts of a URL go or stay with it.
     """
     filtered = min_total_score(docs, min_score)
-    _, dropped = near_dedup(with_text(filtered), key)
+    _, dropped = near_dedup(with_text(filtered), key, tasks=tasks)
     return Corpus(docs, filtered, dropped, apply_duplicates(filtered, dropped, [key]))

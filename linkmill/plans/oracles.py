@@ -7,7 +7,7 @@ from linkmill.plans.queries import HIGH_SCORE, N_BATCHES, URLS_PER_BATCH
 
 # The hash family and the tokens of the signatures, written out here and not taken from the Spark code.
 PRIME, NUM_PERM = 2147483647, 10
-HASH_A_STEP, HASH_A_BASE, HASH_B_STEP = 1000003, 7919, 104729
+HASH_A_STEP, HASH_A_BASE, HASH_B_STEP, HASH_BASE = 1000003, 7919, 104729, 48271
 TOKEN = r"[\p{L}\p{N}_]+|[^\s\p{L}\p{N}_]"
 
 
@@ -99,10 +99,20 @@ def signatures(docs: str = "documents", key: str = "doc_id") -> str:
     keys = ", ".join(
         "concat_ws('-', " + ", ".join(f"s{k}" for k in range(3 * b, 3 * b + 3)) + ")" for b in range(3)
     )
-    return f"""toks as (select {key}, regexp_extract_all(text, '{TOKEN}') as t from {docs}),
-grams as (select {key}, unnest(list_transform(range(1, len(t) - 3),
-  lambda i: concat_ws(' ', t[i], t[i + 1], t[i + 2], t[i + 3], t[i + 4]))) as g from toks where len(t) >= 5),
-hashes as (select {key}, cast('0x' || md5(g)[1:8] as bigint) % {PRIME} as h from grams),
+    # CRC-32 of the distinct tokens from their UTF-8 bytes, then the tokens of a run as digits, modulo the prime.
+    gram = "0"
+    for k in range(5):
+        gram = f"(({gram}) * {HASH_BASE} + c[i + {k}]) % {PRIME}"
+    return f"""table_bits(i, c, n) as materialized (select i, case when i & 1 = 1 then xor(i >> 1, 3988292384) else i >> 1 end, 1 from range(256) t(i)),
+{", ".join(f"table_bits{n}(i, c) as (select i, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end from table_bits{n - 1 if n > 2 else ''})" for n in range(2, 9))},
+crc_step as materialized (select list(c order by i) as s from table_bits8),
+toks as (select {key}, regexp_extract_all(text, '{TOKEN}') as t from {docs}),
+words as (select w, hex(encode(w)) as h from (select distinct unnest(t) as w from toks)),
+crcs as (select w, xor(list_reduce(list_transform(range(0, len(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::bigint),
+  lambda c, b: xor(c >> 8, s[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % {PRIME} as c from words, crc_step),
+placed_toks as (select {key}, unnest(t) as w, unnest(range(len(t))) as i from toks),
+digits as (select {key}, list(c order by i) as c from placed_toks join crcs using (w) group by {key}),
+hashes as (select {key}, unnest(list_transform(range(1, len(c) - 3), lambda i: {gram})) as h from digits where len(c) >= 5),
 mins as (select {key}, {slots} from hashes group by {key}),
 sigs as (select d.{key}, {names} from {docs} d left join mins using ({key})),
 bands as (select *, [{keys}] as band_keys from sigs)"""

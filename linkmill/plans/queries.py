@@ -577,30 +577,35 @@ def shingles(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _cores(spark: SparkSession) -> int:
+    """The given documents may come in one row group, hence one split; signatures are dealt out over all cores."""
+    return spark.sparkContext.defaultParallelism
+
+
 def minhash(spark: SparkSession, sf: str) -> DataFrame:
-    sig = X.with_signature(documents(spark, sf).select("doc_id", "text"))
+    sig = X.with_signature(documents(spark, sf).select("doc_id", "text"), tasks=_cores(spark))
     return sig.select("doc_id", *[F.get("sig", F.lit(k)).alias(f"s{k}") for k in range(X.NUM_PERM)])
 
 
 def band_keys(spark: SparkSession, sf: str) -> DataFrame:
-    banded = X.with_bands(X.with_signature(documents(spark, sf).select("doc_id", "text")))
+    banded = X.with_bands(X.with_signature(documents(spark, sf).select("doc_id", "text"), tasks=_cores(spark)))
     return dedup.band_rows(banded, "doc_id").select("doc_id", F.col("band").cast("bigint").alias("band"), "band_key")
 
 
 def greedy_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """The documents that survive the greedy pass in doc_id order."""
-    kept, _ = corpus.near_dedup(documents(spark, sf), "doc_id")
+    kept, _ = corpus.near_dedup(documents(spark, sf), "doc_id", tasks=_cores(spark))
     return kept
 
 
 def greedy_dedup_short_kept(spark: SparkSession, sf: str) -> DataFrame:
-    kept, _ = corpus.near_dedup(documents(spark, sf), "doc_id", short_docs="keep")
+    kept, _ = corpus.near_dedup(documents(spark, sf), "doc_id", short_docs="keep", tasks=_cores(spark))
     return kept
 
 
 def lsh_candidates(spark: SparkSession, sf: str) -> DataFrame:
     """Every document with the kept documents it shares a band with."""
-    banded = corpus.signatures(documents(spark, sf), "doc_id")
+    banded = corpus.signatures(documents(spark, sf), "doc_id", _cores(spark))
     kept = written(dedup.greedy_keep(banded, "doc_id"), "kept")
     return dedup.lsh_candidates(banded, dedup.index_rows(banded, kept, "doc_id"), "doc_id")
 
@@ -627,21 +632,21 @@ def duplicate_list(spark: SparkSession, sf: str) -> DataFrame:
     addressed = batching.with_document_ordinal(
         docs.select("doc_id", F.col("source").alias("source_file")), ["doc_id"]
     ).select("doc_id", F.struct("source_file", "doc_ord").alias("address"))
-    banded = written(corpus.signatures(docs, "doc_id").join(addressed, "doc_id").select("address", "bands"), "addressed")
+    banded = written(corpus.signatures(docs, "doc_id", _cores(spark)).join(addressed, "doc_id").select("address", "bands"), "addressed")
     dropped = dedup.duplicates(banded, dedup.greedy_keep(banded, "address"), "address")
     return dropped.select("address.source_file", "address.doc_ord")
 
 
 def apply_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
-    _, dropped = corpus.near_dedup(docs, "doc_id")
+    _, dropped = corpus.near_dedup(docs, "doc_id", tasks=_cores(spark))
     return dedup.apply_duplicates(docs, dropped, ["doc_id"]).select("doc_id", "source", "lang", "n_chars")
 
 
 def union_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     """Near-duplicates together with exact copies, each once."""
     docs = documents(spark, sf)
-    _, near = corpus.near_dedup(docs, "doc_id")
+    _, near = corpus.near_dedup(docs, "doc_id", tasks=_cores(spark))
     first = docs.groupBy(F.sha2("text", 256)).agg(F.min("doc_id").alias("doc_id"))
     exact = docs.select("doc_id").join(first.select("doc_id"), "doc_id", "left_anti")
     return dedup.union_duplicates(near, exact)
@@ -649,7 +654,7 @@ def union_duplicates(spark: SparkSession, sf: str) -> DataFrame:
 
 def duplicate_stats(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
-    _, dropped = corpus.near_dedup(docs, "doc_id")
+    _, dropped = corpus.near_dedup(docs, "doc_id", tasks=_cores(spark))
     return stats.duplicate_stats(docs.agg(F.count(F.lit(1)).alias("n_docs")), dropped)
 
 

@@ -1,6 +1,7 @@
-import hashlib
+import functools
 import random
 import re
+import zlib
 
 import pytest
 from hypothesis import given, settings
@@ -139,13 +140,18 @@ def test_short_documents(spark):
 
 
 def plain_signature(text):
-    toks = re.findall(r"\w+|[^\w\s]", text)
-    grams = {" ".join(toks[i : i + 5]) for i in range(len(toks) - 4)}
-    hashes = [int(hashlib.md5(g.encode()).hexdigest()[:8], 16) % X.PRIME for g in grams]
+    toks = [zlib.crc32(t.encode()) % X.PRIME for t in re.findall(r"\w+|[^\w\s]", text)]
+    hashes = [functools.reduce(lambda h, t: (h * X.HASH_BASE + t) % X.PRIME, toks[i : i + 5], 0) for i in range(len(toks) - 4)]
     perms = [X.permutation(k) for k in range(X.NUM_PERM)]
     return [min(((h * a % X.PRIME + b) % X.PRIME for h in hashes), default=X.PRIME) for a, b in perms]
 
 
+def test_signatures_use_as_many_tasks_as_asked_for(spark):
+    df = spark.createDataFrame([(1, "a b c d e")], "i int, text string").coalesce(1)
+    assert X.with_signature(df, tasks=3).rdd.getNumPartitions() == 3
+    assert X.with_signature(df).rdd.getNumPartitions() == 1
+
+
 def test_signatures_against_a_loop(spark):
     texts = ["", "one two", "a b c d e", "Ünïcode, is it — all right? yes yes yes yes yes yes", "word " * 300, "x_1 y. z! 4 5 6"]
     df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
