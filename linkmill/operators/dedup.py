@@ -16,7 +16,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from linkmill.session import scratch_path, written, written_with
 
@@ -152,9 +151,20 @@ def index_rows(banded: DataFrame, kept: DataFrame, key: str) -> DataFrame:
     return band_rows(banded.join(kept.select(key), key, "left_semi"), key).select(*BUCKET, key)
 
 
-def indexed_keys(index: DataFrame, key: str) -> DataFrame:
-    """Each document of the index once: by its row in the first band, so that nothing has to be made distinct."""
-    return index.where(F.col("band") == 0).select(key)
+def _bucket_hits(
+    banded: DataFrame, index: DataFrame, key: str, hot_rows: int = HOT_BUCKET_ROWS, n_edges: int | None = None
+) -> DataFrame:
+    """(key, found): each document with the *indexed* documents it shares a band with, itself included; a row for each
+    band they share.
+
+    The index is met by one row per bucket of the batch, so it is read once, and it is not shuffled if it is clustered
+    by bucket.
+    """
+    edges = band_rows(banded, key)
+    sizes = edges.groupBy(*BUCKET).agg(F.count(F.lit(1)).alias("n"))
+    facts = sizes.join(index.select(*BUCKET, F.col(key).alias("found")), BUCKET)
+    hits = spread_bucket_facts(edges, facts, count_edges(banded) if n_edges is None else n_edges, hot_rows)
+    return hits.select(key, "found")
 
 
 def lsh_candidates(
@@ -166,23 +176,8 @@ def lsh_candidates(
     per bucket, so a document gets at most as many rows as it has bands, however large the buckets of the queried
     side are.
     """
-    edges = band_rows(banded, key)
-    sizes = edges.groupBy(*BUCKET).agg(F.count(F.lit(1)).alias("n"))
-    facts = sizes.join(index.select(*BUCKET, F.col(key).alias("found")), BUCKET)
-    hits = spread_bucket_facts(edges, facts, count_edges(banded) if n_edges is None else n_edges, hot_rows)
-    return hits.where(F.col("found") != F.col(key)).select(key, "found").distinct()
-
-
-def read_index(spark, path: str, key_ddl: str, without_batch: int | None = None) -> DataFrame:
-    """The index table, leaving out the rows an earlier attempt of this batch may have written."""
-    schema = f"band int, band_key string, {key_ddl}, batch_id bigint"
-    try:
-        index = spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return spark.createDataFrame([], schema)
-    return index if without_batch is None else index.where(F.col("batch_id") != without_batch)
+    hits = _bucket_hits(banded, index, key, hot_rows, n_edges)
+    return hits.where(F.col("found") != F.col(key)).distinct()
 
 
 def incremental_dedup(
@@ -191,13 +186,12 @@ def incremental_dedup(
     """(kept documents, new index rows) of one batch against an index of earlier kept documents.
 
     A document already in the index stays kept and is not added again. Of the others, those that share a band
-    with the index are dropped and the rest goes through the greedy rounds. ``banded`` should be a written table,
-    it is read more than once.
+    with the index are dropped and the rest goes through the greedy rounds. A document of the index meets itself in
+    every band, so one read of the index tells both. ``banded`` should be a written table, it is read more than once.
     """
-    known = indexed_keys(index, key)
-    fresh = banded.join(known, key, "left_anti")
-    hits = lsh_candidates(fresh, index, key, hot_rows, count_edges(banded)).select(key)
-    candidates = written(fresh.join(hits, key, "left_anti"), "batch-candidates")
+    hits = _bucket_hits(banded, index, key, hot_rows)
+    met = written(hits.groupBy(key).agg(F.max(F.col("found") == F.col(key)).alias("known")), "batch-met")
+    candidates = written(banded.join(met.select(key), key, "left_anti"), "batch-candidates")
     new = greedy_keep(candidates, key, hot_rows)
-    kept = banded.select(key).join(known, key, "left_semi").unionByName(new)
+    kept = met.where("known").select(key).unionByName(new)
     return kept, index_rows(candidates, new, key)

@@ -353,6 +353,10 @@ ORACLES: dict[str, str] = {
         select distinct k.doc_id, i.doc_id as found from keyed k join indexed i using (band, band_key)
         where k.doc_id <> i.doc_id""",
     "incremental_dedup": _INCREMENTAL,
+    "compacted_index": f"""with recursive {signatures()},
+        sided as (select b.*, cast(substr(source, 4) as integer) % 5 as batch from bands b join documents using (doc_id)),
+        {replay("batch, doc_id", source="sided")}
+        select unnest([0, 1, 2])::int as band, unnest(band_keys) as band_key, doc_id from bands join walk using (doc_id) where kept""",
     "duplicate_list": f"""with recursive {signatures()}, {_ADDRESSES},
         placed as (select b.*, a.source_file, a.doc_ord from bands b join addressed a using (doc_id)),
         {replay("source_file, doc_ord", source="placed")}

@@ -15,6 +15,7 @@ from linkmill.functions import urls as U
 from linkmill.operators import batching, dedup, extract, stats, url_filter, url_records
 from linkmill.operators import documents as D
 from linkmill.operators import submissions as P
+from linkmill.operators.lsh_index import ClusteredIndex
 from linkmill.plans import corpus
 from linkmill.plans.derived import (
     documents,
@@ -614,18 +615,33 @@ def _is_first_half() -> F.Column:
     return F.substring("source", 4, 10).cast("int") < 10
 
 
+def _index_at(path: str, **shape: int) -> ClusteredIndex:
+    return ClusteredIndex(path, "doc_id", "bigint", **shape)
+
+
 def incremental_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Two batches, the second against the index of the first; the first is run twice, which must change nothing."""
     docs = documents(spark, sf)
-    index = scratch_path(spark, "index")
+    index = _index_at(scratch_path(spark, "index"))
     dropped = scratch_path(spark, "dropped")
     halves = [docs.where(_is_first_half()), docs.where(~_is_first_half())]
     for batch_id, half in ((0, halves[0]), (1, halves[1]), (0, halves[0])):
-        dedup_stream.dedup_batch(half, "doc_id", index, dropped, batch_id)
+        dedup_stream.dedup_batch(half, "doc_id", index, dropped, batch_id, _cores(spark))
     lost = spark.read.schema("doc_id bigint, batch_id bigint").parquet(dropped)
     return docs.select("doc_id").join(lost.select("doc_id"), "doc_id", "left_anti")
 
 
+def compacted_index(spark: SparkSession, sf: str) -> DataFrame:
+    """The index after five batches, by source, compacted after every second one."""
+    docs = documents(spark, sf)
+    index = _index_at(scratch_path(spark, "index"), buckets=4, compact_every=2)
+    dropped = scratch_path(spark, "dropped")
+    for batch_id in range(5):
+        batch = docs.where(F.substring("source", 4, 10).cast("int") % 5 == batch_id)
+        dedup_stream.dedup_batch(batch, "doc_id", index, dropped, batch_id, _cores(spark))
+    return index.before(spark, 5)
+
+
 def duplicate_list(spark: SparkSession, sf: str) -> DataFrame:
     """Addresses (file, position) of the dropped documents; the order is (file, position)."""
     docs = documents(spark, sf)
@@ -768,7 +784,7 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     for half in (_is_first_half(), ~_is_first_half()):
         docs.where(half).write.mode("append").parquet(f"{base}/documents")
         dedup_stream.dedup_documents(
-            spark, f"{base}/documents", docs.schema, "doc_id", f"{base}/index", f"{base}/dropped", f"{base}/checkpoint"
+            spark, f"{base}/documents", docs.schema, "doc_id", f"{base}/index", f"{base}/dropped", f"{base}/checkpoint", tasks=_cores(spark)
         ).awaitTermination()
     lost = spark.read.schema("doc_id bigint, batch_id bigint").parquet(f"{base}/dropped")
     return docs.select("doc_id").join(lost.select("doc_id"), "doc_id", "left_anti")
@@ -845,6 +861,7 @@ QUERIES: dict[str, Query] = {
         greedy_dedup_short_kept,
         lsh_candidates,
         incremental_dedup,
+        compacted_index,
         duplicate_list,
         apply_duplicates,
         union_duplicates,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from linkmill.functions import text as X
 from linkmill.operators import dedup
+from linkmill.operators.lsh_index import ClusteredIndex
 from linkmill.plans.corpus import near_dedup
 from linkmill.streaming.dedup import dedup_batch
 
@@ -115,24 +116,79 @@ def test_incremental_equals_replay(spark):
     assert index.count() == index.select("band", "band_key").distinct().count()
 
 
+def texts(rng, n):
+    return [" ".join(rng.choice("abcdefgh") for _ in range(rng.choice([2, 6, 7]))) for _ in range(n)]
+
+
+def files(path):
+    """Data files below a folder with their contents' sizes; Spark gives every write new names."""
+    return sorted((str(f.parent.relative_to(path)), f.name.split("_")[-1], f.stat().st_size) for f in path.rglob("part-*.parquet"))
+
+
 def test_replayed_batch_changes_nothing(spark, tmp_path):
     docs = spark.createDataFrame(
         [(0, "one two three four five six"), (1, "one two three four five six"), (2, "x"), (3, "y"), (4, "a b c d e f g")],
         "doc_id long, text string",
     )
-    index, dropped = str(tmp_path / "index"), str(tmp_path / "dropped")
+    index, dropped = ClusteredIndex(str(tmp_path / "index"), "doc_id", "bigint", buckets=4), str(tmp_path / "dropped")
     state = []
     for _ in range(2):
         dedup_batch(docs, "doc_id", index, dropped, 7)
-        state.append(
-            (
-                sorted(map(tuple, spark.read.parquet(index).collect())),
-                sorted(r.doc_id for r in spark.read.parquet(dropped).collect()),
-            )
-        )
+        lost = sorted(r.doc_id for r in spark.read.parquet(dropped).collect())
+        state.append((sorted(map(tuple, index.before(spark, 8).collect())), lost, files(tmp_path / "index")))
     assert state[0] == state[1] and state[0][1] == [1, 3]
 
 
+def test_batches_with_compaction_equal_replay(spark, tmp_path):
+    rng = random.Random(11)
+    index = ClusteredIndex(str(tmp_path / "index"), "doc_id", "bigint", buckets=3, compact_every=2)
+    rows, dropped = [(i, t) for i, t in enumerate(texts(rng, 60))], str(tmp_path / "dropped")
+    for n in range(6):
+        batch = spark.createDataFrame(rows[10 * n : 10 * n + 10] + ([] if n < 3 else rows[:2]), "doc_id long, text string")
+        dedup_batch(batch, "doc_id", index, dropped, n)
+        if n in (2, 5):  # the first batch of a generation and the last one
+            before = files(tmp_path / "index")
+            dedup_batch(batch, "doc_id", index, dropped, n)
+            assert files(tmp_path / "index") == before
+    banded = X.with_bands(X.with_signature(spark.createDataFrame(rows, "doc_id long, text string"))).orderBy("doc_id")
+    bands = {r.doc_id: r.bands for r in banded.collect()}
+    kept = replay(sorted(bands.items()))
+    assert sorted(map(tuple, index.before(spark, 6).collect())) == sorted((b, k, d) for d in kept for b, k in enumerate(bands[d]))
+    # Two generations exist, and the compacted one has one file a bucket at most.
+    assert sorted(p.name for p in (tmp_path / "index").iterdir()) == ["side=0", "side=1"]
+    assert len(list((tmp_path / "index" / "side=0" / "batch_id=-2").glob("part-*.parquet"))) <= 3
+    assert not (tmp_path / "index" / "side=0" / "batch_id=0").exists()
+
+
+def test_index_is_not_shuffled_and_read_once(spark, tmp_path, monkeypatch):
+    index = ClusteredIndex(str(tmp_path / "index"), "doc_id", "struct<file:string,at:bigint>", buckets=5)
+    key = F.struct(F.lit("f").alias("file"), F.col("id").alias("at")).alias("doc_id")
+    banded = spark.range(40).select(key, F.array(F.col("id").cast("string"), F.col("id").cast("string")).alias("bands"))
+    index.add(dedup.band_rows(banded, "doc_id"), 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        batch = spark.range(30, 50).select(key, F.array(F.col("id").cast("string"), F.lit("x")).alias("bands"))
+        hits = dedup._bucket_hits(batch, index.before(spark, 1), "doc_id", n_edges=40)
+        plan = hits._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.found.at for r in hits.collect()) == list(range(30, 40))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if "SelectedBucketsCount: 5 out of 5" in line)
+    above, depth = [], lines[at].index("+-")
+    for line in reversed(lines[:at]):  # from the scan up to the join that it feeds
+        here = max(line.find("+-"), line.find(":-"))
+        if here < depth:
+            depth = here
+            above.append(line)
+        if above and "Join" in above[-1]:
+            break
+    assert "Join" in above[-1] and not any("Exchange" in line for line in above)
+    assert plan.count("FileScan") == 1
+
+
 def test_short_documents(spark):
     docs = spark.createDataFrame([(0, "a b"), (1, ""), (2, "c d e f"), (3, "long enough to be one gram")], "doc_id long, text string")
     assert sorted(r.doc_id for r in near_dedup(docs, "doc_id")[0].collect()) == [0, 3]
