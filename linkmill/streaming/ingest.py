@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from linkmill.operators.submissions import dedup_by_id, quarantine, to_submissions
 from linkmill.schemas import SUBMISSION
 from linkmill.sources.dumps import read_dumps
+from linkmill.streaming.keyed import first_by_key
 from linkmill.streaming.tables import read_batches, write_batch
 
 #: Files taken into one micro-batch; their names are all that reaches the driver.
@@ -25,9 +26,12 @@ def ingest_dumps(
 ) -> StreamingQuery:
     """Take every dump file that has not been taken yet into the submission table, then stop.
 
-    The stream is the file listing, so that all codecs of ``read_dumps`` work; the checkpoint remembers the
-    files. Ids already in the table are left out by an anti join on the id column alone.
+    The stream is the file listing, so that all codecs of ``read_dumps`` work; the checkpoint remembers the files. A
+    batch of files is landed with each id once, its smallest submission; then ids of earlier batches are left out by
+    the state of ``first_by_key``. So an id keeps the submission of the first batch that has it, and neither the table
+    nor earlier files are read again. Landed submissions, below the checkpoint, can go when no run is under way.
     """
+    landed = f"{checkpoint}/landed"
     listing = (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length bigint, content binary")
@@ -42,9 +46,8 @@ def ingest_dumps(
         if not paths:
             return
         posts = read_dumps(spark, paths)
-        known = read_batches(spark, table, SUBMISSION, without_batch=batch_id).select("id")
-        new = dedup_by_id(to_submissions(posts)).join(known, "id", "left_anti")
-        write_batch(new, table, batch_id)
+        write_batch(dedup_by_id(to_submissions(posts)), landed, batch_id)
+        first_by_key(spark, landed, SUBMISSION, "id", table, f"{checkpoint}/ids").awaitTermination()
         if quarantine_table:
             write_batch(quarantine(posts), quarantine_table, batch_id)
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from linkmill.operators.extract import extract_paragraphs
 from linkmill.operators.documents import successful
-from linkmill.streaming import extraction, ingest
+from linkmill.streaming import extraction, ingest, keyed
 
 
 def lines(start, stop, extra=()):
@@ -36,6 +36,32 @@ def test_each_file_once_and_each_id_once(spark, tmp_path):
     assert [r.reason for r in spark.read.parquet(bad).collect()] == ["bad_json"]
 
 
+def test_an_id_in_three_batches_stays_once(spark, tmp_path):
+    dumps = tmp_path / "dumps"
+    dumps.mkdir()
+    post = lambda i, url, score: json.dumps({"id": i, "is_self": False, "url": url, "score": score, "created_utc": 1136073600})
+
+    def run(table):
+        path = str(tmp_path / table)
+        ingest.ingest_dumps(spark, str(dumps), path, str(tmp_path / "checkpoint"), files_per_batch=1).awaitTermination()
+        return sorted((r.id, r.url, r.score) for r in ingest.read_ingested(spark, path).collect())
+
+    (dumps / "a.json").write_text("\n".join([post("a", "u2", 5), post("a", "u1", 6), post("b", "b", 1)]))
+    assert run("table") == [(10, "u1", 6), (11, "b", 1)]
+    # The next run writes elsewhere: what is known comes from the state, not from a table.
+    (dumps / "b.json").write_text("\n".join([post("a", "a0", 1), post("c", "c", 1)]))
+    (dumps / "c.json").write_text("\n".join([post("a", "a0", 1), post("c", "c", 1), post("d", "d", 1)]))
+    want = [(12, "c", 1), (13, "d", 1)]
+    assert run("other") == want
+    # A run that ended after its last batch, but before that was noted, takes the batch again.
+    for commits in (tmp_path / "checkpoint" / "commits", tmp_path / "checkpoint" / "ids" / "commits"):
+        last = max((p for p in commits.iterdir() if p.name.isdigit()), key=lambda p: int(p.name))
+        for p in (last, commits / f".{last.name}.crc"):
+            p.unlink(missing_ok=True)
+    assert run("other") == want
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") != keyed.ON_DISK["spark.sql.streaming.stateStore.providerClass"]
+
+
 def test_stream_extraction_equals_batch(spark, sf, tmp_path):
     pages = spark.read.parquet(f"{sf}/pages.parquet")
     folder = str(tmp_path / "pages")
