@@ -227,6 +227,7 @@ ORACLES: dict[str, str] = {
         from subs group by url having sum(score) >= {HIGH_SCORE}""",
     "url_records_merged": f"""with {SUBS} select {_RECORD_COLUMNS} from subs group by url
         having sum(score) >= {HIGH_SCORE}""",
+    "url_store": f"""with {ORDER_SUBS} select {_RECORD_COLUMNS} from order_subs group by url having sum(score) >= 3""",
     "url_batches": f"""with {SUBS}, urls as (select url from subs group by url having sum(score) >= 3)
         select url, {_BATCHED} from urls""",
     "url_batches_skipped": f"""with {SUBS}, urls as (select url from subs group by url having sum(score) >= 3),

@@ -33,6 +33,7 @@ from linkmill.session import scratch_path, written
 from linkmill.sources import documents as doc_files
 from linkmill.sources import dumps, files, releases, url_files
 from linkmill.sources import submissions as sub_files
+from linkmill.sources.url_store import UrlStore
 from linkmill.sources.zstd import register_zstd
 from linkmill.streaming import dedup as dedup_stream
 from linkmill.streaming import extraction, ingest
@@ -242,6 +243,16 @@ def url_records_merged(spark: SparkSession, sf: str) -> DataFrame:
     return _flat_records(url_records.merge_url_records(*runs, min_score=HIGH_SCORE))
 
 
+def url_store(spark: SparkSession, sf: str) -> DataFrame:
+    """Years merged one after another into a store of URL records, copy on write; the last one is merged twice."""
+    subs = order_submissions(spark, sf)
+    store = UrlStore(scratch_path(spark, "url-store"), buckets=8)
+    for version, years in enumerate(((1992, 1993), (1994, 1994), (1995, 2100), (1995, 2100))):
+        run = subs.where(F.year("created_utc").between(*years))
+        store.merge(url_records.build_url_records(run, min_score=None), min(version, 2))
+    return _flat_records(store.read(spark))
+
+
 def url_batches(spark: SparkSession, sf: str) -> DataFrame:
     """Consecutive batches of 40 URLs in url order."""
     records = url_records.build_url_records(submissions(spark, sf))
@@ -813,6 +824,7 @@ QUERIES: dict[str, Query] = {
         url_records_split,
         url_totals,
         url_records_merged,
+        url_store,
         url_batches,
         url_batches_skipped,
         url_batch_files,
