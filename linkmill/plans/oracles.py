@@ -331,6 +331,9 @@ ORACLES: dict[str, str] = {
         select f.file_id, f.source, f.n_docs, l.batch from files f join loop l using (file_id)""",
     "aligned_outputs": """select doc_id, 'scrapes_' || source || '_final.jsonl.zst' as source_file from documents""",
     "lines_per_file": "select count(*) as n_lines from documents",
+    "numbered_lines": f"""with {_ADDRESSES} select doc_id, source_file as source, doc_ord as line from addressed""",
+    "bitmap_removal": f"""with {_ADDRESSES} select doc_id, source_file, doc_ord, cast(length(text) as bigint) as n_chars
+        from addressed join documents using (doc_id) where doc_id not in (select doc_id from labels where quality = 0)""",
     "skip_done_files": """select distinct source as path from documents where source not in (
         select source from documents join labels using (doc_id) where toxic = 1)""",
     "word_tokens": f"""select doc_id, cast(len(regexp_extract_all(text, '{TOKEN}')) as bigint) as n_tokens,

@@ -12,7 +12,7 @@ from linkmill.functions import html as H
 from linkmill.functions import scalars as S
 from linkmill.functions import text as X
 from linkmill.functions import urls as U
-from linkmill.operators import batching, dedup, extract, stats, url_filter, url_records
+from linkmill.operators import batching, bitmaps, dedup, extract, stats, url_filter, url_records
 from linkmill.operators import documents as D
 from linkmill.operators import submissions as P
 from linkmill.operators.lsh_index import ClusteredIndex
@@ -558,6 +558,32 @@ def lines_per_file(spark: SparkSession, sf: str) -> DataFrame:
     return files.lines_per_file(spark, path, "part-*").agg(F.sum("n_lines").alias("n_lines"))
 
 
+def numbered_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents in files of JSON lines, one a source, with the number of their line."""
+    path = scratch_path(spark, "numbered")
+    docs = documents(spark, sf).repartition("source").sortWithinPartitions("source", "doc_id")
+    line = F.to_json(F.struct("doc_id", "text")).alias("value")
+    docs.select(line, "source").write.partitionBy("source").text(path)
+    rows = files.numbered_lines(spark, path)
+    return rows.select(
+        F.get_json_object("value", "$.doc_id").cast("bigint").alias("doc_id"),
+        F.regexp_extract("source_file", "source=([^/]*)/", 1).alias("source"),
+        "line",
+    )
+
+
+def bitmap_removal(spark: SparkSession, sf: str) -> DataFrame:
+    """The corpus without documents of low quality, dropped by address in a narrow pass over bit maps."""
+    addressed = _document_addresses(spark, sf).join(documents(spark, sf).select("doc_id", "text"), "doc_id")
+    docs = written(addressed, "addressed")
+    bad = table(spark, sf, "labels").where("quality = 0").select("doc_id")
+    dropped = docs.join(bad, "doc_id", "left_semi").select("source_file", "doc_ord")
+    path = scratch_path(spark, "final")
+    bitmaps.write_without(docs, dropped, path, maps_at_once=8)
+    back = spark.read.schema(docs.schema).parquet(path)
+    return back.select("doc_id", "source_file", "doc_ord", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def total_input_size(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "sizes")
     documents(spark, sf).select("text", F.lit("{}").alias("meta")).transform(doc_files.document_lines).write.text(path)
@@ -863,6 +889,8 @@ QUERIES: dict[str, Query] = {
         file_batches,
         aligned_outputs,
         lines_per_file,
+        numbered_lines,
+        bitmap_removal,
         total_input_size,
         skip_done_files,
         word_tokens,

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linkmill.functions.scalars import base_name
+from linkmill.session import scratch_path, written_with
 from linkmill.sources.packed import PACKED_EXTENSIONS, register_packed
 
 # Extensions that Spark's own line reader understands.
@@ -88,3 +89,33 @@ def write_aligned(df: DataFrame, path: str, source: str = "source_file") -> None
     hint brings rows of one file together, and splits a file that is far larger than the others over several tasks.
     """
     df.hint("rebalance", source).write.mode("overwrite").partitionBy(source).parquet(path)
+
+
+#: Splits whose offsets are broadcast; with more of them lines are joined to their offsets by shuffle.
+SPLITS_AT_ONCE = 1_000_000
+
+
+def numbered_lines(spark: SparkSession, paths: str | list[str], splits_at_once: int = SPLITS_AT_ONCE) -> DataFrame:
+    """(source_file, line, value): every line with its 0-based number in its file, whatever splits the file is read in.
+
+    Lines of a split come in order, so a line's number is its place in the split plus the lines of the file's earlier
+    splits. Those are counted in a first pass; nothing is sorted, and lines aren't shuffled. Files must not change
+    between the passes. A missing last line feed, empty lines and empty files count as in any line reader.
+    """
+    text = spark.read.option("lineSep", "\n").text(paths)
+    meta = text.metadataColumn("_metadata")
+    lines = text.select(
+        "value",
+        meta["file_path"].alias("source_file"),
+        meta["file_block_start"].alias("_start"),
+        F.monotonically_increasing_id().alias("_at"),
+    )
+    sizes = lines.groupBy("source_file", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    earlier = Window.partitionBy("source_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        "source_file", "_start", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_offset")
+    )
+    offsets, n = written_with(offsets, scratch_path(spark, "split-offsets"), F.count(F.lit(1)))
+    told = F.broadcast(offsets) if n <= splits_at_once else offsets
+    numbered = lines.join(told, ["source_file", "_start"])
+    return numbered.select("source_file", (F.col("_at") + F.col("_offset")).cast("bigint").alias("line"), "value")
