@@ -36,16 +36,19 @@ _MARKED_TAGS = frozenset("nav footer aside form menu header".split())
 #: Words in class or id, or roles, that mark what is no article: menus, sidebars, notices, adverts, comments.
 _MARKED = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner sidebar aside"
-    " menu nav navbar navigation breadcrumb breadcrumbs footer foot masthead cookie cookies consent gdpr notice notices alert"
+    " menu nav navbar navigation breadcrumb breadcrumbs header footer foot masthead cookie cookies consent gdpr notice notices alert"
     " popup modal overlay newsletter subscribe subscription signup social share sharing sharebar related recommended"
-    " recommendations comment comments disqus reply replies respond responses toolbar pagination pager widget login"
+    " recommendations comment comments commentlist disqus reply replies respond responses toolbar pagination pager widget login"
     " complementary contentinfo search skip outbrain taboola".split()
 )
-#: Words beside which a marked word still marks: site-footer does, has-sidebar and x-widget-container don't.
+#: Words of a class that say what a part lacks or an outer element has: has-sidebar, no-ads, ad-free mark nothing.
+_DENIES, _DENIES_AFTER = frozenset("has no not non with without is".split()), frozenset(["free"])
+#: Words beside which a marked word still marks an article, whose class may speak of what stands below it.
 _PLACES = frozenset(
     "site main page top bottom left right primary secondary global area list section block box bar link links item items"
-    " icon icons button buttons slot text".split()
+    " icon icons button buttons slot text body content wrapper container post posts thread".split()
 )
+_WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 #: Marks of what others say or what stands beside the article: these need more than half of a page to be its text.
 _FOREIGN = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion cookie cookies consent"
@@ -91,19 +94,27 @@ def _is_hidden(tag: str, attributes: str) -> bool:
     return False
 
 
+def _marking(token: str, strict: bool) -> list[str]:
+    """The words by which a class, an id or a role marks; ``strict`` if it must say nothing else."""
+    words = [w.lower() for w in _WORD.findall(token) if len(w) > 1]
+    if strict:
+        found = [w for w in words if w in _MARKED_ARTICLE]
+        return found if all(w in _MARKED or w in _PLACES for w in words) else []
+    denied = next((i for i, w in enumerate(words) if w in _DENIES), len(words))
+    return [w for w, after in zip(words[:denied], [*words[1:], ""]) if w in _MARKED and after not in _DENIES_AFTER]
+
+
 def _mark(tag: str, attributes: str, inside_article: bool) -> str:
     """The word or tag that marks an element as no article, or an empty text."""
     if tag in _MARKED_TAGS and not (tag == "header" and inside_article):
         return tag
     if not attributes or tag in ("html", "body"):
         return ""
-    marked = _MARKED_ARTICLE if tag in ("article", "main") else _MARKED
     for name, value in _ATTRIBUTE.findall(attributes):
         if name.lower() in ("class", "id", "role"):
-            for token in value.strip("\"'").lower().split():
-                words = [w for w in re.split(r"[^a-z]+", token) if len(w) > 1]
-                found = [w for w in words if w in marked]
-                if found and all(w in _MARKED or w in _PLACES for w in words):
+            for token in value.strip("\"'").split():
+                found = _marking(token, tag in ("article", "main"))
+                if found:
                     return next((w for w in found if w in _FOREIGN), found[0])
     return ""
 
@@ -122,6 +133,10 @@ def _read(html: str) -> tuple[list[_Node], list[tuple[_Node, list[_Part]]]]:
                 return node
         return root
 
+    def code() -> bool:
+        """Inside listings, where a comment is no reader's."""
+        return open_tags.get("pre", 0) > 0 or open_tags.get("code", 0) > 0
+
     def flush() -> None:
         if parts:
             blocks.append((block_node(), parts.copy()))
@@ -191,7 +206,7 @@ def _read(html: str) -> tuple[list[_Node], list[tuple[_Node, list[_Part]]]]:
             if ends and tag != "p":
                 _close_within(stack, ends.split(), close)
         skipped = stack[-1].skipped or _is_hidden(tag, rest[1])
-        node = _Node(tag, stack[-1], len(nodes), skipped, "" if skipped else _mark(tag, rest[1], articles > 0))
+        node = _Node(tag, stack[-1], len(nodes), skipped, "" if skipped or code() else _mark(tag, rest[1], articles > 0))
         nodes.append(node)
         if rest[1].endswith("/") and tag not in _INLINE and tag in ("svg", "math"):
             continue
@@ -238,6 +253,7 @@ def _note_marks(nodes: list[_Node], bits: dict[str, int]) -> None:
 def _unmark(nodes: list[_Node], own: list[float]) -> None:
     """Take off marks that the page's text belies. ``own`` are the points of the text right in each element.
 
+    - A header inside an article that holds an h1 is the article's.
     - An article or main with more points than all unmarked text takes off the marks above it.
     - A marked element with most of the page's points is unmarked; so are all elements of one mark that hold them
       together, as where each paragraph has its widget.
@@ -257,6 +273,12 @@ def _unmark(nodes: list[_Node], own: list[float]) -> None:
     within = [False] * len(nodes)
     for node in nodes:
         within[node.index] = node.parent is not None and (within[node.parent.index] or node.parent.tag in ("article", "main"))
+        if node.tag == "h1" and within[node.index]:
+            # What has an article's title is the article's own header.
+            up = node.parent
+            while up is not None and up.tag not in ("article", "main"):
+                up.mark, up = "" if up.mark == "header" else up.mark, up.parent
+    _note_marks(nodes, bits)
 
     def unmarked() -> float:
         return sum(p for node, p in zip(nodes, own, strict=True) if not node.marks)

@@ -104,3 +104,29 @@ def test_uneven_sections_without_an_article_all_stay():
     menu = "<ul><li><a href=1>no</a></li></ul><div><a href=1>no</a> | <a href=2>no</a></div><div class=comments>no</div>"
     assert main_text(f"<div>{menu}{best}{rest}{menu}</div>") == want
     assert main_text(f"<div><div><div>{best}</div></div></div>{menu}<div><div>{rest}</div></div>") == want
+
+
+@pytest.mark.parametrize(
+    "name",
+    "post-comments comments-wrapper reader-comments article-comments user-comment ad-container ad-wrapper cookie-notice-container"
+    " cookie-law-info newsletter-form share-buttons-wrapper related-posts sidebar-content site-header page-header header commentList"
+    " adBox sidebar site-footer AD_SLOT commentsArea".split(),
+)
+def test_marked_noise_is_dropped_wherever_it_stands(name):
+    noise = f"<div class='x {name}'><p>no, no and no: a paragraph of noise, with commas, as long as others are.</p></div>"
+    assert main_text(f"<article>{_LONG}{noise}</article>") == _TEXT
+    assert main_text(f"<div>{_LONG}{noise}</div>") == _TEXT
+    assert main_text(f"<div>{noise}{_LONG}</div>") == _TEXT
+    assert main_text(f"<article>{_LONG}</article>{noise}") == _TEXT
+    assert main_text(f"<div><div>{_LONG}</div>{noise.replace('class', 'id')}</div>") == _TEXT
+
+
+@pytest.mark.parametrize("name", ["has-comments", "no-ads", "with-related-posts", "isAdFree", "ad-free", "without_sidebar", "header-free", "footnotes", "loading", "shadow", "commentary"])
+def test_words_that_deny_or_only_resemble_mark_nothing(name):
+    assert main_text(f"<article>{_LONG}<div class='{name}'><p>yes</p></div></article>") == _TEXT + " yes"
+
+
+def test_comments_of_listings_and_the_articles_own_header_stay():
+    code = "<pre><code>x = 1 <span class='hljs-comment'># one</span></code></pre>"
+    assert main_text(f"<article>{_LONG}{code}</article>") == _TEXT + " x = 1 # one"
+    assert main_text(f"<article><div class='entry-header'><h1>Title</h1><p>By A</p></div>{_LONG}</article>") == "Title By A " + _TEXT
