@@ -178,7 +178,9 @@ def resampler(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text:
         plain.select("id", *drawn(F.col("id"), F.col("text"))).select("id", "log_weight", (F.col("log_weight") + F.col("noise")).alias("draw")),
         "draws",
     )
-    known = scores.join(F.broadcast(sample), "id").select("log_weight", "good").toPandas()  # about LABELLED rows
+    # An id counts once, however often it occurs, so at most LABELLED rows reach the driver.
+    labelled = scores.join(F.broadcast(sample), "id").groupBy("id", "good").agg(F.min("log_weight").alias("log_weight"))
+    known = labelled.select("log_weight", "good").toPandas()
     cut = best_cut(known["log_weight"].to_numpy(), known["good"].to_numpy(bool))
     k = scores.where(F.col("log_weight") > F.lit(float(cut))).count()
     least = kth_largest(scores, "draw", k)

@@ -104,3 +104,13 @@ def test_best_cut_is_0_where_that_parts_as_well():
     assert best_cut(np.array([-4.0, 10]), np.array([False, True])) == 0
     assert best_cut(np.array([-10.0, 4]), np.array([False, True])) == -3
     assert best_cut(np.array([2.0, 4]), np.array([False, True])) == 3
+
+
+def test_a_labelled_id_that_comes_very_often_counts_once(spark, monkeypatch):
+    collected = []
+    monkeypatch.setattr(quality, "best_cut", lambda scores, good: collected.append(len(scores)) or best_cut(scores, good))
+    rows = [(1, "plain words of good text"), (2, "junk*** ### %%%")] * 5000 + [(3, "plain words"), (4, "### junk***")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (4, 0)], "doc_id long, quality int")
+    scores, _ = resampler(docs, labels)
+    assert collected == [4] and scores.count() == len(rows)
