@@ -1,13 +1,13 @@
 """Benchmark decontamination by winnowing: minimum k-gram hashes of sliding windows are joined, and hits extended.
 
 Two texts that share a span of ``WINDOW`` words share ``WINDOW - GRAM + 1`` neighbouring k-grams, hence the smallest
-hash among them, and both keep it. So a join of the kept hashes meets every shared span of that length; comparing
-words along the diagonal of a hit then gives exact spans.
+hash among them, and both keep it. So a join of the kept hashes meets every shared span of that length; a hit is then
+extended to the windows that hold it, and these are compared.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linkmill.llm.common import lower_ascii, once, table
@@ -20,6 +20,11 @@ SHARE = 20
 
 #: What stands between words, once A-Z are lower case.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: A word of a text as it stands, to count words without making them.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+#: Bits of the sieve of document keys, 1 MB at any number of documents.
+SIEVE_BITS = 1 << 23
 
 
 def words(text: Column) -> Column:
@@ -74,76 +79,89 @@ def _hashes(text: Column) -> Column:
     return F.transform(words(text), lambda w: F.xxhash64(w))
 
 
-def _places(rows: DataFrame, key: str, values: Column) -> DataFrame:
-    """``(key, place, h)`` of the values that are not null."""
-    return rows.select(key, F.posexplode(values).alias("place", "h")).where("h is not null")
+def _digest(words_: Column) -> list[Column]:
+    """128 bits of a window's words."""
+    text = F.concat_ws(" ", words_)
+    return [F.xxhash64(text).alias("d1"), F.xxhash64(F.lit(1), text).alias("d2")]
 
 
-def _candidates(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Distinct ``(key, item, delta)``: an item's word j may equal the document's word delta + j."""
-    # Written, so that Spark knows its size: it is broadcast only below the session's limit.
-    long = _places(items.where(F.size("w") >= WINDOW), "item", kept_hashes(F.transform("w", lambda w: F.xxhash64(w))))
-    marks, _ = written_with(long.select("item", F.col("place").alias("at"), "h"), scratch_path(docs.sparkSession, "marks"), F.count(F.lit(1)))
-    found = _places(docs, "key", kept_hashes(_hashes(F.col("text")))).join(marks, "h")
-    # An item of fewer words is one window of its own: it is met by its word of the smallest hash.
-    low = F.array_min(F.transform("w", lambda w: F.xxhash64(w)))
-    short = (
-        items.where((F.size("w") < WINDOW) & (F.size("w") > 0))
-        .withColumn("h", low)
-        .select("item", (F.array_position(F.transform("w", lambda w: F.xxhash64(w)), F.col("h")) - 1).cast("int").alias("at"), "h")
-    )
-    short, some = written_with(short, scratch_path(docs.sparkSession, "short-marks"), F.count(F.lit(1)))
-    if some:
-        found = found.unionByName(_places(docs, "key", _hashes(F.col("text"))).join(short, "h"))
-    return found.select("key", "item", (F.col("place") - F.col("at")).alias("delta")).distinct()
+def _marks(items: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """What to look for: ``h`` of long items' kept hashes, each once; and ``(h, size, at)`` of shorter items, which are one
+    window of their own, found by their word of the smallest hash; and how many of these there are."""
+    spark = items.sparkSession
+    # Written, so that Spark knows their sizes: they are broadcast only below the session's limit.
+    each = items.where(F.size("w") >= WINDOW).select(F.explode(kept_hashes(F.transform("w", lambda w: F.xxhash64(w)))).alias("h"))
+    long = written(each.where("h is not null").distinct(), "marks")
+    hashes = F.transform("w", lambda w: F.xxhash64(w))
+    at = (F.array_position(hashes, F.array_min(hashes)) - 1).cast("int")
+    short = items.where(F.size("w") < WINDOW).select(F.array_min(hashes).alias("h"), F.size("w").alias("size"), at.alias("at"))
+    return long, *written_with(short.distinct(), scratch_path(spark, "short-marks"), F.count(F.lit(1)))
 
 
-def _runs(doc: Column, hit: Column) -> Column:
-    """Spans ``(first, last, item)`` of the document's words that equal the item's in runs of a window or more."""
-    n = F.size(hit["w"])
-    differs = F.filter(
-        F.sequence(F.lit(0), n - 1),
-        lambda j: ~F.coalesce(F.get(doc, hit["delta"] + j) == F.get(hit["w"], j), F.lit(False)),
-    )
-    ends = F.concat(F.array(F.lit(-1)), differs, F.array(n))
-    return once(
-        ends,
-        lambda e: F.transform(
-            F.filter(
-                F.zip_with(F.slice(e, F.lit(1), F.size(e) - 1), F.slice(e, F.lit(2), F.size(e) - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b"))),
-                lambda g: g["b"] - g["a"] > F.least(n, F.lit(WINDOW)),
-            ),
-            lambda g: F.struct(
-                (hit["delta"] + g["a"] + 1).alias("first"), (hit["delta"] + g["b"] - 1).alias("last"), hit["item_id"].alias("item_id")
-            ),
-        ),
-    )
+def _windows(items: DataFrame) -> DataFrame:
+    """``(d1, d2, item_id)``: each window of each item once."""
+    size = F.least(F.size("w"), F.lit(WINDOW))
+    firsts = F.sequence(F.lit(0), F.size("w") - size)
+    each = items.select("item_id", F.explode(F.transform(firsts, lambda i: F.struct(*_digest(F.slice("w", i + 1, size))))).alias("d"))
+    return written(each.select("d.d1", "d.d2", "item_id").distinct(), "item-windows")
 
 
-def _merged(spans: Column) -> Column:
-    """Disjoint ``(first, last)`` in order, from spans sorted by their start."""
-    kind = "array<struct<first:int,last:int>>"
-    # The open span is kept beside the list, so a list grows once per disjoint span.
-    fold = F.aggregate(
-        spans,
-        F.struct(F.array().cast(kind).alias("done"), F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last")),
-        lambda acc, s: F.when(acc["first"].isNull(), F.struct(acc["done"].alias("done"), s["first"].alias("first"), s["last"].alias("last")))
-        .when(
-            s["first"] <= acc["last"] + 1,
-            F.struct(acc["done"].alias("done"), acc["first"].alias("first"), F.greatest(acc["last"], s["last"]).alias("last")),
-        )
-        .otherwise(
-            F.struct(
-                F.array_append(acc["done"], F.struct(acc["first"].alias("first"), acc["last"].alias("last"))).alias("done"),
-                s["first"].alias("first"),
-                s["last"].alias("last"),
-            )
-        ),
-        lambda acc: F.when(acc["first"].isNull(), acc["done"]).otherwise(
-            F.array_append(acc["done"], F.struct(acc["first"].alias("first"), acc["last"].alias("last")))
-        ),
+def _candidates(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """``(key, places)``: for each document that shares a kept hash with an item, structs ``(size, first, last)``: windows
+    of so many words that begin at these places may be an item's.
+
+    A hash is met once, however often an item repeats it, so a text of one word that comes a million times has a
+    million rows here, whatever the items are.
+    """
+    long, short, some = _marks(items)
+    hit = docs.select("key", F.posexplode(kept_hashes(_hashes(F.col("text")))).alias("place", "h")).where("h is not null")
+    found = hit.join(long, "h", "left_semi").select("key", F.lit(WINDOW).alias("size"), (F.col("place") - (WINDOW - GRAM)).alias("first"), F.col("place").alias("last"))
+    if some:
+        each = docs.select("key", F.posexplode(_hashes(F.col("text"))).alias("place", "h")).join(short, "h")
+        at = F.col("place") - F.col("at")
+        found = found.unionByName(each.select("key", "size", at.alias("first"), at.alias("last")))
+    return found.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("size", "last", "first"))).alias("places"))
+
+
+def _extended(words_: Column, places: Column) -> Column:
+    """The windows at the places of a document, ``(first, last, d1, d2)``: a window of several places is taken once."""
+    def of_place(p: Column, q: Column) -> Column:
+        # Places are sorted, so what the one before has taken is left out.
+        low = F.when(q["size"] == p["size"], F.greatest(p["first"], q["last"] + 1)).otherwise(p["first"])
+        low, high = F.greatest(low, F.lit(0)), F.least(p["last"], F.size(words_) - p["size"])
+        starts = F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda s: F.struct(s.alias("first"), (s + p["size"] - 1).alias("last"), *_digest(F.slice(words_, s + 1, p["size"]))))
+
+    # The first place has none before it.
+    nothing = F.transform(F.slice(places, F.lit(1), F.lit(1)), lambda p: p.withField("size", F.lit(0)))
+    before = F.concat(nothing, F.slice(places, F.lit(1), F.size(places) - 1))
+    return F.flatten(F.zip_with(places, before, of_place))
+
+
+def _spans(hits: DataFrame) -> DataFrame:
+    """``(key, hit_spans, n_hit)``: disjoint spans in order, from the windows that are hit."""
+    order = Window.partitionBy("key").orderBy("first", "last")
+    reach = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    begun = hits.withColumn("_begins", F.when(F.col("first") <= reach + 1, 0).otherwise(1))
+    span = F.sum("_begins").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    each = begun.withColumn("_span", span).groupBy("key", "_span").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    return each.groupBy("key").agg(
+        F.sort_array(F.collect_list(F.struct("first", "last"))).alias("hit_spans"), F.sum(F.col("last") - F.col("first") + 1).alias("n_hit")
     )
-    return fold
+
+
+def _sieve(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """``docs`` with ``_maybe``: false only if the row's key is none of ``keys``.
+
+    A bit map of fixed size: 256 rows of 4 KB are broadcast at any number of keys. So texts without hits aren't shuffled.
+    """
+    bit = F.pmod("key", F.lit(SIEVE_BITS)) + 1  # buckets begin with number 1
+    pages = keys.groupBy(F.bitmap_bucket_number(bit).alias("_page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("_bits"))
+    place = F.bitmap_bit_position(F.pmod(F.col("_key"), F.lit(SIEVE_BITS)) + 1)
+    met = docs.join(F.broadcast(pages), F.bitmap_bucket_number(F.pmod(F.col("_key"), F.lit(SIEVE_BITS)) + 1) == F.col("_page"), "left")
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    is_set = F.call_function("shiftright", byte, F.pmod(place, F.lit(8)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    return met.withColumn("_maybe", F.coalesce(is_set, F.lit(False))).drop("_page", "_bits")
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id") -> DataFrame:
@@ -153,56 +171,43 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc
     one; a document's word is hit if it stands inside an occurrence of a window. Contaminated: some word is hit and at
     least one in 20. Every row of ``docs`` is returned, repeated rows and null ids too; a null or empty text has no
     words and isn't contaminated. An item without words has no window; an item with a null id hits words, but is not
-    listed. An empty benchmark hits nothing. Columns of ``docs`` named like the new ones are replaced.
+    listed. An empty benchmark hits nothing. Columns of ``docs`` named like the new ones are replaced. A very long text
+    costs time and memory in proportion to its words, also if it repeats itself.
 
-    Plan: one narrow pass turns texts into kept hashes, which meet the benchmark's in an equality join; only distinct
-    diagonals go on. The second pass joins them to the texts and compares words. No row depends on the number of
-    copies of its text, and no group of documents is ever gathered.
+    Plan: one narrow pass turns texts into kept hashes, which meet the benchmark's in an equality join. Documents with
+    hits are read again and the windows at the hits compared by digests of 128 bits, in a second equality join. Only
+    these documents' texts are shuffled, and no group of documents is ever gathered.
     """
-    own = ("n_words", "n_hit", "hit_spans", "item_ids", "contaminated", "_key", "_hits", "_w", "_found")
+    own = ("n_words", "n_hit", "hit_spans", "item_ids", "contaminated", "_key", "_maybe", "_page", "_bits", "_begins", "_span")
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in own]
-    # A row is known by its id and text. A collision could only add diagonals, which are compared word by word.
+    # A row is known by its id and text.
     key = F.xxhash64(F.col(f"`{doc_id}`"), F.col("text"))
     items = written(
-        benchmark.select(F.xxhash64("item_id", "text").alias("item"), F.col("item_id").cast("string").alias("item_id"), words(F.col("text")).alias("w"))
-        .where(F.size("w") > 0)
-        .distinct(),
+        benchmark.select(F.col("item_id").cast("string").alias("item_id"), words(F.col("text")).alias("w")).where(F.size("w") > 0).distinct(),
         "items",
     )
-    narrow = docs.where("text is not null").select(key.alias("key"), F.col("text"))
-    diagonals = written(_candidates(narrow, items).join(items, "item"), "diagonals")
-    hits = written(
-        diagonals.groupBy(F.col("key").alias("_key")).agg(F.collect_list(F.struct("item_id", "w", "delta")).alias("_hits")), "hits"
-    )
-    # Hits grow with the documents, so they are never broadcast; texts are hashed to them, but not sorted.
-    with_hits = docs.select(*kept, key.alias("_key")).join(hits.hint("shuffle_hash"), "_key", "left")
-    counted = with_hits.select(
-        *kept,
-        once(
-            words(F.col("text")),
-            lambda w: F.struct(
-                F.size(w).cast("long").alias("n"),
-                F.when(
-                    F.col("_hits").isNotNull(),
-                    F.array_sort(F.array_distinct(F.flatten(F.transform("_hits", lambda h: _runs(w, h))))),
-                ).alias("spans"),
-            ),
-        ).alias("_w"),
-    )
-    none = F.array().cast("array<struct<first:int,last:int>>")
-    found = counted.select(
-        *kept,
-        F.col("_w.n").alias("n_words"),
-        F.coalesce(_merged(F.col("_w.spans")), none).alias("hit_spans"),
-        F.coalesce(
-            F.array_sort(F.array_distinct(F.filter(F.transform("_w.spans", lambda s: s["item_id"]), lambda i: i.isNotNull()))),
-            F.array().cast("array<string>"),
-        ).alias("item_ids"),
-    )
-    n_hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
-    return found.withColumn("n_hit", n_hit).withColumn(
-        "contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * SHARE >= F.col("n_words"))
-    )
+    places = written(_candidates(docs.where("text is not null").select(key.alias("key"), "text"), items), "places")
+    read = _sieve(docs.where("text is not null").select(key.alias("_key"), F.col("text")), places.select("key")).where("_maybe")
+    # What is found grows with the documents, so it is never broadcast by a hint; texts are hashed to it, but not sorted.
+    again = read.select(F.col("_key").alias("key"), "text").join(places.hint("shuffle_hash"), "key")
+    windows = again.select("key", F.explode(once(words(F.col("text")), lambda w: _extended(w, F.col("places")))).alias("x")).select("key", "x.*")
+    known = _windows(items)
+    hits = written(windows.join(known.select("d1", "d2").distinct(), ["d1", "d2"], "left_semi").distinct(), "window-hits")
+    of_items = hits.select("key", "d1", "d2").distinct().join(known.where("item_id is not null"), ["d1", "d2"]).select("key", "item_id").distinct()
+    ids = of_items.groupBy("key").agg(F.sort_array(F.collect_list("item_id")).alias("item_ids"))
+    found = written(_spans(hits).join(ids, "key", "left").withColumnRenamed("key", "_key"), "hits")
+
+    n_words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    told = _sieve(docs.select(*kept, key.alias("_key"), n_words.alias("n_words")), found.select(F.col("_key").alias("key")))
+    none = [
+        F.lit(0).cast("long").alias("n_hit"),
+        F.array().cast("array<struct<first:int,last:int>>").alias("hit_spans"),
+        F.array().cast("array<string>").alias("item_ids"),
+    ]
+    met = told.where("_maybe").join(found.hint("shuffle_hash"), "_key", "left")
+    filled = [F.coalesce(F.col(x), y).alias(x) for x, y in zip(("n_hit", "hit_spans", "item_ids"), none)]
+    rows = met.select(*kept, "n_words", *filled).unionByName(told.where(~F.col("_maybe")).select(*kept, "n_words", *none))
+    return rows.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * SHARE >= F.col("n_words")))
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -93,3 +93,43 @@ def test_empty_tables_and_clashing_columns(spark):
     assert find_contamination(docs.limit(0), none).count() == 0
     row = find_contamination(docs, spark.createDataFrame([(7, "b")], "item_id long, text string")).collect()[0]
     assert (row.n_hit, row.item_ids, row.contaminated) == (1, ["7"], True) and row.hit_spans[0] == (1, 1)
+
+
+def test_repetitive_texts_equal_brute_force(spark):
+    rng = random.Random(9)
+    run = lambda n: ["a"] * n
+    turns = lambda n: ["a", "b"] * n
+    items = [(0, " ".join(run(150))), (1, " ".join(turns(40))), (2, "x " + " ".join(run(20)) + " y"), (3, " ".join(["a", "b", "c"] * 9)), (4, "a a a"), (5, "b a b a")]
+    docs = []
+    for i in range(40):
+        parts = []
+        for _ in range(rng.randrange(1, 5)):
+            parts += rng.choice([run, turns, lambda n: ["a", "b", "c"] * n, lambda n: ["x", *run(n), "y"]])(rng.choice([1, 2, 5, 12, 13, 20, 60]))
+            parts += rng.choice([[], ["z"], ["x"], ["y"]])
+        docs.append((i, " ".join(parts)))
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for chosen in (items, items[:4]):
+        found = find_contamination(frames[0], frames[1].where(F.col("item_id") < len(chosen))).collect()
+        got = sorted(((r.doc_id, r.n_words, r.n_hit, len(r.item_ids), hashlib.sha256(",".join(r.item_ids).encode()).hexdigest(), r.contaminated) for r in found), key=repr)
+        assert got == brute(docs, chosen)
+
+
+def test_a_million_repeated_words_against_150_of_them(spark):
+    docs = [(1, "a " * 1_000_000), (2, "a b " * 250_000), (3, "c " + "a " * 300_000 + "c")]
+    items = [(7, "a " * 150), (8, "b a " * 75)]
+    rows = find_contamination(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    ).collect()
+    got = {r.doc_id: (r.n_hit, r.item_ids, [tuple(s) for s in r.hit_spans]) for r in rows}
+    assert got[1] == (1_000_000, ["7"], [(0, 999_999)]) and got[2] == (500_000, ["8"], [(0, 499_999)])
+    assert got[3] == (300_000, ["7"], [(1, 300_000)])
+
+
+def test_texts_without_hits_are_not_shuffled(spark, tmp_path):
+    spark.createDataFrame([(i, f"clean text {i} " * 20) for i in range(200)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    items = spark.createDataFrame([(1, "one two three four five six seven eight nine ten eleven twelve thirteen")], "item_id long, text string")
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    sieved = decontaminate._sieve(docs.select(F.xxhash64("doc_id").alias("_key"), "text"), docs.where("doc_id < 5").select(F.xxhash64("doc_id").alias("key")))
+    plan = sieved._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and sieved.where("_maybe").count() == 5
+    assert find_contamination(docs, items).where("n_hit > 0").count() == 0
