@@ -36,8 +36,9 @@ RULES = [
     Rule("block", "net", "/fr/"),
 ]
 
-#: Comments, scripts and styles may hold text that looks like a tag.
-OPAQUE = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+#: Comments, scripts and styles may hold text that looks like a tag. One that isn't closed reaches to the end, so each
+#: character is looked at once.
+OPAQUE = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*>|\z)"
 
 
 def url_host(url: Column) -> Column:
@@ -105,7 +106,8 @@ def page_links(pages: DataFrame) -> DataFrame:
         .where(F.col("html").rlike(r"(?i)canonical|refresh"))
         .select("url", bare.alias("bare"))
         .select("url", F.split("bare", r"(?i)<body\b", 2)[0].alias("head"))
-        .select("url", F.explode(F.regexp_extract_all("head", F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), 0)).alias("tag"))
+        .select("url", F.explode(F.regexp_extract_all("head", F.lit(r"(?is)<(?:link|meta)\b[^>]*+(?:>|\z)"), 0)).alias("tag"))
+        .where(F.col("tag").endswith(">"))
     )
     tag = F.col("tag")
     canonical = tag.rlike(r"(?is)^<link\b") & F.array_contains(F.split(F.lower(_attribute(tag, "rel")), r"\s+"), "canonical")

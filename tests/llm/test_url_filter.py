@@ -1,4 +1,7 @@
 import random
+import time
+
+import pytest
 
 from linkmill.llm import url_filter
 from linkmill.llm.components import components
@@ -100,3 +103,15 @@ def test_components_equal_union_find(spark):
 def test_whole_table_equals_sql(spark, sf):
     got = sorted(map(tuple, url_filter.op1_url_filter(spark, sf).collect()))
     assert got == sorted(connect(sf).execute(url_filter.ORACLE).fetchall())
+
+
+@pytest.mark.parametrize("filler", ["<!-- ", "<script ", "<style>", "<link rel=canonical ", "<meta ", "<link href='", " rel=", "<!-- -->", "<script></script>", "<link>"])
+def test_heads_of_a_megabyte_take_linear_time(spark, filler):
+    link = "<link rel=canonical href=/x>"
+    head = filler * (1_000_000 // len(filler))
+    pages = spark.createDataFrame([("http://a.b/", link + head), ("http://a.c/", head + link)], "url string, html string")
+    start = time.time()
+    got = {(r.src, r.dst) for r in url_filter.page_links(pages).collect()}
+    assert time.time() - start < 20 and ("http://a.b/", "http://a.b/x") in got
+    seen = ("http://a.c/", "http://a.c/x") in got
+    assert not seen if filler in ("<!-- ", "<script ", "<style>") else seen or filler.startswith(("<link ", "<meta"))
