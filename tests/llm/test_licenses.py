@@ -111,3 +111,54 @@ def test_both_readings_hold_at_their_places_of_one_text(spark):
     rows = {r.doc_id: r for r in scan_licenses(docs).collect()}
     assert rows[1].license_sentences == ["MitRef", "Gpl3Ref"] and rows[2].license_sentences == ["Gpl3Ref", "MitRef"]
     assert rows[3].license_sentences == ["MitRef", "BsdPre", "BsdSource", "BsdBinary"] and rows[3].licenses == ["BSD-2-Clause", "MIT"]
+
+
+NAMES = """Neither the name of the copyright holder nor the names of its
+contributors may be used to endorse or promote products derived from
+this software without specific prior written permission.
+"""
+OTHERS = [
+    (f"BSD 3-Clause License\n\n{COPYRIGHT}\nAll rights reserved.\n\n{BSD}\n3. {NAMES}", ["BSD-3-Clause"]),
+    (f"{COPYRIGHT}\nAll rights reserved.\n\n{BSD}", ["BSD-2-Clause"]),
+    (f"# {COPYRIGHT}. All rights reserved.\n#\n# " + BSD.replace("\n", "\n# "), ["BSD-2-Clause"]),
+    (f"{COPYRIGHT}\nAll rights reserved.\n", ["Proprietary"]),
+    (f"ISC License\n\n{COPYRIGHT}\n\nPermission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\n"
+     "copyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH\nREGARD TO THIS SOFTWARE"
+     " INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY\nAND FITNESS. IN NO EVENT", ["ISC"]),
+    ("/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this\n"
+     " * file, You can obtain one at http://mozilla.org/MPL/2.0/. */", ["MPL-2.0"]),
+    ("This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software"
+     " Foundation; either\nversion 2.1 of the License, or (at your option) any later version.\n", ["LGPL-2.1-or-later"]),
+    (GPL.format(",", 3).replace("GNU General", "GNU Affero General"), ["AGPL-3.0-or-later"]),
+    ("This is free and unencumbered software released into the public domain.\n\nAnyone is free", ["Unlicense"]),
+    ("Permission is granted to anyone to use this software for any purpose,\nincluding commercial applications, and to alter it and redistribute it\nfreely, subject to the following"
+     " restrictions:\n\n1. The origin", ["Zlib"]),
+    ("This program and the accompanying materials are made available under the\nterms of the Eclipse Public License 2.0 which is available at\nhttps://www.eclipse.org/legal/epl-2.0/.\n", ["EPL-2.0"]),
+    ("// SPDX-License-Identifier: MIT\nint x;", ["MIT"]),
+    ("# spdx-license-identifier: GPL-2.0-or-later\n", ["GPL-2.0-or-later"]),
+    ("This project is licensed under the MIT License.", ["MIT"]),
+    ("Intro\nReleased under the MIT License, see LICENSE.\n", ["MIT"]),
+    ("Licensed under the Apache License, Version 2.0.", ["Apache-2.0"]),
+    ("License: https://opensource.org/licenses/MIT", ["MIT"]),
+    ("See:\nhttp://creativecommons.org/licenses/by-sa/4.0/\n", ["CC-BY-SA-4.0"]),
+    ("All rights reserved. This project is licensed under the MIT License.", ["MIT"]),
+    ("The MIT License is a licence; this text has none.", []),
+]
+
+
+def test_further_licences_give_only_their_own_name(spark):
+    docs = spark.createDataFrame([(n, text) for n, (text, _) in enumerate(OTHERS)], "doc_id long, text string")
+    rows = {r.doc_id: r.licenses for r in scan_licenses(docs).collect()}
+    assert [rows[n] for n in range(len(OTHERS))] == [names for _, names in OTHERS]
+
+
+def test_the_sql_is_the_same_operator(spark, tmp_path):
+    import duckdb
+
+    texts = [t for t, _, _ in WHOLE] + [t for t, _ in OTHERS] + [t for _, t in CASES if t and len(t) < 10_000]
+    texts += ["\n\n".join(texts), " ".join(texts), "".join(texts), "\n".join(f"# {t}" for t in texts), None, "", "licensed"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    assert sorted(con.execute(licenses.ORACLE).fetchall()) == sorted(map(tuple, licenses.op3_license_scan(spark, str(tmp_path)).collect()))
