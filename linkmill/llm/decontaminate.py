@@ -20,9 +20,6 @@ SHARE = 20
 
 #: What stands between words, once A-Z are lower case.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: A word of a text as it stands, to count words without making them.
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-
 #: Bits of the sieve of document keys, 1 MB at any number of documents.
 SIEVE_BITS = 1 << 23
 
@@ -178,7 +175,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc
     hits are read again and the windows at the hits compared by digests of 128 bits, in a second equality join. Only
     these documents' texts are shuffled, and no group of documents is ever gathered.
     """
-    own = ("n_words", "n_hit", "hit_spans", "item_ids", "contaminated", "_key", "_maybe", "_page", "_bits", "_begins", "_span")
+    own = ("n_words", "n_hit", "hit_spans", "item_ids", "contaminated", "_key", "_text", "_maybe", "_page", "_bits", "_begins", "_span")
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in own]
     # A row is known by its id and text.
     key = F.xxhash64(F.col(f"`{doc_id}`"), F.col("text"))
@@ -197,16 +194,18 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc
     ids = of_items.groupBy("key").agg(F.sort_array(F.collect_list("item_id")).alias("item_ids"))
     found = written(_spans(hits).join(ids, "key", "left").withColumnRenamed("key", "_key"), "hits")
 
-    n_words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    told = _sieve(docs.select(*kept, key.alias("_key"), n_words.alias("n_words")), found.select(F.col("_key").alias("key")))
+    # Words are counted behind the sieve, so once a row, and before the join, so that texts needn't go through it.
+    told = _sieve(docs.select(*kept, key.alias("_key"), F.col("text").alias("_text")), found.select(F.col("_key").alias("key")))
+    n_words = F.size(words(F.col("_text"))).cast("long").alias("n_words")
     none = [
         F.lit(0).cast("long").alias("n_hit"),
         F.array().cast("array<struct<first:int,last:int>>").alias("hit_spans"),
         F.array().cast("array<string>").alias("item_ids"),
     ]
-    met = told.where("_maybe").join(found.hint("shuffle_hash"), "_key", "left")
+    met = told.where("_maybe").select(*kept, "_key", n_words).join(found.hint("shuffle_hash"), "_key", "left")
     filled = [F.coalesce(F.col(x), y).alias(x) for x, y in zip(("n_hit", "hit_spans", "item_ids"), none)]
-    rows = met.select(*kept, "n_words", *filled).unionByName(told.where(~F.col("_maybe")).select(*kept, "n_words", *none))
+    others = told.where(~F.col("_maybe")).select(*kept, n_words, *none)
+    rows = met.select(*kept, "n_words", *filled).unionByName(others)
     return rows.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * SHARE >= F.col("n_words")))
 
 
