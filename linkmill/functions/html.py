@@ -18,6 +18,9 @@ BLOCKS = frozenset(
 SKIPPED = frozenset("script style noscript template nav header footer aside".split())
 CONTAINERS = frozenset("article main section div td body".split())
 
+#: Share of a container's text from which one container in it stands for it.
+NEARLY_ALL = 0.75
+
 # Fixed value: a paragraph needs this many pieces between single spaces.
 MIN_PARAGRAPH_WORDS = 4
 
@@ -107,7 +110,8 @@ class ArticleReader(HTMLParser):
         self.skip = 0
         self.blocks: list[tuple[int, bool, str]] = []
         self.buffer: list[str] = []
-        self.serial = 0
+        #: The container that each container stands in.
+        self.parents = [0]
 
     def handle_starttag(self, tag, attrs):
         values = dict(attrs)
@@ -126,9 +130,11 @@ class ArticleReader(HTMLParser):
         self._flush()
         if self.counts.get("p") and self.open[-1][0] == "p":
             self._leave()
+        number = self.open[-1][1]
         if tag in CONTAINERS:
-            self.serial += 1
-        self.open.append((tag, self.serial if tag in CONTAINERS else self.open[-1][1]))
+            self.parents.append(number)
+            number = len(self.parents) - 1
+        self.open.append((tag, number))
         self.counts[tag] = self.counts.get(tag, 0) + 1
         self.skip += tag in SKIPPED
 
@@ -169,17 +175,28 @@ class ArticleReader(HTMLParser):
             self.blocks.append((self.open[-1][1], bool(self.counts.get("article")), text))
 
     def main_text(self) -> str:
-        """The blocks of the article, or else of the container with the most text."""
+        """The blocks of the article; without one, those of the innermost container that holds nearly all of the text
+        around it. So sections beside each other all stay, and what is small beside one container goes."""
         inside = [text for _, in_article, text in self.blocks if in_article]
         if inside:
             return "\n\n".join(inside)
-        sizes: dict[int, int] = {}
+        sizes = [0] * len(self.parents)
         for container, _, text in self.blocks:
-            sizes[container] = sizes.get(container, 0) + len(text)
-        if not sizes:
-            return ""
-        best = max(sizes, key=sizes.get)
-        return "\n\n".join(text for container, _, text in self.blocks if container == best)
+            sizes[container] += len(text)
+        fullest = list(range(len(sizes)))
+        for container in range(len(sizes) - 1, 0, -1):  # a container comes after the one it stands in
+            parent = self.parents[container]
+            sizes[parent] += sizes[container]
+            if fullest[parent] == parent or sizes[container] >= sizes[fullest[parent]]:
+                fullest[parent] = container
+        best = 0
+        while fullest[best] != best and sizes[fullest[best]] >= NEARLY_ALL * sizes[best]:
+            best = fullest[best]
+        within = [False] * len(sizes)
+        within[best] = True
+        for container in range(best + 1, len(sizes)):
+            within[container] = within[self.parents[container]]
+        return "\n\n".join(text for container, _, text in self.blocks if within[container])
 
 
 def article(html: str) -> tuple[str, str, str]:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from dataclasses import dataclass
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -106,7 +109,7 @@ BLOCKED_EXTENSIONS = [
     ".7z",
 ]
 
-# Common public suffixes of two labels; every other suffix is taken to be the last label.
+# Common public suffixes of two labels, the default rules; every other suffix is then the last label.
 TWO_LABEL_SUFFIXES = [
     f"{second}.{country}"
     for country, seconds in {
@@ -150,21 +153,64 @@ def host(url: Column) -> Column:
     return F.when(found != "", found)
 
 
-def base_domain(host_col: Column) -> Column:
-    """The registrable domain: suffix plus one label; an IPv4 address or a single label is returned whole."""
-    last_two = F.substring_index(host_col, ".", -2)
-    last_three = F.substring_index(host_col, ".", -3)
-    is_ip = host_col.rlike(r"^\d{1,3}(?:\.\d{1,3}){3}\z")
-    return F.when(is_ip, host_col).when(last_two.isin(TWO_LABEL_SUFFIXES), last_three).otherwise(last_two)
+@dataclass(frozen=True)
+class SuffixRules:
+    """Public suffixes as a table of rules: plain ones (``co.uk``), wildcards (``*.ck``: any label below ``ck``) and
+    exceptions from these (``!www.ck``: its suffix is ``ck``)."""
+
+    plain: frozenset[str]
+    wildcards: frozenset[str] = frozenset()
+    exceptions: frozenset[str] = frozenset()
+
+    @classmethod
+    def parse(cls, lines: Iterable[str]) -> SuffixRules:
+        """From the lines of a public suffix list; comments begin with ``//``, and a line ends at white space."""
+        rules = [words[0].lower().strip(".") for words in map(str.split, lines) if words and not words[0].startswith("//")]
+        return cls(
+            frozenset(r for r in rules if r[:1] not in ("*", "!")),
+            frozenset(r[2:] for r in rules if r.startswith("*.")),
+            frozenset(r[1:] for r in rules if r.startswith("!")),
+        )
+
+    def labels(self) -> int:
+        """Most labels that a rule looks at."""
+        return max([1, *(r.count(".") + 1 for r in self.plain | self.exceptions), *(r.count(".") + 2 for r in self.wildcards)])
+
+
+DEFAULT_SUFFIXES = SuffixRules(frozenset(TWO_LABEL_SUFFIXES))
+
 
+def _suffix_labels(host_col: Column, rules: SuffixRules) -> Column:
+    """How many labels of a host are its suffix: those of the longest rule that fits, exceptions before all others; the
+    last label if none does."""
+    last = [F.substring_index(host_col, ".", -k) for k in range(1, rules.labels() + 1)]
+    enough = F.size(F.split(host_col, r"\.", -1))
+    found = F.lit(1)
+    for k, suffix in enumerate(last, 1):  # the last condition wrapped around is asked first: longer rules, then exceptions
+        fits = suffix.isin(*rules.plain) if rules.plain else F.lit(False)
+        if k > 1 and rules.wildcards:
+            fits = fits | last[k - 2].isin(*rules.wildcards)
+        found = F.when((enough >= k) & fits, F.lit(k)).otherwise(found)
+    for k, suffix in enumerate(last, 1):
+        if k > 1 and rules.exceptions:
+            found = F.when((enough >= k) & suffix.isin(*rules.exceptions), F.lit(k - 1)).otherwise(found)
+    return found
 
-def public_suffix(host_col: Column) -> Column:
+
+def _is_ip(host_col: Column) -> Column:
+    return host_col.rlike(r"^\d{1,3}(?:\.\d{1,3}){3}\z")
+
+
+def base_domain(host_col: Column, rules: SuffixRules = DEFAULT_SUFFIXES) -> Column:
+    """The registrable domain: suffix plus one label; an IPv4 address, a single label or a bare suffix is returned whole."""
+    domain = F.call_function("substring_index", host_col, F.lit("."), -(_suffix_labels(host_col, rules) + 1))
+    return F.when(_is_ip(host_col), host_col).otherwise(domain)
+
+
+def public_suffix(host_col: Column, rules: SuffixRules = DEFAULT_SUFFIXES) -> Column:
     """The suffix below which domains are registered; null for an IPv4 address or a single label."""
-    last_two = F.substring_index(host_col, ".", -2)
-    is_name = host_col.contains(".") & ~host_col.rlike(r"^\d{1,3}(?:\.\d{1,3}){3}\z")
-    return F.when(is_name & last_two.isin(TWO_LABEL_SUFFIXES), last_two).when(
-        is_name, F.substring_index(host_col, ".", -1)
-    )
+    suffix = F.call_function("substring_index", host_col, F.lit("."), -_suffix_labels(host_col, rules))
+    return F.when(host_col.contains(".") & ~_is_ip(host_col), suffix)
 
 
 def is_valid(url: Column) -> Column:
@@ -188,11 +234,11 @@ def is_valid(url: Column) -> Column:
     return (F.length(url) >= MIN_URL_LENGTH) & ~F.contains(url, F.lit(" ")) & (named | numbered)
 
 
-def is_blocked_domain(url: Column, domains: list[str] | None = None) -> Column:
+def is_blocked_domain(url: Column, domains: list[str] | None = None, rules: SuffixRules = DEFAULT_SUFFIXES) -> Column:
     """Base domain or whole host is on the blocklist."""
     names = BLOCKED_DOMAINS if domains is None else domains
     h = host(url)
-    return F.coalesce(h.isin(names) | base_domain(h).isin(names), F.lit(False))
+    return F.coalesce(h.isin(names) | base_domain(h, rules).isin(names), F.lit(False))
 
 
 def is_blocked_extension(url: Column, extensions: list[str] | None = None) -> Column:

@@ -243,6 +243,13 @@ ORACLES: dict[str, str] = {
         select count(*) as n_urls, count(*) as n_stored from urls""",
     "url_checks": f"""with {CHECKED} select page_id, url, exclude_reason, host, domain, suffix, is_valid, blocked_extension
         from checked""",
+    "suffix_rules": """with hosts as (select page_id, string_split(lower(regexp_extract(url, '://([^/?#:]*)', 1)), '.') as l from pages),
+        ends as (select page_id, l, unnest(range(1, len(l) + 1)) as k from hosts),
+        tried as (select page_id, l, k, array_to_string(l[len(l) - k + 1:], '.') as s, array_to_string(l[len(l) - k + 2:], '.') as below from ends),
+        best as (select page_id, any_value(l) as l, coalesce(max(k - 1) filter (s in ('m.example.net', 'ththth.example.net')),
+            max(k) filter (s in ('com', 'example.com', 'org') or k > 1 and below in ('example.net', 'theres.example.com')), 1) as n
+          from tried group by page_id)
+        select page_id, array_to_string(l[len(l) - n + 1:], '.') as suffix, array_to_string(l[greatest(len(l) - n, 1):], '.') as domain from best""",
     "url_exclusion_counts": f"""with {CHECKED} select coalesce(exclude_reason, 'ok') as reason, count(*) as n
         from checked group by 1""",
     "busy_domains": f"""with hosts as (select page_id, url, string_split({_HOST}, '.') as labels from pages),

@@ -310,6 +310,17 @@ def url_checks(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+#: Plain, wildcard and exception rules that tell the hosts of the pages apart.
+HOST_RULES = ["// rules", "com", "example.com", "*.example.net", "!m.example.net", "!ththth.example.net", "*.theres.example.com", "org"]
+
+
+def suffix_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Suffix and registrable domain of each page's host by a table of rules."""
+    rules = U.SuffixRules.parse(HOST_RULES)
+    h = U.host(F.col("url"))
+    return pages(spark, sf).select("page_id", U.public_suffix(h, rules).alias("suffix"), U.base_domain(h, rules).alias("domain"))
+
+
 def url_exclusion_counts(spark: SparkSession, sf: str) -> DataFrame:
     checked = url_filter.with_exclude_reason(url_variants(spark, sf))
     return checked.groupBy(F.coalesce("exclude_reason", F.lit("ok")).alias("reason")).agg(
@@ -857,6 +868,7 @@ QUERIES: dict[str, Query] = {
         url_counts,
         stored_count,
         url_checks,
+        suffix_rules,
         url_exclusion_counts,
         busy_domains,
         extract_article,

@@ -51,6 +51,10 @@ def test_article_prefers_article_then_the_fullest_container():
         ("<article><form><p>open form, open paragraph</article><aside>no</aside>", "open form, open paragraph"),
         ("<div><nav>menu never closed<p>menu</div><div><p>the text</div>", "the text"),
         ("<h1>title</h1><h2>part</h2><p>text", "part\n\ntext"),
+        ("<div><section>a</section><section>b</section></div>", "a\n\nb"),
+        ("<div><section>" + "long words " * 30 + "</section><h2>x</h2><section>" + "words " * 20 + "</section>y</div>", ("long words " * 30).strip() + "\n\nx\n\n" + ("words " * 20).strip() + "\n\ny"),
+        ("<div><div><div>" + "deep text " * 9 + "</div></div><div>few</div></div>", ("deep text " * 9).strip()),
+        ("<table><tr><td>one cell<td>another cell</table>", "one cell\n\nanother cell"),
         ("<article>" + "<font><div>" * 20000 + "deep", "deep"),
     ],
 )

@@ -90,3 +90,44 @@ def test_domain_table(spark):
     on, off = split_by_domains(df, names)
     assert sorted(r.url for r in on.collect()) == ["http://x.a.com/1", "http://x.c.net/3"]
     assert sorted(r.url for r in off.collect()) == ["bad", "http://b.org/2"]
+
+
+SUFFIX_LIST = """
+// a comment
+com
+co.uk
+*.kawasaki.jp
+!city.kawasaki.jp
+jp
+*.ck   // ends at white space
+!www.ck
+b.c.kobe.jp
+"""
+
+
+@pytest.mark.parametrize(
+    "host, suffix, base",
+    [
+        ("a.b.kawasaki.jp", "b.kawasaki.jp", "a.b.kawasaki.jp"),
+        ("x.a.b.kawasaki.jp", "b.kawasaki.jp", "a.b.kawasaki.jp"),
+        ("b.kawasaki.jp", "b.kawasaki.jp", "b.kawasaki.jp"),
+        ("kawasaki.jp", "jp", "kawasaki.jp"),
+        ("city.kawasaki.jp", "kawasaki.jp", "city.kawasaki.jp"),
+        ("www.city.kawasaki.jp", "kawasaki.jp", "city.kawasaki.jp"),
+        ("www.ck", "ck", "www.ck"),
+        ("a.www.ck", "ck", "www.ck"),
+        ("a.other.ck", "other.ck", "a.other.ck"),
+        ("x.a.b.c.kobe.jp", "b.c.kobe.jp", "a.b.c.kobe.jp"),
+        ("x.c.kobe.jp", "jp", "kobe.jp"),
+        ("a.b.co.uk", "co.uk", "b.co.uk"),
+        ("a.b.unknown", "unknown", "b.unknown"),
+        ("localhost", None, "localhost"),
+        ("10.0.0.1", None, "10.0.0.1"),
+    ],
+)
+def test_wildcards_and_exceptions(spark, host, suffix, base):
+    rules = U.SuffixRules.parse(SUFFIX_LIST.splitlines())
+    h = F.lit(host)
+    row = spark.range(1).select(U.public_suffix(h, rules).alias("suffix"), U.base_domain(h, rules).alias("base")).first()
+    assert (row.suffix, row.base) == (suffix, base)
+    assert spark.range(1).select(U.is_blocked_domain(F.lit(f"http://{host}/x"), [base], rules)).first()[0]
