@@ -34,10 +34,12 @@ def _aside(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the importance resampling selects, and those of weight 0, such as null and empty texts."""
+    """Documents that the importance resampling selects, and those without n-grams: null and empty texts and white space,
+    of which nothing can be said."""
     rows, back = _aside(docs)
     _, mark = resampler(rows, table(spark, sf_dir, "labels"))
-    return back(mark(rows).where("selected or log_weight = 0"))
+    says_nothing = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    return back(mark(rows).where(F.col("selected") | says_nothing))
 
 
 def keep_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
