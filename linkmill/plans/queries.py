@@ -34,7 +34,7 @@ from linkmill.sources import documents as doc_files
 from linkmill.sources import dumps, files, releases, url_files
 from linkmill.sources import submissions as sub_files
 from linkmill.sources.url_store import UrlStore
-from linkmill.sources.zstd import register_zstd
+from linkmill.sources.zstd import write_zst_lines
 from linkmill.streaming import dedup as dedup_stream
 from linkmill.streaming import extraction, ingest
 
@@ -72,9 +72,8 @@ def read_dumps(spark: SparkSession, sf: str) -> DataFrame:
     """Dumps written in two codecs, read back and turned into submissions."""
     path = scratch_path(spark, "dumps")
     lines = post_lines(posts(spark, sf))
-    register_zstd(spark)
     lines.where("kind = 'click'").select("value").write.text(f"{path}/bz2", compression="bzip2")
-    lines.where("kind <> 'click'").select("value").write.format("linkmill_zstd").mode("append").save(f"{path}/zst")
+    write_zst_lines(lines.where("kind <> 'click'").select("value"), f"{path}/zst", mode="append")
     return _flat_submissions(P.to_submissions(dumps.read_dumps(spark, path, "part-*")))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linkmill.sources.files import read_lines
-from linkmill.sources.zstd import register_zstd
+from linkmill.sources.zstd import write_zst_lines
 
 # Fixed value: joiner of texts stored as a list of paragraphs.
 PARAGRAPH_JOINER = "\n\n"
@@ -89,10 +89,7 @@ def write_documents(
     """Write (text, meta) as ``.jsonl.zst`` files, or with one of Spark's own codecs (gzip, bzip2, none)."""
     lines = document_lines(df)
     if compression == "zstd":
-        register_zstd(df.sparkSession)
-        lines.write.format("linkmill_zstd").mode(mode).option("prefix", prefix).option(
-            "maxRecordsPerFile", str(max_records_per_file)
-        ).save(path)
+        write_zst_lines(lines, path, prefix, max_records_per_file, mode)
         return
     lines.write.mode(mode).option("maxRecordsPerFile", max_records_per_file).text(path, compression=compression)
 
@@ -102,7 +99,6 @@ def write_named_documents(df: DataFrame, path: str, file_name: str = "file_name"
 
     One task writes a whole file, so this is for files of bounded size, such as URL batches.
     """
-    register_zstd(df.sparkSession)
     lines = document_lines(df.withColumn("file_name", F.col(file_name)), keep=["file_name"])
     grouped = lines.repartition("file_name").sortWithinPartitions("file_name")
-    grouped.write.format("linkmill_zstd").mode("overwrite").save(path)
+    write_zst_lines(grouped, path)

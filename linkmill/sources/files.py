@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from linkmill.functions.scalars import base_name
 from linkmill.session import scratch_path, written_with
-from linkmill.sources.packed import PACKED_EXTENSIONS, register_packed
+from linkmill.sources.packed import PACKED_EXTENSIONS, read_packed
 
 # Extensions that Spark's own line reader understands.
 PLAIN_EXTENSIONS = ["json", "jsonl", "ndjson", "txt"]
@@ -33,8 +33,8 @@ def read_lines(spark: SparkSession, paths: str | list[str], pattern: str = "*")
     """(value, source_file): the lines of every file below ``paths``, decompressed by extension, empty lines too.
 
     A last line without newline counts. An unknown extension is refused, because reading it as text would
-    silently give garbage. Spark lists and opens the files itself, whatever their names hold; only names of packed
-    files, each of which is one task, pass through the driver.
+    silently give garbage. Spark lists and opens the files itself, whatever their names hold; packed files are read
+    by a task each, and their names don't pass through the driver.
     """
     found = find_files(spark, paths, pattern).select("path", _extension(F.col("path")).alias("extension"))
     known = [*PLAIN_EXTENSIONS, *SPARK_CODEC_EXTENSIONS, *PACKED_EXTENSIONS]
@@ -47,11 +47,9 @@ def read_lines(spark: SparkSession, paths: str | list[str], pattern: str = "*")
     direct = text.where(~_extension(name).isin(PACKED_EXTENSIONS)).select(
         "value", plain_path(F.col("_metadata.file_path")).alias("source_file")
     )
-    packed = [r.path for r in found.where(F.col("extension").isin(PACKED_EXTENSIONS)).select("path").collect()]
-    if not packed:
-        return direct
-    register_packed(spark)
-    return direct.unionByName(spark.read.format("linkmill_packed").option("files", "\n".join(sorted(packed))).load())
+    packed = found.where(F.col("extension").isin(PACKED_EXTENSIONS)).select("path")
+    n = packed.count()
+    return direct.unionByName(read_packed(packed, n)) if n else direct
 
 
 def plain_path(uri: Column) -> Column:

@@ -7,8 +7,7 @@ import lzma
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import DataFrame
 
 #: Lines are handed over in batches of about this many bytes.
 BATCH_BYTES = 8 << 20
@@ -37,46 +36,30 @@ def unpack(path: str, packed):
     return io.BufferedReader(zstandard.ZstdDecompressor().stream_reader(packed, read_across_frames=True))
 
 
-class PackedReader(DataSourceReader):
-    def __init__(self, files: list[str]):
-        self.files = files
-
-    def partitions(self) -> list[InputPartition]:
-        """One task per file: such a stream can only be unpacked from its start."""
-        return [InputPartition(f) for f in self.files]
-
-    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        path = partition.value
-        lines, size = [], 0
-        with open_stream(path) as packed, unpack(path, packed) as unpacked:
-            for raw in unpacked:
-                lines.append(raw.rstrip(b"\r\n").decode("utf-8", errors="replace"))
-                size += len(raw)
-                if size >= BATCH_BYTES:
-                    yield self._batch(lines, path)
-                    lines, size = [], 0
-        if lines:
-            yield self._batch(lines, path)
-
-    @staticmethod
-    def _batch(lines: list[str], path: str) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(lines, pa.string()), pa.array([path] * len(lines), pa.string())],
-            names=["value", "source_file"],
-        )
-
-
-class PackedLines(DataSource):
-    @classmethod
-    def name(cls) -> str:
-        return "linkmill_packed"
-
-    def schema(self) -> str:
-        return "value string, source_file string"
-
-    def reader(self, schema) -> PackedReader:
-        return PackedReader([f for f in self.options["files"].split("\n") if f])
-
-
-def register_packed(spark: SparkSession) -> None:
-    spark.dataSource.register(PackedLines)
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path in batch.column("path").to_pylist():
+            lines, size = [], 0
+            with open_stream(path) as packed, unpack(path, packed) as unpacked:
+                for raw in unpacked:
+                    lines.append(raw.rstrip(b"\r\n"))
+                    size += len(raw)
+                    if size >= BATCH_BYTES:
+                        yield _batch(lines, path)
+                        lines, size = [], 0
+            if lines:
+                yield _batch(lines, path)
+
+
+def _batch(lines: list[bytes], path: str) -> pa.RecordBatch:
+    """Bytes that are no UTF-8 stay as they are, as in Spark's own reader, and are told apart where lines are parsed."""
+    return pa.RecordBatch.from_arrays(
+        [pa.array(lines, pa.binary()).cast(pa.string(), safe=False), pa.array([path] * len(lines), pa.string())],
+        names=["value", "source_file"],
+    )
+
+
+def read_packed(files: DataFrame, tasks: int) -> DataFrame:
+    """(value, source_file): the lines of the files in ``path``. A stream can only be unpacked from its start, so a file is
+    one task; their names stay in the table."""
+    return files.select("path").repartition(tasks, "path").mapInArrow(_lines, "value string, source_file string")

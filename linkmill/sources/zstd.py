@@ -1,18 +1,26 @@
-"""Writing JSON lines as zstd files; Spark's own text writer cannot."""
+"""Writing JSON lines as zstd files; Spark's own text writer cannot.
+
+Tasks write files below a staging folder, under names of their own. Which of them count is said by a manifest, a table
+that Spark's writer commits, so files of lost or repeated attempts don't. Further tasks then move the files to their
+names; a move that was done already is no error, so the manifest can be followed again after a failure.
+"""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from linkmill.session import written
 
 # Fixed value: compression level of published files.
 ZSTD_LEVEL = 3
 
+MANIFEST = "staged string, name string, n_lines bigint"
+
 
 def filesystem_of(path: str):
     from pyarrow import fs
@@ -21,92 +29,92 @@ def filesystem_of(path: str):
     return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://"))
 
 
-@dataclass
-class Written(WriterCommitMessage):
-    """(staged name, final name) of the files of one task."""
-
-    files: list[tuple[str, str]]
-
-
-class ZstdLinesWriter(DataSourceArrowWriter):
-    """Writes the column ``value`` as lines.
-
-    Rows with a column ``file_name`` go to the file of that name; they must arrive grouped by it, each name in one
-    task. Otherwise files are numbered by task. Each task attempt writes below a staging folder, and only files of
-    committed attempts are moved out of it.
-    """
-
-    def __init__(self, path: str, prefix: str, overwrite: bool, max_records: int):
-        self.path, self.prefix, self.overwrite, self.max_records = path, prefix, overwrite, max_records
-        self.staging = f"_staging-{uuid.uuid4().hex}"
+def _packer(staging: str, prefix: str, max_records: int):
+    """Rows to files, for ``mapInArrow``; gives the manifest's rows."""
 
-    def write(self, batches: Iterator[pa.RecordBatch]) -> Written:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
         from pyspark import TaskContext
 
-        filesystem, base = filesystem_of(self.path)
-        filesystem.create_dir(f"{base}/{self.staging}", recursive=True)
+        filesystem, base = filesystem_of(staging)
         task, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex[:12]
-        files, packer, current, room = [], None, None, 0
-
+        files: list[list] = []
+        packer, current = None, None
         for batch in batches:
             lines = batch.column("value").to_pylist()
             names = batch.column("file_name").to_pylist() if "file_name" in batch.schema.names else [None] * len(lines)
             for line, name in zip(lines, names):
-                if packer is None or name != current or (self.max_records and room == 0):
+                if packer is None or name != current or (max_records and files[-1][2] == max_records):
                     if packer is not None:
                         packer.close()
-                    staged = f"{self.prefix}{task:05d}-{len(files):04d}-{attempt}.jsonl.zst"
-                    files.append((staged, name or staged))
-                    sink = filesystem.open_output_stream(f"{base}/{self.staging}/{staged}", compression=None)
-                    packer = zstandard.ZstdCompressor(level=ZSTD_LEVEL).stream_writer(sink)
-                    current, room = name, self.max_records
+                    staged = f"{prefix}{task:05d}-{len(files):04d}-{attempt}.jsonl.zst"
+                    files.append([staged, name or staged, 0])
+                    sink = filesystem.open_output_stream(f"{base}/{staged}", compression=None)
+                    packer, current = zstandard.ZstdCompressor(level=ZSTD_LEVEL).stream_writer(sink), name
                 packer.write(line.encode("utf-8") + b"\n")
-                room -= 1
+                files[-1][2] += 1
         if packer is not None:
             packer.close()
-        return Written(files)
+        columns = list(zip(*files)) or [[], [], []]
+        arrays = [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.int64())]
+        yield pa.RecordBatch.from_arrays(arrays, names=["staged", "name", "n_lines"])
+
+    return pack
 
-    def commit(self, messages: list[Written | None]) -> None:
-        from pyarrow import fs
 
-        filesystem, base = filesystem_of(self.path)
-        filesystem.create_dir(base, recursive=True)
-        if self.overwrite:
-            for info in filesystem.get_file_info(fs.FileSelector(base)):
-                if info.base_name.endswith(".jsonl.zst"):
-                    filesystem.delete_file(info.path)
-        for message in messages:
-            for staged, name in message.files if message else []:
-                filesystem.move(f"{base}/{self.staging}/{staged}", f"{base}/{name}")
-        self._drop_staging(filesystem, base)
-
-    def abort(self, messages: list[Written | None]) -> None:
-        self._drop_staging(*filesystem_of(self.path))
-
-    def _drop_staging(self, filesystem, base: str) -> None:
+def _mover(staging: str, path: str):
+    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
-        if filesystem.get_file_info(f"{base}/{self.staging}").type == fs.FileType.Directory:
-            filesystem.delete_dir(f"{base}/{self.staging}")
+        filesystem, source = filesystem_of(staging)
+        _, base = filesystem_of(path)
+        for batch in batches:
+            for staged, name in zip(batch.column("staged").to_pylist(), batch.column("name").to_pylist()):
+                if filesystem.get_file_info(f"{source}/{staged}").type == fs.FileType.File:
+                    filesystem.move(f"{source}/{staged}", f"{base}/{name}")
+                elif filesystem.get_file_info(f"{base}/{name}").type != fs.FileType.File:
+                    raise FileNotFoundError(f"{staged} is neither staged nor moved to {name}")
+            yield batch.select(["name"])
 
+    return move
 
-class ZstdLines(DataSource):
-    @classmethod
-    def name(cls) -> str:
-        return "linkmill_zstd"
 
-    def schema(self) -> str:
-        return "value string"
+def _remover(path: str):
+    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filesystem, base = filesystem_of(path)
+        for batch in batches:
+            for name in batch.column("name").to_pylist():
+                filesystem.delete_file(f"{base}/{name}")
+            yield batch
 
-    def writer(self, schema, overwrite: bool) -> ZstdLinesWriter:
-        return ZstdLinesWriter(
-            self.options["path"],
-            self.options.get("prefix", "part-"),
-            overwrite,
-            int(self.options.get("maxRecordsPerFile", "0")),
-        )
+    return remove
 
 
-def register_zstd(spark: SparkSession) -> None:
-    spark.dataSource.register(ZstdLines)
+def follow_manifest(manifest: DataFrame, staging: str, path: str) -> None:
+    """Move every staged file to its name; again after a failure, if need be. Files of one name go by the last move, so
+    names should differ."""
+    manifest.select("staged", "name").repartition("staged").mapInArrow(_mover(staging, path), "name string").write.format("noop").mode("overwrite").save()
+
+
+def write_zst_lines(lines: DataFrame, path: str, prefix: str = "part-", max_records_per_file: int = 0, mode: str = "overwrite") -> DataFrame:
+    """Write the column ``value`` as lines of ``.jsonl.zst`` files; the manifest ``(staged, name, n_lines)``.
+
+    Rows with a column ``file_name`` go to the file of that name; they must arrive grouped by it, each name in one task.
+    Otherwise files are numbered by task. With ``overwrite`` older ``.jsonl.zst`` files go once the new ones are there.
+    """
+    if mode not in ("overwrite", "append"):
+        raise ValueError(mode)
+    spark, staging = lines.sparkSession, f"{path}/_staging-{uuid.uuid4().hex}"
+    filesystem, base = filesystem_of(staging)
+    filesystem.create_dir(base, recursive=True)
+    sent = lines.select(*[c for c in ("value", "file_name") if c in lines.columns])
+    manifest = written(sent.mapInArrow(_packer(staging, prefix, max_records_per_file), MANIFEST), "zst-manifest")
+    if mode == "overwrite":
+        there = spark.read.format("binaryFile").option("pathGlobFilter", "*.jsonl.zst").load(path)
+        old = there.select(F.element_at(F.split("path", "/"), -1).alias("name")).join(manifest.select("name"), "name", "left_anti")
+        follow_manifest(manifest, staging, path)
+        old.mapInArrow(_remover(path), "name string").write.format("noop").mode("overwrite").save()
+    else:
+        follow_manifest(manifest, staging, path)
+    filesystem.delete_dir(base)
+    return manifest

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from linkmill.operators.documents import min_total_score, successful
 from linkmill.schemas import DOCUMENT
+from linkmill.sources import zstd
 from linkmill.sources.documents import parse_documents, read_documents, write_documents
 
 
@@ -80,3 +81,24 @@ def test_blank_text_is_no_document(spark):
     rows = [("a", True), (" \n \t", True), ("", True), (None, True), ("b", False)]
     df = spark.createDataFrame(rows, "text string, success boolean")
     assert [r.text for r in successful(df).collect()] == ["a"]
+
+
+def test_zst_files_count_by_their_manifest(spark, tmp_path):
+    path = str(tmp_path / "out")
+    rows = spark.createDataFrame([(f"l{i}", f"f{i % 3}.jsonl.zst") for i in range(30)], "value string, file_name string")
+    grouped = rows.repartition("file_name").sortWithinPartitions("file_name")
+    manifest = zstd.write_zst_lines(grouped, path)
+    assert sorted((r.name, r.n_lines) for r in manifest.collect()) == [(f"f{i}.jsonl.zst", 10) for i in range(3)]
+    assert sorted(os.listdir(path)) == ["f0.jsonl.zst", "f1.jsonl.zst", "f2.jsonl.zst"]
+    # Following it again, as after a lost driver, changes nothing; a file that is nowhere is an error.
+    zstd.follow_manifest(manifest, f"{path}/_staging-gone", path)
+    os.remove(f"{path}/f1.jsonl.zst")
+    with pytest.raises(Exception, match="neither staged nor moved"):
+        zstd.follow_manifest(manifest, f"{path}/_staging-gone", path)
+    # Appending keeps older files; overwriting drops those the new manifest doesn't name, none at all if it is empty.
+    zstd.write_zst_lines(rows.drop("file_name").limit(2), path, prefix="more-", mode="append")
+    assert len(os.listdir(path)) == 3
+    zstd.write_zst_lines(grouped.where("file_name like 'f0%'"), path)
+    assert os.listdir(path) == ["f0.jsonl.zst"]
+    zstd.write_zst_lines(grouped.limit(0), path)
+    assert os.listdir(path) == []
