@@ -399,6 +399,11 @@ ORACLES: dict[str, str] = {
         select d.url, d.title, cast(len(regexp_extract_all(d.text, '\\S+')) as bigint) as word_count, d.n_links
         from docs d join walk w using (url) where w.kept""",
     "stream_ingest": f"with {SUBS} select {FLAT} from subs",
+    "verified_ingest": f"with {SUBS} select {FLAT} from subs where subreddit in ('click', 'error', 'view')",
+    "ledger_stats": """with sums as (select lang, count(*) as n_docs, cast(sum(length(text)) as bigint) as total_chars,
+          cast(sum(strlen(text)) as bigint) as total_bytes, count(*) filter (doc_id in (select doc_id from labels where quality = 0)) as n_duplicates
+          from documents group by lang)
+        select *, round(total_chars / 1e9, 2) as text_gb, round((n_docs - n_duplicates) / n_docs * 100, 2) as useful_pct from sums""",
     "stream_extraction": f"""with {_OUTCOMES} select url, n_words as word_count from outcomes where reason is null""",
     "stream_extraction_meta": f"""with {SUBS}, {_OUTCOMES}, records as (
         select url, cast(sum(score) as bigint) as total_score, string_agg(cast(id as varchar), '|' order by id) as reddit_id

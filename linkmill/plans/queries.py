@@ -12,7 +12,7 @@ from linkmill.functions import html as H
 from linkmill.functions import scalars as S
 from linkmill.functions import text as X
 from linkmill.functions import urls as U
-from linkmill.operators import batching, bitmaps, dedup, extract, stats, url_filter, url_records
+from linkmill.operators import batching, bitmaps, dedup, extract, ledger, stats, url_filter, url_records
 from linkmill.operators import documents as D
 from linkmill.operators import submissions as P
 from linkmill.operators.lsh_index import ClusteredIndex
@@ -783,6 +783,31 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return _flat_submissions(ingest.read_ingested(spark, f"{base}/table"))
 
 
+def verified_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Dump files checked against a manifest before they are loaded; one kind of post has a wrong sum there."""
+    base = scratch_path(spark, "verified-ingest")
+    lines = post_lines(posts(spark, sf))
+    for kind in ("click", "error", "purchase", "view"):
+        lines.where(F.col("kind") == kind).select("value").coalesce(1).write.text(f"{base}/dumps/{kind}")
+    sums = dumps.file_checksums(spark, f"{base}/dumps", "*.txt")
+    wrong = dumps.file_checksums(spark, f"{base}/dumps/purchase", "*.txt").select("file_name", F.lit(True).alias("wrong"))
+    expected = F.when(F.col("wrong"), F.lit("0" * 64)).otherwise(F.col("actual")).alias("expected")
+    manifest = written(sums.join(wrong, "file_name", "left").select("file_name", expected), "manifest")
+    ingest.ingest_dumps(spark, f"{base}/dumps/*/*.txt", f"{base}/table", f"{base}/checkpoint", manifest=manifest).awaitTermination()
+    return _flat_submissions(ingest.read_ingested(spark, f"{base}/table"))
+
+
+def ledger_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Statistics by language of a corpus that grew in three batches, one of them written twice, from the ledger alone."""
+    base = scratch_path(spark, "ledger")
+    docs = documents(spark, sf).select("doc_id", "text", "lang", "source")
+    bad = table(spark, sf, "labels").where("quality = 0").select("doc_id")
+    for n in (0, 1, 1, 2):
+        batch = docs.where(F.substring("source", 4, 10).cast("int") % 3 == n)
+        ledger.add_batch(batch, f"{base}/documents", f"{base}/ledger", n, ("lang", "source"), batch.join(bad, "doc_id", "left_semi"))
+    return ledger.fold(spark, f"{base}/ledger", ("lang",)).drop("n_errors", "error_pct")
+
+
 def _extracted_by_stream(spark: SparkSession, sf: str, records: DataFrame | None = None) -> str:
     """Page files taken by a stream in two runs, plain and secure URLs; the folder of its results."""
     base = scratch_path(spark, "stream-extraction")
@@ -922,6 +947,8 @@ QUERIES: dict[str, Query] = {
         release_by_month,
         corpus_from_dumps,
         stream_ingest,
+        verified_ingest,
+        ledger_stats,
         stream_extraction,
         stream_extraction_meta,
         stream_extraction_failures,

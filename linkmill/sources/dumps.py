@@ -102,14 +102,14 @@ def _hash_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["path", "actual"])
 
 
+def hash_files(files: DataFrame) -> DataFrame:
+    """(path, actual): sha256 of each file in ``path``, read in chunks in the task, so no file has to fit a row."""
+    return files.select("path").repartition(F.col("path")).mapInPandas(_hash_files, "path string, actual string")
+
+
 def file_checksums(spark: SparkSession, paths: str | list[str], pattern: str = "*") -> DataFrame:
-    """(file_name, actual): sha256 of each file, read in chunks in the task, so no file has to fit a row."""
-    files = find_files(spark, paths, pattern).select("path")
-    return (
-        files.repartition(F.col("path"))
-        .mapInPandas(_hash_files, "path string, actual string")
-        .select(base_name(F.col("path")).alias("file_name"), "actual")
-    )
+    """(file_name, actual): sha256 of each file."""
+    return hash_files(find_files(spark, paths, pattern)).select(base_name(F.col("path")).alias("file_name"), "actual")
 
 
 def verify_files(checksums: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -1,4 +1,5 @@
 import bz2
+import hashlib
 import json
 import lzma
 
@@ -62,6 +63,34 @@ def test_an_id_in_three_batches_stays_once(spark, tmp_path):
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") != keyed.ON_DISK["spark.sql.streaming.stateStore.providerClass"]
 
 
+def test_files_are_verified_before_they_are_loaded(spark, tmp_path):
+    dumps, table, check = tmp_path / "dumps", str(tmp_path / "table"), str(tmp_path / "checkpoint")
+    dumps.mkdir()
+    good, late = lines(0, 3), lines(3, 6)
+    sums = [("a.json", hashlib.sha256(good).hexdigest().upper()), ("b.json", hashlib.sha256(late).hexdigest()), ("absent.json", "0")]
+    manifest = spark.createDataFrame(sums, "file_name string, expected string")
+
+    def run():
+        ingest.ingest_dumps(spark, str(dumps), table, check, str(tmp_path / "bad"), manifest=manifest).awaitTermination()
+        status = {r.path.rsplit("/", 1)[1]: r.status for r in ingest.read_batches(spark, ingest.ledger_of(check), ingest.LEDGER).orderBy("modified").collect()}
+        return sorted(r.id for r in ingest.read_ingested(spark, table).collect()), status
+
+    (dumps / "a.json").write_bytes(good)
+    (dumps / "b.json").write_bytes(b"cut off in the")
+    (dumps / "c.json").write_bytes(lines(6, 8))
+    want = {"a.json": "ok", "b.json": "mismatch", "c.json": "unlisted"}
+    assert run() == ([0, 1, 2, 6, 7], want)
+    assert [r.path.rsplit("/", 1)[1] for r in ingest.set_aside(spark, ingest.ledger_of(check)).collect()] == ["b.json"]
+    # Unchanged, it stays aside; replaced by another bad one too; replaced by the right one, it is taken.
+    assert run() == ([0, 1, 2, 6, 7], want)
+    (dumps / "b.json").write_bytes(b"cut off again in the middle")
+    assert run() == ([0, 1, 2, 6, 7], want)
+    (dumps / "b.json").write_bytes(late)
+    assert run() == ([0, 1, 2, 3, 4, 5, 6, 7], want | {"b.json": "ok"})
+    assert run() == ([0, 1, 2, 3, 4, 5, 6, 7], want | {"b.json": "ok"})
+    assert ingest.set_aside(spark, ingest.ledger_of(check)).isEmpty()
+
+
 def test_stream_extraction_equals_batch(spark, sf, tmp_path):
     pages = spark.read.parquet(f"{sf}/pages.parquet")
     folder = str(tmp_path / "pages")
