@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from linkmill.llm.common import lower_ascii, once, table
+from linkmill.llm.common import lower_ascii, once, sieved, table
 from linkmill.session import scratch_path, written, written_with
 
 #: Words of a contaminating window, and words of a hashed k-gram; the hash window has WINDOW - GRAM + 1 = 8 k-grams.
@@ -20,8 +20,6 @@ SHARE = 20
 
 #: What stands between words, once A-Z are lower case.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Bits of the sieve of document keys, 1 MB at any number of documents.
-SIEVE_BITS = 1 << 23
 
 
 def words(text: Column) -> Column:
@@ -147,20 +145,6 @@ def _spans(hits: DataFrame) -> DataFrame:
     )
 
 
-def _sieve(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """``docs`` with ``_maybe``: false only if the row's key is none of ``keys``.
-
-    A bit map of fixed size: 256 rows of 4 KB are broadcast at any number of keys. So texts without hits aren't shuffled.
-    """
-    bit = F.pmod("key", F.lit(SIEVE_BITS)) + 1  # buckets begin with number 1
-    pages = keys.groupBy(F.bitmap_bucket_number(bit).alias("_page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("_bits"))
-    place = F.bitmap_bit_position(F.pmod(F.col("_key"), F.lit(SIEVE_BITS)) + 1)
-    met = docs.join(F.broadcast(pages), F.bitmap_bucket_number(F.pmod(F.col("_key"), F.lit(SIEVE_BITS)) + 1) == F.col("_page"), "left")
-    byte = F.conv(F.hex(F.substring("_bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    is_set = F.call_function("shiftright", byte, F.pmod(place, F.lit(8)).cast("int")).bitwiseAND(F.lit(1)) == 1
-    return met.withColumn("_maybe", F.coalesce(is_set, F.lit(False))).drop("_page", "_bits")
-
-
 def find_contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """``docs`` with ``n_words``, ``n_hit``, ``hit_spans`` (first and last word), ``item_ids`` and ``contaminated``.
 
@@ -184,7 +168,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc
         "items",
     )
     places = written(_candidates(docs.where("text is not null").select(key.alias("key"), "text"), items), "places")
-    read = _sieve(docs.where("text is not null").select(key.alias("_key"), F.col("text")), places.select("key")).where("_maybe")
+    read = sieved(docs.where("text is not null").select(key.alias("_key"), F.col("text")), F.col("_key"), places.select("key")).where("_maybe")
     # What is found grows with the documents, so it is never broadcast by a hint; texts are hashed to it, but not sorted.
     again = read.select(F.col("_key").alias("key"), "text").join(places.hint("shuffle_hash"), "key")
     windows = again.select("key", F.explode(once(words(F.col("text")), lambda w: _extended(w, F.col("places")))).alias("x")).select("key", "x.*")
@@ -195,7 +179,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc
     found = written(_spans(hits).join(ids, "key", "left").withColumnRenamed("key", "_key"), "hits")
 
     # Words are counted behind the sieve, so once a row, and before the join, so that texts needn't go through it.
-    told = _sieve(docs.select(*kept, key.alias("_key"), F.col("text").alias("_text")), found.select(F.col("_key").alias("key")))
+    told = sieved(docs.select(*kept, key.alias("_key"), F.col("text").alias("_text")), F.col("_key"), found.select("_key"))
     n_words = F.size(words(F.col("_text"))).cast("long").alias("n_words")
     none = [
         F.lit(0).cast("long").alias("n_hit"),

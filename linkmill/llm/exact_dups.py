@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
-from linkmill.llm.common import ASCII_SPACE, table
+from linkmill.llm.common import ASCII_SPACE, sieved, table
 from linkmill.session import scratch_path, written, written_with
 from linkmill.streaming.tables import read_batches, write_batch
 
@@ -125,8 +125,10 @@ def exact_groups(
 
     hits = groups.where("group_size > 1").select("digest", "keep")
     here = placed.withColumn("norm", normalised(F.col("text"))).withColumn("digest", digest(F.col("norm")))
-    # Hits grow with the rows, so they are never broadcast; a hot digest's rows can be split in this join.
-    members = written(here.join(hits.hint("shuffle_hash"), "digest").select("digest", "norm", "keep", F.length("text").cast("long").alias("n_chars"), "id", "_file", "_at"), "digest-members")
+    # Texts without a hit stay where they are. Hits grow with the rows, so they are never broadcast; a hot digest's rows
+    # can be split in this join.
+    sifted = sieved(here, F.xxhash64("digest"), hits.select(F.xxhash64("digest"))).where("_maybe")
+    members = written(sifted.join(hits.hint("shuffle_hash"), "digest").select("digest", "norm", "keep", F.length("text").cast("long").alias("n_chars"), "id", "_file", "_at"), "digest-members")
     at_keep = (F.col("_file") == F.col("keep._file")) & (F.col("_at") == F.col("keep._at"))
     first = members.where(at_keep).select("digest", F.col("norm").alias("first"))
     # Nothing is aggregated right after this join, so the rows of a hot digest can be split in it.

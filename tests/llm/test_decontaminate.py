@@ -6,7 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from linkmill.llm import decontaminate
+from linkmill.llm import common, decontaminate
 from linkmill.llm.decontaminate import find_contamination, kept_hashes
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -129,7 +129,7 @@ def test_texts_without_hits_are_not_shuffled(spark, tmp_path):
     spark.createDataFrame([(i, f"clean text {i} " * 20) for i in range(200)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     items = spark.createDataFrame([(1, "one two three four five six seven eight nine ten eleven twelve thirteen")], "item_id long, text string")
     docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
-    sieved = decontaminate._sieve(docs.select(F.xxhash64("doc_id").alias("_key"), "text"), docs.where("doc_id < 5").select(F.xxhash64("doc_id").alias("key")))
+    sieved = common.sieved(docs, F.xxhash64("doc_id"), docs.where("doc_id < 5").select(F.xxhash64("doc_id").alias("key")))
     plan = sieved._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and sieved.where("_maybe").count() == 5
     assert find_contamination(docs, items).where("n_hit > 0").count() == 0
