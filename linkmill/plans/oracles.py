@@ -312,6 +312,17 @@ ORACLES: dict[str, str] = {
     "min_total_score": f"""with {RECORD_SCORES} select doc_id, total_score from scored where total_score >= {HIGH_SCORE}""",
     "min_total_score_default": f"""with {RECORD_SCORES} select doc_id from scored where total_score >= 3""",
     "language_filter": """select doc_id, lang from documents where lang in ('en', 'de')""",
+    "detected_language": f"""with grams as (select doc_id, lang, source, unnest(flatten(list_transform(
+          regexp_extract_all(lower(text), '\\p{{L}}+'), lambda w: ['_' || left(w, 2), right(w, 2) || '_']))) as g from documents),
+        counts as (select lang, g, count(*) as n from grams where {_FIRST_HALF} and lang is not null group by lang, g),
+        totals as (select lang, sum(n) as total from counts group by lang),
+        top as (select * from counts qualify row_number() over (partition by lang order by n desc, g) <= 1000),
+        bases as (select lang, total, cast(floor(ln(1.0::double / (total + 1000)) * 1000) as bigint) as base from totals),
+        gains as (select t.lang, g, cast(floor(ln((n + 1)::double / (total + 1000)) * 1000) as bigint) - base as gain from top t join bases using (lang)),
+        sizes as (select doc_id, count(*) as n from grams group by doc_id),
+        hits as (select q.doc_id, p.lang, sum(gain) as s from grams q join gains p on p.g = q.g group by q.doc_id, p.lang),
+        scores as (select z.doc_id, b.lang, z.n * b.base + coalesce(s, 0) as score from sizes z cross join bases b left join hits h on h.doc_id = z.doc_id and h.lang = b.lang)
+        select doc_id, (select lang from scores c where c.doc_id = d.doc_id order by score desc, lang limit 1) as detected from documents d""",
     "min_tokens": f"""select doc_id from documents where len(regexp_extract_all(text, '{TOKEN}')) >= 128""",
     "size_table": """select source, round(sum(n_chars) / 1e6, 2) as mb,
         round(cast(sum(n_chars) as double) / (select sum(n_chars) from documents) * 100, 2) as pct

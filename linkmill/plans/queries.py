@@ -12,7 +12,7 @@ from linkmill.functions import html as H
 from linkmill.functions import scalars as S
 from linkmill.functions import text as X
 from linkmill.functions import urls as U
-from linkmill.operators import batching, bitmaps, dedup, extract, ledger, stats, url_filter, url_records
+from linkmill.operators import batching, bitmaps, dedup, extract, language, ledger, stats, url_filter, url_records
 from linkmill.operators import documents as D
 from linkmill.operators import submissions as P
 from linkmill.operators.lsh_index import ClusteredIndex
@@ -500,6 +500,13 @@ def language_filter(spark: SparkSession, sf: str) -> DataFrame:
     return D.in_languages(documents(spark, sf), ["en", "de"], "lang").select("doc_id", "lang")
 
 
+def detected_language(spark: SparkSession, sf: str) -> DataFrame:
+    """The language of every document by its text, from profiles of the documents of half of the sources."""
+    docs = documents(spark, sf).select("doc_id", "text", "lang", "source")
+    profiles = language.fit(docs.where(_is_first_half()))
+    return language.detect(docs, profiles, "doc_id")
+
+
 def min_tokens(spark: SparkSession, sf: str) -> DataFrame:
     return D.min_tokens(documents(spark, sf)).select("doc_id")
 
@@ -916,6 +923,7 @@ QUERIES: dict[str, Query] = {
         min_total_score,
         min_total_score_default,
         language_filter,
+        detected_language,
         min_tokens,
         size_table,
         corpus_stats,
