@@ -101,7 +101,7 @@ def exact_groups(
 
     Texts are equal if they are the same bytes after removing ASCII white space; null counts as empty. One row of
     each group is ``kept``, also if whole rows repeat: ``keep`` holds its id and place. Other columns are not read; an
-    empty table gives no rows.
+    empty table gives no rows; a very long text is one row like any other.
 
     1. A narrow pass writes (digest, code points, id, place); texts are not shuffled.
     2. A stream reads these files into state that is kept on disk and never expires.
