@@ -170,6 +170,7 @@ _OUTCOMES = f"""{CHECKED}, {PARAGRAPHS}, outcomes as (
 
 ORACLES: dict[str, str] = {
     "read_dumps": f"with {SUBS} select {FLAT} from subs",
+    "split_dumps": f"with {SUBS} select {FLAT} from subs",
     "link_posts": f"with {SUBS} select id, url, score from subs",
     "score_default": f"with {SUBS} select id, case when score = 5 then 0 else score end as score from subs",
     "quarantine": f"""with {POSTS} select subreddit as kind,

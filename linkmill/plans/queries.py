@@ -31,7 +31,7 @@ from linkmill.plans.derived import (
 from linkmill.schemas import META_FIELDS
 from linkmill.session import scratch_path, written
 from linkmill.sources import documents as doc_files
-from linkmill.sources import dumps, files, releases, url_files
+from linkmill.sources import dumps, files, packed, releases, url_files
 from linkmill.sources import submissions as sub_files
 from linkmill.sources.url_store import UrlStore
 from linkmill.sources.zstd import write_zst_lines
@@ -77,6 +77,15 @@ def read_dumps(spark: SparkSession, sf: str) -> DataFrame:
     return _flat_submissions(P.to_submissions(dumps.read_dumps(spark, path, "part-*")))
 
 
+def split_dumps(spark: SparkSession, sf: str) -> DataFrame:
+    """Dumps of many zstd frames, whose runs of frames are read by tasks of their own."""
+    path = scratch_path(spark, "split-dumps")
+    write_zst_lines(post_lines(posts(spark, sf)).select("value"), path, frame_bytes=20_000)
+    found = files.find_files(spark, path)
+    rows = packed.read_split(found, found.count(), run_bytes=10_000).select("value")
+    return _flat_submissions(P.to_submissions(dumps.parse_posts(rows)))
+
+
 def link_posts(spark: SparkSession, sf: str) -> DataFrame:
     return P.link_posts(posts(spark, sf)).select("id", "url", "score")
 
@@ -873,6 +882,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in [
         read_dumps,
+        split_dumps,
         link_posts,
         score_default,
         quarantine,

@@ -41,9 +41,9 @@ def parse_posts(lines: DataFrame, line: str = "value") -> DataFrame:
     return rows.select(*RAW_POST.fieldNames(), corrupt.alias("_corrupt_record"), *others)
 
 
-def read_dumps(spark: SparkSession, paths: str | list[str], pattern: str = "*") -> DataFrame:
+def read_dumps(spark: SparkSession, paths: str | list[str], pattern: str = "*", split: bool = False) -> DataFrame:
     """Posts of all dumps below ``paths`` (.zst, .bz2, .xz, .gz or plain lines), with their ``source_file``."""
-    return parse_posts(read_lines(spark, paths, pattern))
+    return parse_posts(read_lines(spark, paths, pattern, split))
 
 
 def dump_inventory(

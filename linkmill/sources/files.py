@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from linkmill.functions.scalars import base_name
 from linkmill.session import scratch_path, written_with
-from linkmill.sources.packed import PACKED_EXTENSIONS, read_packed
+from linkmill.sources.packed import PACKED_EXTENSIONS, read_packed, read_split
 
 # Extensions that Spark's own line reader understands.
 PLAIN_EXTENSIONS = ["json", "jsonl", "ndjson", "txt"]
 SPARK_CODEC_EXTENSIONS = ["zst", "bz2", "gz"]
+# Those of which parts can be unpacked on their own.
+SPLIT_EXTENSIONS = ["xz", "zst"]
 
 
 def find_files(spark: SparkSession, paths: str | list[str], pattern: str = "*") -> DataFrame:
@@ -29,12 +31,13 @@ def _extension(path: Column) -> Column:
     return F.lower(F.substring_index(base_name(path), ".", -1))
 
 
-def read_lines(spark: SparkSession, paths: str | list[str], pattern: str = "*") -> DataFrame:
+def read_lines(spark: SparkSession, paths: str | list[str], pattern: str = "*", split: bool = False) -> DataFrame:
     """(value, source_file): the lines of every file below ``paths``, decompressed by extension, empty lines too.
 
     A last line without newline counts. An unknown extension is refused, because reading it as text would
     silently give garbage. Spark lists and opens the files itself, whatever their names hold; packed files are read
-    by a task each, and their names don't pass through the driver.
+    by a task each, and their names don't pass through the driver. With ``split`` the parts of ``.xz`` and ``.zst`` files
+    are found first, and a large file is read by several tasks.
     """
     found = find_files(spark, paths, pattern).select("path", _extension(F.col("path")).alias("extension"))
     known = [*PLAIN_EXTENSIONS, *SPARK_CODEC_EXTENSIONS, *PACKED_EXTENSIONS]
@@ -44,10 +47,16 @@ def read_lines(spark: SparkSession, paths: str | list[str], pattern: str = "*")
     text = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(paths, lineSep="\n")
     # A condition on the file's name alone: Spark opens no other file.
     name = F.col("_metadata.file_name")
-    direct = text.where(~_extension(name).isin(PACKED_EXTENSIONS)).select(
+    apart = [*PACKED_EXTENSIONS, *SPLIT_EXTENSIONS] if split else PACKED_EXTENSIONS
+    direct = text.where(~_extension(name).isin(apart)).select(
         "value", plain_path(F.col("_metadata.file_path")).alias("source_file")
     )
-    packed = found.where(F.col("extension").isin(PACKED_EXTENSIONS)).select("path")
+    if split:
+        parted = found.where(F.col("extension").isin(SPLIT_EXTENSIONS)).select("path")
+        n = parted.count()
+        direct = direct.unionByName(read_split(parted, n)) if n else direct
+    whole = [e for e in PACKED_EXTENSIONS if not split or e not in SPLIT_EXTENSIONS]
+    packed = found.where(F.col("extension").isin(whole)).select("path")
     n = packed.count()
     return direct.unionByName(read_packed(packed, n)) if n else direct
 

@@ -29,7 +29,7 @@ def filesystem_of(path: str):
     return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://"))
 
 
-def _packer(staging: str, prefix: str, max_records: int):
+def _packer(staging: str, prefix: str, max_records: int, frame_bytes: int):
     """Rows to files, for ``mapInArrow``; gives the manifest's rows."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -39,22 +39,35 @@ def _packer(staging: str, prefix: str, max_records: int):
         filesystem, base = filesystem_of(staging)
         task, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex[:12]
         files: list[list] = []
-        packer, current = None, None
+        packer, sink, current, size = None, None, None, 0
+
+        def opened():
+            return zstandard.ZstdCompressor(level=ZSTD_LEVEL).stream_writer(sink, closefd=False)
+
+        def close() -> None:
+            packer.close()
+            sink.close()
+
         for batch in batches:
             lines = batch.column("value").to_pylist()
             names = batch.column("file_name").to_pylist() if "file_name" in batch.schema.names else [None] * len(lines)
             for line, name in zip(lines, names):
                 if packer is None or name != current or (max_records and files[-1][2] == max_records):
                     if packer is not None:
-                        packer.close()
+                        close()
                     staged = f"{prefix}{task:05d}-{len(files):04d}-{attempt}.jsonl.zst"
                     files.append([staged, name or staged, 0])
                     sink = filesystem.open_output_stream(f"{base}/{staged}", compression=None)
-                    packer, current = zstandard.ZstdCompressor(level=ZSTD_LEVEL).stream_writer(sink), name
-                packer.write(line.encode("utf-8") + b"\n")
+                    packer, current, size = opened(), name, 0
+                elif frame_bytes and size >= frame_bytes:
+                    packer.close()
+                    packer, size = opened(), 0
+                raw = line.encode("utf-8") + b"\n"
+                packer.write(raw)
+                size += len(raw)
                 files[-1][2] += 1
         if packer is not None:
-            packer.close()
+            close()
         columns = list(zip(*files)) or [[], [], []]
         arrays = [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.int64())]
         yield pa.RecordBatch.from_arrays(arrays, names=["staged", "name", "n_lines"])
@@ -96,11 +109,12 @@ def follow_manifest(manifest: DataFrame, staging: str, path: str) -> None:
     manifest.select("staged", "name").repartition("staged").mapInArrow(_mover(staging, path), "name string").write.format("noop").mode("overwrite").save()
 
 
-def write_zst_lines(lines: DataFrame, path: str, prefix: str = "part-", max_records_per_file: int = 0, mode: str = "overwrite") -> DataFrame:
+def write_zst_lines(lines: DataFrame, path: str, prefix: str = "part-", max_records_per_file: int = 0, mode: str = "overwrite", frame_bytes: int = 0) -> DataFrame:
     """Write the column ``value`` as lines of ``.jsonl.zst`` files; the manifest ``(staged, name, n_lines)``.
 
     Rows with a column ``file_name`` go to the file of that name; they must arrive grouped by it, each name in one task.
-    Otherwise files are numbered by task. With ``overwrite`` older ``.jsonl.zst`` files go once the new ones are there.
+    Otherwise files are numbered by task. A new frame begins after ``frame_bytes`` bytes of text, if that is given, so that
+    ``read_lines`` can split a file. With ``overwrite`` older ``.jsonl.zst`` files go once the new ones are there.
     """
     if mode not in ("overwrite", "append"):
         raise ValueError(mode)
@@ -108,7 +122,7 @@ def write_zst_lines(lines: DataFrame, path: str, prefix: str = "part-", max_reco
     filesystem, base = filesystem_of(staging)
     filesystem.create_dir(base, recursive=True)
     sent = lines.select(*[c for c in ("value", "file_name") if c in lines.columns])
-    manifest = written(sent.mapInArrow(_packer(staging, prefix, max_records_per_file), MANIFEST), "zst-manifest")
+    manifest = written(sent.mapInArrow(_packer(staging, prefix, max_records_per_file, frame_bytes), MANIFEST), "zst-manifest")
     if mode == "overwrite":
         there = spark.read.format("binaryFile").option("pathGlobFilter", "*.jsonl.zst").load(path)
         old = there.select(F.element_at(F.split("path", "/"), -1).alias("name")).join(manifest.select("name"), "name", "left_anti")
