@@ -8,6 +8,7 @@ from tools.compare import compare, connect
 #: A cross-section that runs fast; LINKMILL_ALL=1 runs every registered query.
 FAST = [
     "read_dumps",
+    "split_dumps",
     "quarantine",
     "dump_inventory",
     "scan_submissions_period",
@@ -15,12 +16,17 @@ FAST = [
     "url_records_split",
     "url_batches",
     "url_checks",
+    "suffix_rules",
+    "detected_language",
+    "numbered_lines",
+    "bitmap_removal",
     "extract_article",
     "extract_paragraphs",
     "document_round_trip",
     "file_batches",
     "minhash",
     "clean_corpus",
+    "ledger_stats",
     "stream_dedup",
 ]
 
