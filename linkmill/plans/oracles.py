@@ -215,7 +215,8 @@ ORACLES: dict[str, str] = {
     "verify_checksums": """select cast(d.doc_id as varchar) as file_name,
         case when l.doc_id is null then 'unlisted' when l.quality = 1 then 'ok' else 'mismatch' end as status
         from documents d left join labels l using (doc_id)""",
-    "file_checksums": f"select 'ok' as status, cast(sum({_LINE_BYTES}) as bigint) as total_bytes from documents",
+    "file_checksums": """select source, sha256(string_agg(doc_id || ' ' || md5(text) || chr(10), '' order by doc_id)) as actual
+        from documents group by source""",
     "total_input_size": f"""select cast(sum({_LINE_BYTES}) as bigint) as total_bytes,
         round(sum({_LINE_BYTES}) / 1e6, 2) as total_mb from documents""",
     "url_record_arrays": f"""with {SUBS} select {_RECORD_COLUMNS} from subs group by url having sum(score) >= 3""",
@@ -349,7 +350,7 @@ ORACLES: dict[str, str] = {
         from loop l join files f on f.file_id = l.file_id + 1)
         select f.file_id, f.source, f.n_docs, l.batch from files f join loop l using (file_id)""",
     "aligned_outputs": """select doc_id, 'scrapes_' || source || '_final.jsonl.zst' as source_file from documents""",
-    "lines_per_file": "select count(*) as n_lines from documents",
+    "lines_per_file": "select source, count(*) as n_lines from documents group by source",
     "numbered_lines": f"""with {_ADDRESSES} select doc_id, source_file as source, doc_ord as line from addressed""",
     "bitmap_removal": f"""with {_ADDRESSES} select doc_id, source_file, doc_ord, cast(length(text) as bigint) as n_chars
         from addressed join documents using (doc_id) where doc_id not in (select doc_id from labels where quality = 0)""",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkmill.functions import html as H
@@ -204,15 +204,22 @@ def verify_checksums(spark: SparkSession, sf: str) -> DataFrame:
     return dumps.verify_files(actual, dumps.parse_manifest(lines))
 
 
+def _file_a_source(spark: SparkSession, sf: str, label: str, line: Column) -> str:
+    """A folder with one text file a source, whose lines are in the order of the documents' ids."""
+    path = scratch_path(spark, label)
+    docs = documents(spark, sf).repartition("source").sortWithinPartitions("source", "doc_id")
+    docs.select(line.alias("value"), "source").write.partitionBy("source").text(path)
+    return path
+
+
+def _source_of(file: str) -> Column:
+    return F.regexp_extract(file, "source=([^/]*)/", 1).alias("source")
+
+
 def file_checksums(spark: SparkSession, sf: str) -> DataFrame:
-    """Files written by Spark, hashed, listed on a manifest and verified against it."""
-    path = scratch_path(spark, "hashed")
-    documents(spark, sf).select("text", F.lit("{}").alias("meta")).transform(doc_files.document_lines).write.text(path)
-    sums = written(dumps.file_checksums(spark, path, "part-*"), "sums")
-    manifest = dumps.parse_manifest(sums.select(F.concat_ws("  ", "actual", "file_name").alias("value")))
-    sizes = files.find_files(spark, path, "part-*").select(S.base_name(F.col("path")).alias("file_name"), "length")
-    status = dumps.verify_files(sums, manifest).join(sizes, "file_name")
-    return status.groupBy("status").agg(F.sum("length").alias("total_bytes"))
+    """The sum of each of several files, a line for each document of a source."""
+    path = _file_a_source(spark, sf, "hashed", F.concat_ws(" ", "doc_id", F.md5("text")))
+    return dumps.hash_files(files.find_files(spark, path, "part-*")).select(_source_of("path"), "actual")
 
 
 # --- URL records ---------------------------------------------------------------------------------------------
@@ -293,11 +300,11 @@ def url_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stored_count(spark: SparkSession, sf: str) -> DataFrame:
-    """Counted and stored once; the second call reads the stored number."""
+    """Counted and stored once; the second call, for a table that has changed since, reads the stored number."""
     path = scratch_path(spark, "url-count")
     urls = url_records.url_totals(submissions(spark, sf))
     first = url_files.stored_count(spark, urls, path)
-    again = url_files.stored_count(spark, urls.limit(0), path)
+    again = url_files.stored_count(spark, urls.where(F.col("total_score") >= HIGH_SCORE), path)
     return first.select(F.col("n").alias("n_urls"), again.scalar().alias("n_stored"))
 
 
@@ -577,25 +584,16 @@ def aligned_outputs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lines_per_file(spark: SparkSession, sf: str) -> DataFrame:
-    """Line counts and total size of written files; their number depends on the partitioning, their sum does not."""
-    path = scratch_path(spark, "lines")
-    docs = documents(spark, sf).select("text", F.lit("{}").alias("meta"))
-    doc_files.write_documents(docs, path, compression="gzip")
-    return files.lines_per_file(spark, path, "part-*").agg(F.sum("n_lines").alias("n_lines"))
+    """Lines of each of several files."""
+    path = _file_a_source(spark, sf, "lines", F.md5("text"))
+    return files.lines_per_file(spark, path, "part-*").select(_source_of("path"), "n_lines")
 
 
 def numbered_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Documents in files of JSON lines, one a source, with the number of their line."""
-    path = scratch_path(spark, "numbered")
-    docs = documents(spark, sf).repartition("source").sortWithinPartitions("source", "doc_id")
-    line = F.to_json(F.struct("doc_id", "text")).alias("value")
-    docs.select(line, "source").write.partitionBy("source").text(path)
-    rows = files.numbered_lines(spark, path)
-    return rows.select(
-        F.get_json_object("value", "$.doc_id").cast("bigint").alias("doc_id"),
-        F.regexp_extract("source_file", "source=([^/]*)/", 1).alias("source"),
-        "line",
-    )
+    rows = files.numbered_lines(spark, _file_a_source(spark, sf, "numbered", F.to_json(F.struct("doc_id", "text"))))
+    doc_id = F.get_json_object("value", "$.doc_id").cast("bigint").alias("doc_id")
+    return rows.select(doc_id, _source_of("source_file"), "line")
 
 
 def bitmap_removal(spark: SparkSession, sf: str) -> DataFrame:

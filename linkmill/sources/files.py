@@ -67,16 +67,13 @@ def plain_path(uri: Column) -> Column:
 
 
 def lines_per_file(spark: SparkSession, paths: str | list[str], pattern: str = "*") -> DataFrame:
-    """(source_file, n_lines), empty files included."""
-    listed = find_files(spark, paths, pattern).select(base_name(F.col("path")).alias("source_file"))
-    counted = (
-        read_lines(spark, paths, pattern)
-        .groupBy("source_file")
-        .agg(F.count(F.lit(1)).alias("n_lines"))
-        .select(base_name(F.col("source_file")).alias("source_file"), "n_lines")
-    )
-    return listed.join(counted, "source_file", "left").select(
-        "source_file", F.coalesce("n_lines", F.lit(0)).alias("n_lines")
+    """(path, source_file, n_lines), packed files without lines included; ``source_file`` is the name alone. Files of no bytes
+    are not listed, as Spark passes over them."""
+    local = lambda c: F.regexp_replace(c, "^file:/+", "/").alias("path")  # noqa: E731  # written in several ways
+    listed = find_files(spark, paths, pattern).select(local(F.col("path")))
+    counted = read_lines(spark, paths, pattern).groupBy(local(F.col("source_file"))).agg(F.count(F.lit(1)).alias("n_lines"))
+    return listed.join(counted, "path", "left").select(
+        "path", base_name(F.col("path")).alias("source_file"), F.coalesce("n_lines", F.lit(0)).alias("n_lines")
     )
 
 

@@ -105,6 +105,16 @@ def test_blank_lines_count_and_names_may_be_odd(spark, tmp_path):
     assert dumps.read_dumps(spark, str(tmp_path)).count() == 9
 
 
+def test_files_of_one_name_are_counted_apart(spark, tmp_path):
+    for folder, n in (("a", 2), ("b", 5)):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "x.txt").write_text("l\n" * n)
+    (tmp_path / "a" / "x.xz").write_bytes(lzma.compress(b"l\n"))
+    (tmp_path / "b" / "x.xz").write_bytes(lzma.compress(b""))
+    got = {r.path.removeprefix(str(tmp_path)): r.n_lines for r in files.lines_per_file(spark, str(tmp_path)).collect()}
+    assert got == {"/a/x.txt": 2, "/b/x.txt": 5, "/a/x.xz": 1, "/b/x.xz": 0}
+
+
 def test_unknown_formats_are_refused(spark, tmp_path):
     (tmp_path / "a.7z").write_bytes(b"x")
     with pytest.raises(ValueError):
