@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -154,35 +155,49 @@ def best_cut(scores: np.ndarray, good: np.ndarray) -> float:
     return 0.0 if scores[cut - 1] < 0 < middle else middle
 
 
-def resampler(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", seed: int = SEED):
+def resampler(
+    docs: DataFrame,
+    labels: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    seed: int = SEED,
+    share: float | None = None,
+    temperature: float | None = None,
+):
     """``(scores, mark)``: the written table ``(id, log_weight, draw)``, and a function that gives any DataFrame of the
     same documents ``log_weight``, ``draw`` and ``selected``.
 
     Each document's draw is its log importance weight plus Gumbel noise; the k largest draws are selected, which is
-    sampling k documents without replacement in proportion to their weights. k is the number of documents whose
-    weight lies above the cut that parts the labelled good from the labelled bad ones; without bad labels all stay.
+    sampling k documents without replacement in proportion to their weights. k is ``share`` of all rows, rounded down;
+    without a share it is the number of documents whose weight lies above the cut that parts the labelled good from the
+    labelled bad ones, and without bad labels all stay. ``temperature`` scales the noise (``TEMPERATURE`` by default):
+    weights are sums over whole texts, so at 1 the order is nearly that of the weights, and more makes it more even.
 
     Null and empty texts weigh as much as raw text does (log weight 0), repeated rows are drawn alike and draws equal
     to the last selected one are selected too. Without labelled good documents the model knows nothing to prefer, and
     all weights are those of an even target. An empty table gives no rows.
     """
     spark = docs.sparkSession
+    heat = TEMPERATURE if temperature is None else temperature
     sample = written(labelled_sample(labels), "labelled")
     plain = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
     ratios = log_ratios(plain, sample)
 
     def drawn(id_: Column, text_: Column) -> list[Column]:
-        return [log_weight(spark, text_, ratios).alias("log_weight"), (gumbel(id_, seed) * TEMPERATURE).alias("noise")]
+        return [log_weight(spark, text_, ratios).alias("log_weight"), (gumbel(id_, seed) * heat).alias("noise")]
 
     scores = written(
         plain.select("id", *drawn(F.col("id"), F.col("text"))).select("id", "log_weight", (F.col("log_weight") + F.col("noise")).alias("draw")),
         "draws",
     )
-    # An id counts once, however often it occurs, so at most LABELLED rows reach the driver.
-    labelled = scores.join(F.broadcast(sample), "id").groupBy("id", "good").agg(F.min("log_weight").alias("log_weight"))
-    known = labelled.select("log_weight", "good").toPandas()
-    cut = best_cut(known["log_weight"].to_numpy(), known["good"].to_numpy(bool))
-    k = scores.where(F.col("log_weight") > F.lit(float(cut))).count()
+    if share is None:
+        # An id counts once, however often it occurs, so at most LABELLED rows reach the driver.
+        labelled = scores.join(F.broadcast(sample), "id").groupBy("id", "good").agg(F.min("log_weight").alias("log_weight"))
+        known = labelled.select("log_weight", "good").toPandas()
+        cut = best_cut(known["log_weight"].to_numpy(), known["good"].to_numpy(bool))
+        k = scores.where(F.col("log_weight") > F.lit(float(cut))).count()
+    else:
+        k = math.floor(share * scores.count())
     least = kth_largest(scores, "draw", k)
     chosen = F.lit(False) if least is None else F.col("draw") >= F.lit(least)
 

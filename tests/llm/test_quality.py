@@ -114,3 +114,20 @@ def test_a_labelled_id_that_comes_very_often_counts_once(spark, monkeypatch):
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (4, 0)], "doc_id long, quality int")
     scores, _ = resampler(docs, labels)
     assert collected == [4] and scores.count() == len(rows)
+
+
+def test_a_share_is_drawn_and_the_noise_decides_as_far_as_it_is_let(spark):
+    rows = [(i, f"plain words number {i % 9} of good text") for i in range(100)] + [(100 + i, "junk*** ### %%%") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(60)], "doc_id long, quality int")
+
+    def drawn(seed, temperature):
+        scores, _ = resampler(docs, labels, seed=seed, share=0.25, temperature=temperature)
+        return {r.id for r in scores.where("selected").collect()}
+
+    cold, hot = [drawn(seed, 0.01) for seed in (1, 2)], [drawn(seed, 1e6) for seed in (1, 2)]
+    assert all(len(d) == 50 for d in cold + hot)
+    # Without noise the target's own texts are drawn; with much of it every document alike, and another seed draws others.
+    assert all(i < 100 for d in cold for i in d)
+    assert all(10 <= sum(i < 100 for i in d) <= 40 for d in hot) and len(hot[0] - hot[1]) > 20
+    assert resampler(docs, labels, share=0.0)[0].where("selected").count() == 0
