@@ -158,6 +158,12 @@ def test_batches_with_compaction_equal_replay(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "index").iterdir()) == ["side=0", "side=1"]
     assert len(list((tmp_path / "index" / "side=0" / "batch_id=-2").glob("part-*.parquet"))) <= 3
     assert not (tmp_path / "index" / "side=0" / "batch_id=0").exists()
+    # Another application knows no tables and finds the same index in its folder.
+    want = sorted(map(tuple, index.before(spark, 6).collect()))
+    for known in spark.catalog.listTables():
+        if known.name.startswith("linkmill_lsh_"):
+            spark.sql(f"drop table {known.name}")
+    assert sorted(map(tuple, index.before(spark, 6).collect())) == want
 
 
 def test_index_is_not_shuffled_and_read_once(spark, tmp_path, monkeypatch):
