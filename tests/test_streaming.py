@@ -1,4 +1,5 @@
 import bz2
+import glob
 import hashlib
 import json
 import lzma
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from linkmill.operators.extract import extract_paragraphs
 from linkmill.operators.documents import successful
+from linkmill.plans import queries
 from linkmill.streaming import extraction, ingest, keyed
 
 
@@ -116,3 +118,21 @@ def test_skip_done(spark):
     inputs = spark.createDataFrame([("a",), ("b",)], "path string")
     done = spark.createDataFrame([("a",), ("a",)], "path string")
     assert [r.path for r in ingest.skip_done(inputs, done).collect()] == ["b"]
+
+
+def test_dumps_to_verify_are_written_by_many_tasks(spark, sf, tmp_path, monkeypatch):
+    for name in ("events", "pages"):
+        spark.read.parquet(f"{sf}/{name}.parquet").repartition(3).write.parquet(f"{tmp_path}/{name}.parquet")
+    taken = []
+    ingest_dumps = ingest.ingest_dumps
+    monkeypatch.setattr(ingest, "ingest_dumps", lambda s, dumps, *a, **b: taken.append(dumps) or ingest_dumps(s, dumps, *a, **b))
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(4 << 20))
+    try:
+        got = sorted(map(tuple, queries.verified_ingest(spark, str(tmp_path)).collect()))
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+    kinds = [path.split("/")[-2] for path in glob.glob(taken[0].removeprefix("file:"))]
+    assert set(kinds) == {"click", "error", "purchase", "view"} and all(kinds.count(k) >= 3 for k in kinds)
+    rest = queries.submissions(spark, sf).where("subreddit in ('click', 'error', 'view')")
+    assert [r[0] for r in got] == sorted(r.id for r in rest.select("id").collect())
