@@ -8,8 +8,9 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from linkmill.session import written
+from linkmill.session import scratch_path, written_with
 
 #: Lines are handed over in batches of about this many bytes.
 BATCH_BYTES = 8 << 20
@@ -45,6 +46,8 @@ def unpack(path: str, packed):
 
 #: Packed bytes that one task reads, where a file has several parts that can be unpacked on their own.
 RUN_BYTES = 64 << 20
+#: Short runs share tasks: so many of them for each core, and more where a task would have more packed bytes than this.
+TASKS_PER_CORE, TASK_BYTES = 4, 16 << 20
 
 RUN = "path string, first bigint, stop bigint"
 
@@ -251,10 +254,14 @@ def read_split(files: DataFrame, tasks: int, run_bytes: int = RUN_BYTES) -> Data
 
     A first pass finds the runs: from the index of an xz file, and from block headers of a zstd file, a few bytes for
     every 128 KB. A line belongs to the run in which it begins, and is read on beyond that. A file of one part is one run.
+    A task reads several runs where they are short: there are tasks for all cores, and one for each ``TASK_BYTES`` in all.
     """
-    runs = written(files.select("path").repartition(tasks, "path").mapInArrow(_finder(run_bytes), RUN), "packed-runs")
-    n = max(1, runs.count())
-    return runs.repartition(n, "path", "first").mapInArrow(_split_lines, "value string, source_file string")
+    spark = files.sparkSession
+    found = files.select("path").repartition(tasks, "path").mapInArrow(_finder(run_bytes), RUN)
+    seen = F.struct(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.col("stop") - F.col("first")), F.lit(0)).alias("size"))
+    runs, total = written_with(found, scratch_path(spark, "packed-runs"), seen)
+    enough = max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, total.size // TASK_BYTES + 1)
+    return runs.repartition(max(1, min(total.n, enough)), "path", "first").mapInArrow(_split_lines, "value string, source_file string")
 
 
 # --- whole streams --------------------------------------------------------------------------------------------

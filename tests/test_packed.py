@@ -6,7 +6,7 @@ import subprocess
 import pytest
 import zstandard
 
-from linkmill.sources import files
+from linkmill.sources import files, packed
 from linkmill.sources.packed import read_split, run_lines, runs_of
 
 
@@ -77,3 +77,15 @@ def test_a_file_of_many_frames_is_read_by_several_tasks(spark, tmp_path):
     both = files.read_lines(spark, str(tmp_path), split=True).groupBy("source_file").count().collect()
     assert sorted((r.source_file.rsplit("/", 1)[1], r["count"]) for r in both) == [(n, 5000) for n in ("many.zst", "one.xz", "one.zst", "plain.txt")]
     assert files.read_lines(spark, str(tmp_path), "many.zst", split=True).count() == files.read_lines(spark, str(tmp_path), "many.zst").count()
+
+
+def test_short_runs_share_tasks(spark, tmp_path, monkeypatch):
+    rows = [f"line {i}".encode() for i in range(4000)]
+    (tmp_path / "many.zst").write_bytes(zst_frames([b"\n".join(rows[i : i + 10]) + b"\n" for i in range(0, 4000, 10)]))
+    found = files.find_files(spark, str(tmp_path), "many.zst")
+    assert len(runs_of(str(tmp_path / "many.zst"), 1)) > 300
+    split = read_split(found, 1, run_bytes=1)
+    assert split.rdd.getNumPartitions() <= packed.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    assert sorted(r.value.encode() for r in split.collect()) == sorted(rows)
+    monkeypatch.setattr(packed, "TASK_BYTES", 100)
+    assert read_split(found, 1, run_bytes=1).rdd.getNumPartitions() > 50
