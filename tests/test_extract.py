@@ -169,3 +169,19 @@ def test_clean_markup_drops_inline_scripts_and_keeps_pre(spark):
     }
     df = spark.createDataFrame([(k,) for k in cases], "html string")
     assert {r.html: r.c for r in df.select("html", clean_markup(F.col("html")).alias("c")).collect()} == cases
+
+
+def test_extractors_get_bounded_parts(spark):
+    def sizes(parts):
+        for part in parts:
+            row = {"success": True, "text": "x", "word_count": sum(len(h or "") for h in part["html"]), "elapsed": float(len(part))}
+            yield pd.DataFrame([{"url": u, **row} for u in part["url"]], columns=[c.split()[0] for c in E.EXTRACTED.split(", ")], dtype=object)
+
+    # In one task: small pages, large ones, one larger than a part, and none at all.
+    lengths = [10] * 1200 + [300_000] * 12 + [3 << 20] + [0] * 3
+    rows = [(f"https://a.example.org/{i}", "y" * n if n else None) for i, n in enumerate(lengths)]
+    pages = spark.createDataFrame(rows, "url string, html string").coalesce(1)
+    got = E.extract(pages, sizes).select("url", "meta.word_count", "meta.elapsed").collect()
+    assert sorted(r.url for r in got) == sorted(url for url, _ in rows)
+    assert max(r.elapsed for r in got) <= E.PART_ROWS
+    assert {r.word_count for r in got if r.word_count > E.PART_CHARS} == {3 << 20}
