@@ -99,3 +99,42 @@ def test_sample_is_bounded_by_rows_and_taken_from_usable_documents(spark, monkey
     rest = got[got["use"] == "calibrate"]
     assert len(rest) == 6 and "xx" in set(rest["lang"])
     assert toxicity.labelled_sample(docs, labels.limit(0), "doc_id", "text", "lang").empty
+
+
+def test_every_labelled_document_trains_in_several_parts(spark, made, monkeypatch):
+    monkeypatch.setattr(toxicity, "PART", 120)
+    # Toxic texts are all long, so a bound on length or rows would leave one label only.
+    rng = np.random.default_rng(3)
+    filler = " ".join(w for _, t, _, y in made if not y for w in t.split() if len(w) < 9)
+    rows = [(i, t if not y else t + " " + filler[(at := int(rng.integers(9_000))) : at + 21_000], lang) for i, t, lang, y in made]
+    docs = spark.createDataFrame(rows + rows[:9] + [(None, "x", "xx")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, y) for i, _, _, y in made] + [(5000, 1)], "doc_id int, toxic int")
+    known = toxicity.labelled(docs, labels, "doc_id", "text", "lang").collect()
+    learnt = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1]
+    assert sorted(r.text for r in known) == sorted(t for _, t, _ in learnt) and len({r.part for r in known}) > 3
+    got = classify(docs.limit(700), labels).where("held_out").collect()
+    truth = {i: y for i, _, _, y in made}
+    assert all(len(t) > 20_000 for i, t, _ in rows if truth[i])
+    assert np.mean([(r.score >= 0.7) == bool(truth[r.doc_id]) for r in got]) >= 0.95
+
+
+def test_long_texts_train_like_short_ones(monkeypatch, made):
+    words = toxicity.words_of([t for _, t, _, _ in made[:20]] + [""])
+    net = Net(np.random.default_rng(1))
+    whole = toxicity.Trainee(net).tops(words)
+    assert np.allclose(whole[0][0], net.pooled(*toxicity.laid_out(words[0].astype(np.int32), np.zeros(len(words[0]), int), 1))[0], atol=1e-6)
+    monkeypatch.setattr(toxicity, "PLACES", 7)
+    cut = toxicity.Trainee(net).tops(words)
+    assert np.allclose(whole[0], cut[0], atol=1e-6) and np.array_equal(whole[1], cut[1])
+
+
+def test_thresholds_are_counted_over_all_rows_of_all_languages(spark):
+    rng = np.random.default_rng(5)
+    # 70 languages of 40 rows, and one whose rows have one label.
+    langs = [f"l{i % 70}" for i in range(2800)] + ["one"] * 50 + [None] * 9 + [""] * 9
+    scores = rng.permutation(10_000)[: len(langs)] / 10_000 + 0.00003
+    toxic = (scores + rng.normal(0, 0.2, len(langs)) > 0.6) & (np.array(langs, object) != "one")
+    rows = [(lang, int(y), float(s)) for lang, y, s in zip(langs, toxic, scores, strict=True)]
+    overall, cuts = toxicity.counted_thresholds(spark.createDataFrame(rows, "lang string, toxic int, score double"))
+    assert {None: overall, **{r.lang: r.cut for r in cuts.collect()}} == thresholds(scores, toxic, langs)
+    assert cuts.count() == 70
