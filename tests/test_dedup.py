@@ -3,6 +3,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -249,3 +250,32 @@ def test_plan_has_no_cross_join_and_no_python(spark):
     df = dedup.spread_bucket_facts(dedup.band_rows(banded, "doc"), facts, 2).groupBy("doc").agg(F.max("n"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan and "Python" not in plan
+
+
+def test_minima_against_a_loop_however_texts_are_cut(monkeypatch):
+    rng = np.random.default_rng(11)
+    sizes = [0, 1, 4, 5, 6, 0, 0, 40, 3, 5, 131, 2, 0]
+    texts = [rng.integers(0, X.PRIME, n) for n in sizes]
+    texts[4][:] = X.PRIME - 1
+    offsets, tokens = np.cumsum([0, *sizes]), np.concatenate(texts)
+
+    def plain(one, k):
+        a, b = X.permutation(k)
+        runs = [one[i : i + X.NGRAM].tolist() for i in range(len(one) - X.NGRAM + 1)]
+        hashes = [sum(d * X.HASH_BASE ** (X.NGRAM - 1 - j) for j, d in enumerate(run)) % X.PRIME for run in runs]
+        return min([(h * a + b) % X.PRIME for h in hashes], default=X.PRIME)
+
+    want = [[plain(one, k) for k in range(X.NUM_PERM)] for one in texts]
+    for slab in (1 << 16, 7, 1):
+        monkeypatch.setattr(X, "SLAB", slab)
+        assert X.minima(tokens, offsets, X.NUM_PERM).tolist() == want
+    assert X.minima(tokens, offsets[4:9], X.NUM_PERM).tolist() == want[4:8]
+    assert X.minima(tokens[:0], np.array([0]), X.NUM_PERM).shape == (0, X.NUM_PERM)
+
+
+def test_signatures_evaluate_no_expression_for_every_ngram(spark):
+    df = spark.createDataFrame([(0, "a b c d e f g"), (1, None)], "i long, text string")
+    signed = X.with_bands(X.with_signature(df))
+    plan = signed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1 and plan.count("ArrowEvalPython") == 1 and "array_min" not in plan
+    assert signed.where("i = 1").first().sig == [X.PRIME] * X.NUM_PERM
