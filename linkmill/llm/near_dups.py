@@ -103,9 +103,11 @@ def _indexed(rows: DataFrame, width: int, left: bool, first: bool) -> DataFrame:
 
 
 def _close(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Pairs that share a key and are close. Spark sizes exploded variants like the fingerprints they come from, some
+    30 times too low, and would broadcast them; so the join is told to shuffle."""
     r = right.select(F.col("fp").alias("other"), F.col("key").alias("key"))
     near = F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= DISTANCE
-    return left.join(r, (left["key"] == r["key"]) & near & (F.col("fp") != F.col("other"))).select("fp", "other")
+    return left.join(r.hint("merge"), (left["key"] == r["key"]) & near & (F.col("fp") != F.col("other"))).select("fp", "other")
 
 
 def links(fingerprints: DataFrame, full_bucket: int = FULL_BUCKET) -> DataFrame:

@@ -66,6 +66,20 @@ def test_links_equal_all_pairs(spark, full):
     assert len(got) == len(set(got)) and {(r.a, r.b) for r in got} == brute_links(values)
 
 
+def test_variants_are_not_broadcast(spark, tmp_path):
+    rng = random.Random(7)
+    values = {rng.getrandbits(62) for _ in range(40)}
+    values |= {v ^ 5 << 40 for v in values}
+    spark.createDataFrame([(v,) for v in values], "fp long").write.parquet(f"{tmp_path}/fp")
+    for full in (512, 1):
+        found = links(spark.read.parquet(f"{tmp_path}/fp"), full)
+        plan = found._jdf.queryExecution().sparkPlan().toString()
+        # A list of full buckets is a table of known size and may be broadcast; nothing that was exploded may.
+        joins = [line for line in plan.splitlines() if "Join" in line and "Anti" not in line and "Semi" not in line]
+        assert joins and all("SortMergeJoin" in line for line in joins)
+        assert {(r.a, r.b) for r in found.collect()} == brute_links(values)
+
+
 def test_components_of_edge_cases(spark):
     base = [f"w{i}" for i in range(400)]
     rows = [(10, " ".join(base)), (9, " ".join(base).upper()), (11, " ".join([*base, "more"])), (12, " ".join(base[:399])), (3, "other text here")]
