@@ -165,14 +165,16 @@ def near_duplicates(
     distinct = written(marked.groupBy("fp").agg(F.min(order).alias("least")), "simhash-distinct")
     found = written(links(distinct, full_bucket), "simhash-links")
     parts = written(components(found, "a", "b").select(F.col("node").alias("fp"), "component"), "simhash-parts")
-    lowest = parts.join(distinct, "fp").groupBy("component").agg(F.min("least").alias("lowest"))
+    # Places name files, which are stored once and so count next to nothing in a table's size, but come whole with each
+    # row of a broadcast. Tables with a row for each fingerprint are therefore never broadcast.
+    lowest = parts.join(distinct.hint("merge"), "fp").groupBy("component").agg(F.min("least").alias("lowest"))
     linked = parts.join(lowest, "component").select("fp", "lowest")
     labels = written(
         distinct.join(linked, "fp", "left").select("fp", F.coalesce("lowest", "least").alias("first")), "simhash-labels"
     )
     first = F.col("first.id" if place else "first").alias("component_id")
     is_first = [F.struct(*at) == F.struct(*[F.col("first")[c].alias(c) for c in place])] if place else []
-    return marked.join(labels, "fp").select(
+    return marked.join(labels.hint("merge"), "fp").select(
         F.col("id").alias(doc_id), as_hex(F.col("fp")).alias("fingerprint"), first, *at, *[k.alias("kept") for k in is_first]
     )
 

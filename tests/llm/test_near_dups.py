@@ -3,6 +3,7 @@ import random
 import pytest
 import xxhash
 
+from linkmill.llm.exact_dups import located
 from linkmill.llm.near_dups import links, near_duplicates, op5_simhash, simhash
 
 
@@ -80,6 +81,14 @@ def test_variants_are_not_broadcast(spark, tmp_path):
         assert {(r.a, r.b) for r in found.collect()} == brute_links(values)
 
 
+def test_places_are_not_broadcast(spark, sf):
+    docs = located(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"))
+    marked = near_duplicates(docs, place=("_file", "_at"))
+    plan = marked._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert marked.where("kept").count() == marked.select("component_id").distinct().count() < docs.count()
+
+
 def test_components_of_edge_cases(spark):
     base = [f"w{i}" for i in range(400)]
     rows = [(10, " ".join(base)), (9, " ".join(base).upper()), (11, " ".join([*base, "more"])), (12, " ".join(base[:399])), (3, "other text here")]
