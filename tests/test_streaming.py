@@ -3,12 +3,16 @@ import glob
 import hashlib
 import json
 import lzma
+from functools import partial
 
+import duckdb
 from pyspark.sql import functions as F
 
+from linkmill.operators import url_records
 from linkmill.operators.extract import extract_paragraphs
 from linkmill.operators.documents import successful
 from linkmill.plans import queries
+from linkmill.plans.oracles import ORACLES
 from linkmill.streaming import extraction, ingest, keyed
 
 
@@ -114,6 +118,26 @@ def test_stream_extraction_equals_batch(spark, sf, tmp_path):
     assert extract_paragraphs(pages).where(F.col("success")).count() == pages.count()
 
 
+def test_metadata_of_every_url_is_whole(spark, sf, tmp_path, monkeypatch):
+    # URLs whose total score is low, null scores, and URLs with more submissions than a row of metadata may hold.
+    spark.read.parquet(f"{sf}/pages.parquet").write.parquet(f"{tmp_path}/pages.parquet")
+    events = spark.read.parquet(f"{sf}/events.parquet").withColumn("user_id", F.col("event_id") % 48)
+    value = F.when(F.col("user_id") == 12, 8.0).when(F.col("user_id") == 24, F.lit(None)).otherwise(F.col("value"))
+    events.withColumn("value", value).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(url_records, "build_url_records", partial(url_records.build_url_records, max_meta_per_row=3))
+    got = {r.url: r for r in queries.stream_extraction_meta(spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    for name in ("pages", "events"):
+        con.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+    want = con.execute(ORACLES["stream_extraction_meta"]).fetchall()
+    assert sorted((r.url, r.word_count, r.total_score, r.reddit_id) for r in got.values()) == sorted(want)
+    ids, low = {}, [r for r in got.values() if r.total_score < 3]
+    for r in queries.submissions(spark, str(tmp_path)).collect():
+        ids.setdefault(r.url, []).append(r.id)
+    assert {u: r.reddit_id for u, r in got.items()} == {u: "|".join(map(str, sorted(ids[u]))) for u in got}
+    assert len(low) == 2 and len(got) > 2 and all(len(ids[u]) > 3 for u in got)
+
+
 def test_skip_done(spark):
     inputs = spark.createDataFrame([("a",), ("b",)], "path string")
     done = spark.createDataFrame([("a",), ("a",)], "path string")
